@@ -50,8 +50,9 @@ def enrich(df: DataFrame, make_function: Callable[[], Callable[[Any], Any]], cal
                 for value in batch.column(source).to_pylist():
                     result = error = None
                     if value is not None:
-                        time.sleep(max(0.0, due - time.monotonic()))
-                        due = time.monotonic() + interval
+                        if interval:
+                            time.sleep(max(0.0, due - time.monotonic()))
+                            due = time.monotonic() + interval
                         try:
                             result = function(value)
                         except Exception as e:  # one bad row must not fail the others

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sleeveworks.functions import text as X
-from sleeveworks.functions.scalars import track_number
+from sleeveworks.functions import scalars as S
 from sleeveworks.schema import (
     GENERAL_FIELDS, GENERAL_SECTION, MISSING, TRACK_SECTION,
 )
@@ -43,10 +43,16 @@ def is_text(value: Column) -> Column:
     return F.schema_of_variant(value) == "STRING"
 
 
-def as_object(value: Column | str) -> Column:
+def members(value: Column | str) -> Column:
+    """The members of an object as a map, null for anything else."""
     return get(value, kind="map<string,variant>")
 
 
+def is_object(value: Column | str) -> Column:
+    """Cheaper than ``members``: reading one member as a struct fails for anything but an object."""
+    return get(value, kind="struct<Face:variant>").isNotNull()
+
+
 def parse_documents(df: DataFrame, text: str = "response", how: str = "greedy") -> DataFrame:
     """Add ``doc`` (the decoded object, null if there is none) and ``status``.
 
@@ -75,16 +81,15 @@ def _status(span: Column, doc: Column) -> Column:
         there = value.isNotNull() & ~F.is_variant_null(value) & ~get(value).isin(_FALSY)
         return there & get(value, kind=kind).isNull()
 
-    members = as_object(doc)
     elements = get(doc, TRACK_SECTION, kind="array<variant>")
     return (
         F.when(span.isNull() | (span == ""), "no_json")
         .when(doc.isNull(), "invalid_json")
-        .when(members.isNull(), "not_object")
-        .when(F.size(members) == 0, "empty")
+        .when(~is_object(doc), "not_object")
+        .when(F.size(members(doc)) == 0, "empty")
         .when(misplaced(GENERAL_SECTION, "map<string,variant>"), "general_not_object")
         .when(misplaced(TRACK_SECTION, "array<variant>"), "tracks_not_array")
-        .when(F.exists(elements, lambda t: as_object(t).isNull()), "track_not_object")
+        .when(F.exists(elements, lambda t: ~is_object(t)), "track_not_object")
         .otherwise("ok")
     )
 
@@ -98,7 +103,7 @@ def quarantine(parsed: DataFrame) -> DataFrame:
 
 def found_documents(parsed: DataFrame, column: str = "doc_json") -> DataFrame:
     """Documents that hold anything, as JSON text in ``column``."""
-    keep = F.when(F.size(as_object("doc")) > 0, F.array(F.to_json("doc")))
+    keep = F.when(F.size(members("doc")) > 0, F.array(F.to_json("doc")))
     return parsed.withColumn(column, F.explode(keep)).drop("doc", "status")
 
 
@@ -108,7 +113,7 @@ def general_rows(parsed: DataFrame, key: str = "lp_id", fields: list[str] = GENE
     ``LP_ID`` is the album key, whatever the document says. Missing members are null.
     """
     section = get("doc", GENERAL_SECTION, kind="variant")
-    filled = F.when(F.size(as_object(section)) > 0, F.array(section))
+    filled = F.when(F.size(members(section)) > 0, F.array(section))
     rows = parsed.select(F.col(key).alias("LP_ID"), F.explode(filled).alias("_general"))
     return rows.select("LP_ID", *[get("_general", f).alias(f) for f in fields if f != "LP_ID"])
 
@@ -123,19 +128,22 @@ def track_rows(parsed: DataFrame, key: str = "lp_id", coerce_numbers: bool = Tru
     """
     entries = get("doc", TRACK_SECTION, kind="array<variant>")
     rows = parsed.select(F.col(key).alias("LP_ID"), F.posexplode(entries).alias("seq", "_track"))
-    rows = rows.where(as_object("_track").isNotNull())
+    rows = rows.where(is_object("_track"))
     t = F.col("_track")
-    number = number_field(t)
     length = get(t, "Track_Length")
+    # Own columns for what is used several times, so that it is computed once.
+    rows = rows.withColumn("_number", number_field(t)).withColumn(
+        "_digits", F.regexp_extract(get("_number"), "[0-9]+", 0))
+    number = S.zero_pad(S.empty_to_null(F.col("_digits")))
     return rows.select(
         "LP_ID", "seq",
         get(t, "Face").alias("Face"),
-        get(number).alias("Track Number"),
+        get("_number").alias("Track Number"),
         default_if_absent(t, "Track_Name").alias("Track_Name"),
         default_if_absent(t, "Track_Composer").alias("Track_Composer"),
         (length if default_length is None
          else default_if_absent(t, "Track_Length", default_length)).alias("Track_Length"),
-        track_number(get(number), None if coerce_numbers else is_text(number)).alias("track_no"),
+        (number if coerce_numbers else F.when(is_text(F.col("_number")), number)).alias("track_no"),
     )
 
 

@@ -7,19 +7,26 @@ from pyspark.sql import types as T
 # A key with more than 1/HOT_KEYS of all rows is among the HOT_KEYS most frequent ones, so this
 # many rows are all that ever needs to be broadcast.
 HOT_KEYS = 256
-# Counters of the frequency sketch, per task.
-SKETCH_COUNTERS = 8192
+# Counters of a frequency sketch. Its error is 3.5 / SKETCH_COUNTERS of the rows, below 1/HOT_KEYS.
+SKETCH_COUNTERS = 2048
+# Sketches of the tasks are merged in this many groups first, so that no task merges all of them.
+SKETCH_GROUPS = 256
 # Keys with fewer rows than this are never worth spreading.
 MIN_HOT_ROWS = 10_000
 
 
 def hot_keys(rows: DataFrame, on: list[str], min_rows: int = MIN_HOT_ROWS) -> DataFrame:
-    """Hashes of the most frequent keys: at most HOT_KEYS rows, from one map-side sketch.
+    """Hashes of the most frequent keys: at most HOT_KEYS rows, from one sketch per task.
 
     The sketch only decides how rows are spread, never which rows a result has.
     """
-    top = F.expr(f"approx_top_k(_key, {HOT_KEYS}, {SKETCH_COUNTERS})")
-    found = rows.select(F.xxhash64(*on).alias("_key")).agg(F.explode(top).alias("_top"))
+    group = F.pmod(F.spark_partition_id(), F.lit(SKETCH_GROUPS)).alias("_group")
+    keys = rows.select(group, F.xxhash64(*on).alias("_key"))
+    sketches = keys.groupBy("_group").agg(F.expr(f"approx_top_k_accumulate(_key, {SKETCH_COUNTERS})").alias("_sketch"))
+    # Grouped by a constant: without a group, an empty partition would have to give an empty sketch,
+    # which this aggregate cannot write.
+    merged = sketches.groupBy(F.lit("all")).agg(F.expr(f"approx_top_k_combine(_sketch, {SKETCH_COUNTERS})").alias("_sketch"))
+    found = merged.select(F.explode(F.expr(f"approx_top_k_estimate(_sketch, {HOT_KEYS})")).alias("_top"))
     return found.where(F.col("_top.count") >= min_rows).select(F.col("_top.item").alias("_hot"))
 
 

@@ -46,7 +46,7 @@ def tracks_with_audio(responses: DataFrame, audio: DataFrame, how: str = "greedy
     def tracks(some: DataFrame) -> DataFrame:
         return raw_tracks(some, how, coerce_numbers=not parity)
 
-    probe = match.with_audio_name(tracks(responses.sample(PROBE_SHARE, seed=7)), parity)
+    probe = match.with_audio_name(tracks(responses.sample(fraction=PROBE_SHARE, seed=7)), parity)
     hot = hot_keys(probe, ["LP_ID", "Track Filename"], min_rows=int(MIN_HOT_ROWS * PROBE_SHARE))
     return match.match_exact(tracks(responses), audio, parity, hot=hot)
 
