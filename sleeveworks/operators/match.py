@@ -4,7 +4,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sleeveworks.functions import scalars as S
-from sleeveworks.operators.skew import lookup
+from sleeveworks.operators.skew import hot_keys, lookup
 from sleeveworks.schema import FACES, MISSING, SLOTS_PER_FACE
 
 
@@ -42,6 +42,8 @@ def match_with_fallback(tracks: DataFrame, audio: DataFrame, hot_slots: DataFram
         .groupBy("LP_ID", "Face", "track_no").agg(F.min("_file").alias("_exact"))
     )
     albums = audio.groupBy(F.col("lp_id").alias("LP_ID")).agg(F.min(file).alias("_any"))
+    # Hot albums are looked for in the tracks themselves, not behind the first join.
+    hot_albums = hot_keys(tracks, ["LP_ID"]) if hot_albums is None else hot_albums
     found = lookup(tracks, slots, ["LP_ID", "Face", "track_no"], hot=hot_slots)
     found = lookup(found, albums, ["LP_ID"], hot=hot_albums)
     best = F.coalesce("_exact", "_any")
