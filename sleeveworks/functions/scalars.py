@@ -65,23 +65,27 @@ def audio_name(lp_id: Column, face: Column, number: Column, parity: bool = False
     return F.concat(lp_id, F.lit("_1z1_"), face, number, F.lit(".mp3"))
 
 
-def legacy_audio_slot(lp_id: Column, file_name: Column) -> tuple[Column, Column]:
-    """(face, two-digit number) of a file named ``{lp}_{A|B}{N}.mp3``, nulls otherwise."""
+def legacy_slot_code(lp_id: Column, file_name: Column) -> Column:
+    """Face and number, such as ``A1``, of a file named ``{lp}_{A|B}{N}.mp3``; null otherwise."""
     rest = F.when(
         F.startswith(file_name, F.concat(lp_id, F.lit("_"))),
         F.substring(file_name, F.length(lp_id) + 2, F.length(file_name)),
     )
-    pattern = r"^([AB])([0-9]+)\.mp3"
-    face = empty_to_null(F.regexp_extract(rest, pattern, 1))
-    number = zero_pad(empty_to_null(F.regexp_extract(rest, pattern, 2)))
-    return face, number
+    return empty_to_null(F.regexp_extract(rest, r"^([AB][0-9]+)\.mp3", 1))
 
 
-def audio_slot(file_name: Column) -> tuple[Column, Column]:
-    """(face, track number) from the last underscore part of a file name."""
-    pattern = r"(?:^|_)([^_])([0-9]+)\.mp3$"
-    face = empty_to_null(F.regexp_extract(file_name, pattern, 1))
-    return face, F.regexp_extract(file_name, pattern, 2).try_cast("int")
+def slot_code(file_name: Column) -> Column:
+    """Face and number, such as ``A01``, from the last underscore part of a file name."""
+    return empty_to_null(F.regexp_extract(file_name, r"(?:^|_)([^_][0-9]+)\.mp3$", 1))
+
+
+def code_face(code: Column) -> Column:
+    return F.left(code, F.lit(1))
+
+
+def code_number(code: Column) -> Column:
+    """Digits of a slot code."""
+    return F.substring(code, F.lit(2), F.length(code))
 
 
 def lp_id_of_file(file_name: Column) -> Column:

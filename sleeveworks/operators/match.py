@@ -34,11 +34,14 @@ def match_with_fallback(tracks: DataFrame, audio: DataFrame, hot_slots: DataFram
                         hot_albums: DataFrame | None = None) -> DataFrame:
     """Add ``File_Name`` and ``Track_Length``: the file of the track's (face, number), else the
     first file of the album by name, else ``missing``."""
-    face, number = S.legacy_audio_slot(F.col("lp_id"), F.col("file_name"))
     file = F.struct(F.col("file_name"), F.col("seconds"))
+    code = S.legacy_slot_code(F.col("lp_id"), F.col("file_name"))
+    # Exploded rather than filtered, so that the name is parsed once.
+    coded = audio.select(F.col("lp_id").alias("LP_ID"), file.alias("_file"),
+                         F.explode(F.array_compact(F.array(code))).alias("_code"))
     slots = (
-        audio.select(F.col("lp_id").alias("LP_ID"), face.alias("Face"), number.alias("track_no"), file.alias("_file"))
-        .where("Face is not null")
+        coded.select("LP_ID", S.code_face(F.col("_code")).alias("Face"),
+                     S.zero_pad(S.code_number(F.col("_code"))).alias("track_no"), "_file")
         .groupBy("LP_ID", "Face", "track_no").agg(F.min("_file").alias("_exact"))
     )
     albums = audio.groupBy(F.col("lp_id").alias("LP_ID")).agg(F.min(file).alias("_any"))
@@ -60,8 +63,9 @@ def _slot_files(audio: DataFrame, albums: DataFrame | None, faces: list[str], sl
     Each slot is a conditional minimum, so every task reduces its input to one row per album
     before the only shuffle, and no album is ever collected.
     """
-    face, plage = S.audio_slot(F.col("file_name"))
-    files = audio.select("lp_id", face.alias("face"), plage.alias("plage"),
+    coded = audio.withColumn("_code", S.slot_code(F.col("file_name")))
+    files = coded.select("lp_id", S.code_face(F.col("_code")).alias("face"),
+                         S.code_number(F.col("_code")).try_cast("int").alias("plage"),
                          F.struct("file_name", "seconds").alias("file"))
     if albums is not None:
         files = files.unionByName(albums.select("lp_id"), allowMissingColumns=True)

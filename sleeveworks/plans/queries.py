@@ -265,12 +265,14 @@ def normalise_number(spark, sf_dir):
 def file_names(spark, sf_dir):
     """What audio file names say: album, slot in both styles, shelfmark."""
     lp, name = F.col("lp_id"), F.col("file_name")
-    face, plage = S.audio_slot(name)
-    old_face, old_number = S.legacy_audio_slot(lp, name)
-    return A.frame(spark, sf_dir, "audio_files").select(
-        S.lp_id_of_file(name).alias("lp_id"), name, face.alias("face"), plage.alias("plage"),
-        old_face.alias("old_face"), old_number.alias("old_number"),
-        S.shelfmark(lp).alias("cote"), S.shelfmark_of_folder(F.concat(lp, F.lit("_1z1"))).alias("folder_cote"),
+    coded = A.frame(spark, sf_dir, "audio_files").select(
+        lp, name, S.slot_code(name).alias("code"), S.legacy_slot_code(lp, name).alias("old_code"))
+    code, old_code = F.col("code"), F.col("old_code")
+    return coded.select(
+        S.lp_id_of_file(name).alias("lp_id"), name, S.code_face(code).alias("face"),
+        S.code_number(code).try_cast("int").alias("plage"), S.code_face(old_code).alias("old_face"),
+        S.zero_pad(S.code_number(old_code)).alias("old_number"), S.shelfmark(lp).alias("cote"),
+        S.shelfmark_of_folder(F.concat(lp, F.lit("_1z1"))).alias("folder_cote"),
         S.output_name(F.concat(lp, F.lit("_combined.txt"))).alias("output_name"))
 
 

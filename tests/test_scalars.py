@@ -77,12 +77,13 @@ def test_null_spellings(spark):
 
 
 def test_audio_slots(spark):
-    face, plage = S.audio_slot(F.col("x"))
+    code = S.slot_code(F.col("x"))
     names = ["LP1_1z1_A01.mp3", "LP1_B12.mp3", "A3.mp3", "LP1_1z1_A0x.mp3", "cover.mp3"]
-    assert values(spark, F.struct(face, plage), names) == [("A", 1), ("B", 12), ("A", 3), (None, None), (None, None)]
-    face, number = S.legacy_audio_slot(F.lit("LP1"), F.col("x"))
-    names = ["LP1_A1.mp3", "LP1_B12.mp3", "LP1_1z1_A01.mp3", "LP11_A1.mp3", "LP1_C1.mp3"]
-    assert values(spark, F.struct(face, number), names) == [("A", "01"), ("B", "12")] + [(None, None)] * 3
+    assert values(spark, F.struct(S.code_face(code), S.code_number(code)), names) == [
+        ("A", "01"), ("B", "12"), ("A", "3"), (None, None), (None, None)]
+    code = S.legacy_slot_code(F.lit("LP1"), F.col("x"))
+    assert values(spark, code, ["LP1_A1.mp3", "LP1_B12.mp3", "LP1_1z1_A01.mp3", "LP11_A1.mp3", "LP1_C1.mp3"]) == [
+        "A1", "B12", None, None, None]
 
 
 def test_data_url_has_no_line_ends(spark):
