@@ -22,24 +22,31 @@ def track_rules() -> dict[str, Column]:
     }
 
 
-def report(df: DataFrame, rules: dict[str, Column]) -> DataFrame:
-    """``rule, checked, violations`` for every rule, from one pass. Null breaks a rule."""
-    counts = df.agg(
-        F.count(F.lit(1)).alias("checked"),
-        *[F.count_if(~F.coalesce(good, F.lit(False))).alias(name) for name, good in rules.items()],
-    )
-    rows = F.array(*[F.struct(F.lit(n).alias("rule"), F.col("checked"), F.col(n).alias("violations")) for n in rules])
-    return counts.select(F.inline(rows))
+def _broken(good: Column) -> Column:
+    """Null breaks a rule."""
+    return ~F.coalesce(good, F.lit(False))
+
+
+def _as_rows(counts: DataFrame, rules: dict[str, str]) -> DataFrame:
+    """``rule, checked, violations`` from one row of counts; ``rules`` names what was checked."""
+    return counts.select(F.inline(F.array(*[
+        F.struct(F.lit(rule).alias("rule"), F.coalesce(checked, F.lit(0)).alias("checked"),
+                 F.coalesce(rule, F.lit(0)).alias("violations"))
+        for rule, checked in rules.items()])))
 
 
 def contract_report(albums: DataFrame, tracks: DataFrame, per_face: int = SLOTS_PER_FACE) -> DataFrame:
-    """All rules over raw album rows and raw track rows.
+    """``rule, checked, violations`` over raw album rows and raw track rows, each read once.
 
     ``tracks_per_face`` checks every (album, face) that has tracks.
     """
-    sides = tracks.groupBy("LP_ID", "Face").agg(F.count(F.lit(1)).alias("n"))
-    return (
-        report(albums, general_rules())
-        .unionByName(report(tracks, track_rules()))
-        .unionByName(report(sides, {"tracks_per_face": F.col("n") == per_face}))
-    )
+    album_rules, row_rules = general_rules(), track_rules()
+    album_counts = albums.agg(
+        F.count(F.lit(1)).alias("n"), *[F.count_if(_broken(good)).alias(r) for r, good in album_rules.items()])
+    sides = tracks.groupBy("LP_ID", "Face").agg(
+        F.count(F.lit(1)).alias("n"), *[F.count_if(_broken(good)).alias(r) for r, good in row_rules.items()])
+    track_counts = sides.agg(
+        F.sum("n").alias("rows"), F.count(F.lit(1)).alias("sides"), *[F.sum(r).alias(r) for r in row_rules],
+        F.count_if(F.col("n") != per_face).alias("tracks_per_face"))
+    return _as_rows(album_counts, dict.fromkeys(album_rules, "n")).unionByName(
+        _as_rows(track_counts, {**dict.fromkeys(row_rules, "rows"), "tracks_per_face": "sides"}))

@@ -5,6 +5,7 @@ that is empty for unusable documents, never with a filter on a decoded value: th
 push such a filter below the projection and decode every text twice.
 """
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -76,10 +77,10 @@ def parse_documents(df: DataFrame, text: str = "response", how: str = "greedy")
 def _status(span: Column, doc: Column) -> Column:
     """``ok``, ``empty`` (an object without members), or why the document is unusable."""
 
-    def misplaced(section: str, kind: str) -> Column:
+    def misplaced(section: str, fits: Callable[[Column], Column]) -> Column:
         value = get(doc, section, kind="variant")
-        there = value.isNotNull() & ~F.is_variant_null(value) & ~get(value).isin(_FALSY)
-        return there & get(value, kind=kind).isNull()
+        # The costly look at the text comes last and only for values of the wrong type.
+        return value.isNotNull() & ~fits(value) & ~F.is_variant_null(value) & ~get(value).isin(_FALSY)
 
     elements = get(doc, TRACK_SECTION, kind="array<variant>")
     return (
@@ -87,8 +88,8 @@ def _status(span: Column, doc: Column) -> Column:
         .when(doc.isNull(), "invalid_json")
         .when(~is_object(doc), "not_object")
         .when(F.size(members(doc)) == 0, "empty")
-        .when(misplaced(GENERAL_SECTION, "map<string,variant>"), "general_not_object")
-        .when(misplaced(TRACK_SECTION, "array<variant>"), "tracks_not_array")
+        .when(misplaced(GENERAL_SECTION, is_object), "general_not_object")
+        .when(misplaced(TRACK_SECTION, lambda v: get(v, kind="array<variant>").isNotNull()), "tracks_not_array")
         .when(F.exists(elements, lambda t: ~is_object(t)), "track_not_object")
         .otherwise("ok")
     )
@@ -107,15 +108,21 @@ def found_documents(parsed: DataFrame, column: str = "doc_json") -> DataFrame:
     return parsed.withColumn(column, F.explode(keep)).drop("doc", "status")
 
 
-def general_rows(parsed: DataFrame, key: str = "lp_id", fields: list[str] = GENERAL_FIELDS) -> DataFrame:
+def general_rows(parsed: DataFrame, key: str = "lp_id", fields: list[str] = GENERAL_FIELDS,
+                 defaults: dict[str, str] | None = None) -> DataFrame:
     """One row per document that has a general section.
 
-    ``LP_ID`` is the album key, whatever the document says. Missing members are null.
+    ``LP_ID`` is the album key, whatever the document says. Absent members are null, or what
+    ``defaults`` gives for them.
     """
+    defaults = defaults or {}
     section = get("doc", GENERAL_SECTION, kind="variant")
     filled = F.when(F.size(members(section)) > 0, F.array(section))
     rows = parsed.select(F.col(key).alias("LP_ID"), F.explode(filled).alias("_general"))
-    return rows.select("LP_ID", *[get("_general", f).alias(f) for f in fields if f != "LP_ID"])
+    section = F.col("_general")
+    return rows.select("LP_ID", *[
+        (default_if_absent(section, f, defaults[f]) if f in defaults else get(section, f)).alias(f)
+        for f in fields if f != "LP_ID"])
 
 
 def track_rows(parsed: DataFrame, key: str = "lp_id", coerce_numbers: bool = True,

@@ -18,8 +18,10 @@ from sleeveworks.functions.text import cover_text
 from sleeveworks.operators import covers, extract, label, match, select
 from sleeveworks.operators.enrich import enrich
 from sleeveworks.operators.skew import MIN_HOT_ROWS, hot_keys
+from sleeveworks.schema import RAW_GENERAL, RAW_TRACK
+from sleeveworks.sources import files
 from sleeveworks.sources import manifest as M
-from sleeveworks.sources.sinks import append_table, write_csv, write_table
+from sleeveworks.sources.sinks import append_table, export_files, write_csv, write_table
 
 # Share of the responses that is decoded ahead to find keys worth spreading. It steers how rows
 # are distributed; every response is decoded and kept in the result.
@@ -102,14 +104,14 @@ class Run:
                 raise
             return self.spark.createDataFrame([], f"{key} string")
 
-    def files(self) -> DataFrame:
+    def manifest(self) -> DataFrame:
         return M.manifest(M.scan_files(self.spark, self.base_dir), self.base_dir)
 
     def recognise_covers(self, make_reader: Callable[[], Callable[[Any], str]], selection: str = "all") -> None:
         """Stage 1: texts of the selected albums that have both covers and no text yet."""
-        files = self.files()
-        chosen = select.select_positions(select.album_names(files), selection, parity=self.parity)
-        pairs = covers.complete_pairs(covers.cover_pairs(files)).join(chosen, "lp_id", "left_semi")
+        found = self.manifest()
+        chosen = select.select_positions(select.album_names(found), selection, parity=self.parity)
+        pairs = covers.complete_pairs(covers.cover_pairs(found)).join(chosen, "lp_id", "left_semi")
         todo = match.not_done(pairs, self._stored("ocr_text", "lp_id"), ["lp_id"])
         append_table(recognise(todo, make_reader, self.workers, self.calls_per_minute)
                      .drop("front_path", "back_path"), self.path("ocr_text"))
@@ -123,20 +125,48 @@ class Run:
         append_table(answers.drop("combined_text"), attempt)
         parsed = extract.parse_documents(self.spark.read.parquet(attempt))
         append_table(extract.found_documents(parsed).select("lp_id", "doc_json"), self.path("extractions"))
+        append_table(extract.quarantine(parsed).select("lp_id", "response", "reason"), self.path("unreadable"))
+
+    def load_texts(self, directory: str) -> None:
+        """Instead of stage 1: ``<album>_combined.txt`` files that exist already."""
+        texts = files.read_texts(self.spark, directory).select("lp_id", "combined_text")
+        append_table(match.not_done(texts, self._stored("ocr_text", "lp_id"), ["lp_id"]), self.path("ocr_text"))
+
+    def load_documents(self, directory: str) -> None:
+        """Instead of stage 2: extraction documents that exist already, one JSON file each."""
+        parsed = files.read_documents(self.spark, directory)
+        found = extract.found_documents(parsed).select("lp_id", "doc_json")
+        append_table(match.not_done(found, self._stored("extractions", "lp_id"), ["lp_id"]), self.path("extractions"))
+        append_table(extract.quarantine(parsed).select("lp_id", "response", "reason"), self.path("unreadable"))
+
+    def export(self, directory: str) -> None:
+        """The intermediate results as files: a text and a JSON file per album, raw tables as CSV."""
+        texts = self.table("ocr_text").withColumn("file", F.concat("lp_id", F.lit("_combined.txt")))
+        export_files(texts, f"{directory}/texts", "file", "combined_text")
+        documents = self.table("extractions").withColumn(
+            "file", S.output_name(F.concat("lp_id", F.lit("_combined.txt"))))
+        export_files(documents, f"{directory}/documents", "file", "doc_json")
+        write_csv(self.table("raw_general").select(*RAW_GENERAL.names), f"{directory}/general_info")
+        write_csv(self.table("tracks_with_audio").select(*RAW_TRACK.names), f"{directory}/track_info")
 
     def flatten(self, audio: DataFrame) -> None:
-        """Stage 3: raw album and track tables, and what could not be used."""
+        """Stage 3: raw album and track tables, and tracks with their files."""
         parsed = extract.parse_documents(self.table("extractions"), text="doc_json", how="whole")
         write_table(extract.general_rows(parsed), self.path("raw_general"))
         write_table(extract.track_rows(parsed, coerce_numbers=not self.parity), self.path("raw_tracks"))
-        responses = extract.parse_documents(self.table("responses"))
-        write_table(extract.quarantine(responses).select("lp_id", "response", "reason"), self.path("quarantine"))
         matched = match.match_exact(self.table("raw_tracks"), match.inventory(audio), self.parity)
         write_table(matched, self.path("tracks_with_audio"))
 
     def label(self) -> None:
         """Stage 4: the two catalogues, as CSV."""
-        tracks = self.table("tracks_with_audio")
-        albums = match.with_support_count(self.table("raw_general"), tracks)
-        write_csv(label.general_catalogue(albums, self.curator, self.note, self.as_of), self.path("general_catalogue"))
+        self._label(self.table("raw_general"), self.table("tracks_with_audio"))
+
+    def label_csv(self, directory: str) -> None:
+        """Stage 4 from exported, perhaps corrected, raw CSV tables."""
+        self._label(files.read_csv(self.spark, f"{directory}/general_info", RAW_GENERAL),
+                    files.read_csv(self.spark, f"{directory}/track_info", RAW_TRACK))
+
+    def _label(self, albums: DataFrame, tracks: DataFrame) -> None:
+        counted = match.with_support_count(albums, tracks)
+        write_csv(label.general_catalogue(counted, self.curator, self.note, self.as_of), self.path("general_catalogue"))
         write_csv(label.track_catalogue(tracks, self.parity), self.path("track_catalogue"))

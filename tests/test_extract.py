@@ -91,6 +91,8 @@ def test_general_rows(spark, rows):
     got = extract.general_rows(df)
     assert rows(got, "LP_ID", "Title", "`Genre/Style`", "`Publishing Year`", "Subtitle") == [
         ("LP1", "T", "G", "1970", None), ("LP4", None, None, None, None)]
+    assert rows(extract.general_rows(df, defaults={"Country": "missing"}), "LP_ID", "Country") == [
+        ("LP1", "missing"), ("LP4", None)]
 
 
 def test_track_defaults_only_where_the_key_is_absent(spark, rows):

@@ -69,9 +69,9 @@ def test_run_from_folders_to_catalogues(spark, rows, archive):
     run.ask_model("Extract.\n", make_model(str(model)))
     assert len(lines(model)) == 3
 
-    audio = manifest.audio_files(run.files()).selectExpr("lp_id", "file_name", "185.9D AS seconds")
+    audio = manifest.audio_files(run.manifest()).selectExpr("lp_id", "file_name", "185.9D AS seconds")
     run.flatten(audio)
-    assert rows(run.table("quarantine"), "lp_id", "reason") == [("LP2", "no_json")]
+    assert rows(run.table("unreadable"), "lp_id", "reason") == [("LP2", "no_json")]
     run.label()
     tracks = files.read_csv(spark, run.path("track_catalogue"), CLEAN_TRACK)
     assert rows(tracks) == [
@@ -84,6 +84,25 @@ def test_run_from_folders_to_catalogues(spark, rows, archive):
         ("LP1-1/1", "Europe", "Title LP1", 2, "Digitised. (A. B 09.2024)"),
         ("LP2-1/1", "Europe", "Title LP2", 2, "Digitised. (A. B 09.2024)")]
 
+    out = archive / "export"
+    run.export(str(out))
+    assert sorted(p.name for p in (out / "texts").iterdir()) == ["LP1_combined.txt", "LP2_combined.txt"]
+    again = Run(spark, run.base_dir, str(archive / "again"), run.curator, run.note, run.as_of)
+    (out / "documents" / "LP5_ai_output.json").write_text("{")
+    again.load_texts(str(out / "texts"))
+    again.load_documents(str(out / "documents"))
+    again.load_documents(str(out / "documents"))
+    assert rows(again.table("ocr_text"), "lp_id") == [("LP1",), ("LP2",)]
+    assert rows(again.table("extractions")) == rows(run.table("extractions"))
+    assert ("LP5", "invalid_json") in rows(again.table("unreadable"), "lp_id", "reason")
+    again.flatten(audio)
+    again.label()
+    fresh = rows(files.read_csv(spark, again.path("track_catalogue"), CLEAN_TRACK))
+    assert fresh == rows(tracks)
+    again.label_csv(str(out))
+    assert rows(files.read_csv(spark, again.path("track_catalogue"), CLEAN_TRACK)) == fresh
+    assert rows(files.read_csv(spark, again.path("general_catalogue"), CLEAN_GENERAL)) == rows(albums)
+
 
 def test_arriving_files_are_processed_once(spark, rows, tmp_path):
     inbox, out, state = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "state")
