@@ -31,17 +31,21 @@ def _count(text: Column, characters: str) -> Column:
     return F.length(text) - F.length(F.translate(text, characters, ""))
 
 
-def line_fails(line: Column, junk_share: float = 0.125, bar_share: float = 0.05, phrase_chars: int = 80) -> Column:
+def line_fails(line: Column, junk_share: float = 0.125, bar_share: float = 0.05, phrase_length: int = 100) -> Column:
     """Whether a line is junk: by its share of symbols or exclamation marks, as a bar of three
-    separators or more, or as a short line with a boilerplate phrase. A line without a word passes."""
+    separators or more, or as a short line with a boilerplate phrase. A line without a word passes.
+
+    One search for any mark comes first, so that plain prose is not counted character by character.
+    """
     chars = F.length(F.translate(line, WHITE, ""))
     bars = _count(line, SEPARATORS)
-    return (
+    marked = (
         (_count(line, JUNK) > junk_share * chars)
         | (_count(line, SHOUT) > junk_share * chars)
         | ((bars >= 3) & (bars > bar_share * chars))
-        | ((chars <= phrase_chars) & F.lower(line).rlike("|".join(BOILERPLATE)))
     )
+    phrase = (F.length(line) <= phrase_length) & F.lower(line).rlike("|".join(BOILERPLATE))
+    return (line.rlike(f"[{JUNK}{SHOUT}{SEPARATORS}]") & marked) | phrase
 
 
 def measure(docs: DataFrame, text: str = "text", min_words: int = 20, max_repeat_percent: int = 30,
@@ -63,11 +67,15 @@ def measure(docs: DataFrame, text: str = "text", min_words: int = 20, max_repeat
     })
     rows = rows.withColumns({
         f"{p}n_words": F.size("_words").cast("long"),
+        f"{p}word_chars": F.length(F.array_join("_words", "")).cast("long"),
         "_filled": F.filter("_lines", lambda line: F.btrim(line, F.lit(WHITE)) != ""),
-        "_windows": F.expr(
-            f"CASE WHEN size(_words) >= {WINDOW} THEN "
-            f"transform(sequence(1, size(_words) - {WINDOW - 1}), i -> xxhash64(slice(_words, i, {WINDOW}))) END"),
+        "_hashes": F.transform("_words", lambda word: F.xxhash64(word)),
     }).drop("_words")
+    following = ", ".join(f"get(_hashes, i + {k})" for k in range(1, WINDOW))
+    rows = rows.withColumn("_windows", F.expr(
+        f"CASE WHEN size(_hashes) >= {WINDOW} THEN "
+        f"transform(slice(_hashes, 1, size(_hashes) - {WINDOW - 1}), (h, i) -> xxhash64(h, {following})) END"
+    )).drop("_hashes")
     # Windows found twice or more, by sorting hashes beside their places; most texts have none.
     rows = rows.withColumn("_sorted", F.expr(
         "CASE WHEN size(array_distinct(_windows)) < size(_windows) THEN "
@@ -78,8 +86,7 @@ def measure(docs: DataFrame, text: str = "text", min_words: int = 20, max_repeat
     )).drop("_sorted")
     failed = F.filter("_filled", lambda line: line_fails(line))
     rows = rows.withColumns({
-        f"{p}word_chars": F.length(F.translate(body, WHITE, "")).cast("long"),
-        f"{p}n_symbols": _count(body, SYMBOLS).cast("long"),
+        f"{p}n_symbols": F.when(body.rlike(f"[{SYMBOLS}]"), _count(body, SYMBOLS)).otherwise(0).cast("long"),
         f"{p}n_dup_lines": (F.size("_filled") - F.size(F.array_distinct("_filled"))).cast("long"),
         f"{p}n_repeat_words": F.expr(
             f"CAST(CASE WHEN _places IS NULL THEN 0 ELSE aggregate(transform(_places, (x, j) -> "

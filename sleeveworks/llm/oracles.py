@@ -17,7 +17,7 @@ def quality(source: str = "documents") -> str:
     fails = (
         f"(8 * {_n('line', JUNK)} > {size} OR 8 * {_n('line', '!')} > {size} OR "
         f"({_n('line', SEPARATORS)} >= 3 AND 20 * {_n('line', SEPARATORS)} > {size}) OR "
-        f"({size} <= 80 AND regexp_matches(lower(line), '{'|'.join(BOILERPLATE)}')))"
+        f"(length(line) <= 100 AND regexp_matches(lower(line), '{'|'.join(BOILERPLATE)}')))"
     )
     window = " || ' ' || ".join(f"lead(word, {k}) OVER (PARTITION BY doc_id ORDER BY i)" for k in range(WINDOW))
     return f"""
