@@ -4,7 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sleeveworks.llm import host_reputation, line_cleaning, sharding
+from sleeveworks.llm import host_reputation, line_cleaning, sharding, suffix_dedup
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -13,6 +13,11 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes of every document inside a 200-byte string that occurs again."""
+    return suffix_dedup.removal_report(_table(spark, sf_dir, "documents"))
+
+
 def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document in one of 40 shards, equal in rows and mixture."""
     return sharding.interleave(_table(spark, sf_dir, "documents"), shards=40)
@@ -29,6 +34,7 @@ def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_suffix_dedup": op1_suffix_dedup,
     "op2_sharding": op2_sharding,
     "op6_quality_rules": op6_quality_rules,
     "op7_url_filter": op7_url_filter,
