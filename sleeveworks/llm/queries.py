@@ -4,7 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sleeveworks.llm import host_reputation, line_cleaning, sharding, suffix_dedup
+from sleeveworks.llm import host_reputation, jaccard_join, line_cleaning, sharding, suffix_dedup
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -33,9 +33,15 @@ def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return host_reputation.judge(_table(spark, sf_dir, "pages"), _table(spark, sf_dir, "labels"))
 
 
+def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of documents that share nine tenths of their 3-word shingles."""
+    return jaccard_join.similar_groups(_table(spark, sf_dir, "documents"), size=3, percent=90)
+
+
 QUERIES: dict[str, Query] = {
     "op1_suffix_dedup": op1_suffix_dedup,
     "op2_sharding": op2_sharding,
     "op6_quality_rules": op6_quality_rules,
     "op7_url_filter": op7_url_filter,
+    "op10_jaccard_join": op10_jaccard_join,
 }
