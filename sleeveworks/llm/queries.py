@@ -4,7 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sleeveworks.llm import host_reputation, jaccard_join, line_cleaning, sharding, suffix_dedup
+from sleeveworks.llm import embedding_forest, host_reputation, jaccard_join, line_cleaning, sharding, suffix_dedup
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -23,6 +23,11 @@ def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.interleave(_table(spark, sf_dir, "documents"), shards=40)
 
 
+def op3_embedding_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and components of all vectors with a cosine of 0.98 or more."""
+    return embedding_forest.near_vectors(_table(spark, sf_dir, "embeddings"))
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Figures and verdict of every document."""
     return line_cleaning.quality_report(_table(spark, sf_dir, "documents"))
@@ -41,6 +46,7 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_suffix_dedup": op1_suffix_dedup,
     "op2_sharding": op2_sharding,
+    "op3_embedding_forest": op3_embedding_forest,
     "op6_quality_rules": op6_quality_rules,
     "op7_url_filter": op7_url_filter,
     "op10_jaccard_join": op10_jaccard_join,
