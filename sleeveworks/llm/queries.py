@@ -4,7 +4,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sleeveworks.llm import embedding_forest, host_reputation, jaccard_join, line_cleaning, sharding, suffix_dedup
+from sleeveworks.llm import embedding_forest, host_reputation, jaccard_join, line_cleaning, piece_transducer, sharding, suffix_dedup
+
+#: Files of public tokenizers; they are read where they lie.
+TOKENIZERS = "/opt/tokenizers"
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -38,6 +41,12 @@ def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return host_reputation.judge(_table(spark, sf_dir, "pages"), _table(spark, sf_dir, "labels"))
 
 
+def op9_pieces(spark: SparkSession, sf_dir: str, model_file: str = f"{TOKENIZERS}/piece_bpe_32k.model") -> DataFrame:
+    """Piece ids of every document, and whether they decode to its text."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return piece_transducer.encode(docs, model_file).drop("text")
+
+
 def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of documents that share nine tenths of their 3-word shingles."""
     return jaccard_join.similar_groups(_table(spark, sf_dir, "documents"), size=3, percent=90)
@@ -49,5 +58,6 @@ QUERIES: dict[str, Query] = {
     "op3_embedding_forest": op3_embedding_forest,
     "op6_quality_rules": op6_quality_rules,
     "op7_url_filter": op7_url_filter,
+    "op9_pieces": op9_pieces,
     "op10_jaccard_join": op10_jaccard_join,
 }
