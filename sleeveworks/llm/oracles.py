@@ -2,6 +2,7 @@
 
 from sleeveworks.llm.host_reputation import RULES, STRONGEST, WEAKEST
 from sleeveworks.llm.line_cleaning import BOILERPLATE, JUNK, SEPARATORS, WINDOW
+from sleeveworks.llm.raking import ROUNDS, TEMPER, TOPICS
 
 _WORD = "[^\\x20\\x09-\\x0D]+"
 _WHITE = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
@@ -84,4 +85,32 @@ SELECT page_id, host, path, rule,
        round(r, 6) AS rate
 FROM ruled JOIN by_host USING (host)"""
 
-ORACLES: dict[str, str] = {"op6_quality_rules": OP6, "op7_url_filter": OP7}
+
+def mixture(source: str = "documents", keep: float = 0.5, seed: int = 7) -> str:
+    """Per document of ``source`` its topic, tokens, raked probability and decision."""
+    cases = " ".join(f"WHEN regexp_matches(body, '{pattern}') THEN '{name}'" for name, pattern in TOPICS.items())
+    steps = [f"""shared AS (SELECT cells.*, {", ".join(f"pow(sum(tokens) OVER (PARTITION BY {d})::DOUBLE, {p}) AS own_{d}" for d, p in TEMPER.items())} FROM cells)"""]
+    totals = ", ".join(f"(SELECT sum(o) FROM (SELECT DISTINCT {d}, own_{d} AS o FROM shared)) AS all_{d}" for d in TEMPER)
+    steps.append(f"totals AS (SELECT {totals})")
+    steps.append(f"w0 AS (SELECT source, lang, topic, tokens, tokens::DOUBLE AS weight, {', '.join(f'own_{d} / nullif(all_{d}, 0) AS t_{d}' for d in TEMPER)} FROM shared, totals)")
+    n = 0
+    for _ in range(ROUNDS):
+        for d in TEMPER:
+            steps.append(f"w{n + 1} AS MATERIALIZED (SELECT * REPLACE (coalesce(weight * t_{d} / nullif(sum(weight) OVER (PARTITION BY {d}), 0), 0.0) AS weight) FROM w{n})")
+            n += 1
+    return f"""
+    WITH bodies AS (SELECT *, coalesce(text, '') AS body FROM {source}),
+    counted AS (SELECT *, CASE {cases} ELSE 'prose' END AS topic, len(regexp_extract_all(body, '{_WORD}'))::BIGINT AS n_tokens FROM bodies),
+    cells AS (SELECT source, lang, topic, sum(n_tokens)::BIGINT AS tokens FROM counted GROUP BY source, lang, topic),
+    {", ".join(steps)},
+    chances AS (SELECT source, lang, topic, round(least(1.0, coalesce({keep}::DOUBLE * weight /
+                nullif(tokens / (SELECT sum(tokens) FROM cells), 0), 1.0)), 9) AS probability FROM w{n})
+    SELECT counted.*, probability,
+           ('0x' || substr(md5(concat_ws(':', '{seed}', doc_id::VARCHAR)), 1, 12))::BIGINT::DOUBLE / {2.0**48} < probability AS kept
+    FROM counted JOIN chances ON counted.source IS NOT DISTINCT FROM chances.source
+        AND counted.lang IS NOT DISTINCT FROM chances.lang AND counted.topic = chances.topic"""
+
+
+OP4 = f"SELECT doc_id, source, lang, topic, n_tokens, probability, kept FROM ({mixture()})"
+
+ORACLES: dict[str, str] = {"op4_raking": OP4, "op6_quality_rules": OP6, "op7_url_filter": OP7}

@@ -10,12 +10,12 @@ follow each other (weight 0) only if merging their joined text gives back the tw
 rest infinite weight. Merges act in order of score, then place, and whatever crosses a boundary is a
 merge of its two neighbours, so a path is accepted exactly if it is the model's own segmentation.
 
-Inputs are cut where no piece can reach across (before a run of U+2581, around characters that are in
-no longer piece), and the stretches, mostly words, are remembered per Python worker.
+Inputs are cut where no piece can reach across, and the stretches, mostly words, are remembered per
+Python worker.
 """
 
 import re
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -32,6 +32,21 @@ UNIGRAM, BYTE_PAIR = 1, 2
 REMEMBERED = 1 << 18
 
 
+def _stretches(pieces: Iterable[str]) -> re.Pattern:
+    """Finds stretches that no piece reaches across. They end before a run of U+2581, between a letter
+    or digit and a mark that no piece has after one, and around characters that are in no longer piece."""
+    if not all(p.strip(SPACE) == "" or SPACE not in p.lstrip(SPACE) for p in pieces):
+        return re.compile(".+", re.DOTALL)
+    pairs = {pair for p in pieces for pair in zip(p, p[1:])}
+    joined = {c for pair in pairs for c in pair}
+    tied = {c for before, c in pairs if before.isalnum() and not c.isalnum()}
+    lone = "".join(re.escape(chr(c)) for c in range(32) if chr(c) not in joined)
+    mark, letter = f"(?:[^\\w{SPACE}{lone}]|_)", "[^\\W_]"
+    more = f"(?:[{re.escape(''.join(sorted(tied)))}]{mark}*{letter}*)*" if tied else ""
+    ends = [f"{SPACE}+{mark}*{letter}*{more}", f"{mark}+{letter}*{more}", f"{letter}+{more}"]
+    return re.compile("|".join(ends + ([f"[{lone}]"] if lone else [])))
+
+
 class Transducer:
     """A compiled model."""
 
@@ -55,13 +70,10 @@ class Transducer:
         self.longest = max(map(len, self.ids))
         # Less than any path of pieces could weigh.
         self.fallback_weight = 10.0 - min([s for s in self.scores.values() if s > -1e8], default=0.0)
-        joined = {c for p in self.ids if len(p) > 1 for c in p}
-        cuttable = all(SPACE not in p.strip(SPACE) and not (p.endswith(SPACE) and p.strip(SPACE)) for p in self.ids)
-        lone = "".join(re.escape(chr(c)) for c in range(32) if chr(c) not in joined)
-        word = f"{SPACE}+[^{SPACE}{lone}]*|[^{SPACE}{lone}]+" if cuttable else f"[^{lone}]+"
-        self._stretch = re.compile(f"{word}|[{lone}]" if lone else word, re.DOTALL)
-        self._single = lru_cache(REMEMBERED)(lambda text: self._merged(text) == (text,))
-        self._follows = lru_cache(REMEMBERED)(lambda a, b: self._merged(a + b) == (a, b))
+        self._stretch = _stretches(self.ids)
+        self._split = lru_cache(REMEMBERED)(self._last_merge)
+        self._spine = lru_cache(REMEMBERED)(self._sides)
+        self._follow: dict[tuple[str, str], bool] = {}
         self._known: dict[str, tuple[int, ...]] = {}
 
     def normalise(self, text: str) -> str:
@@ -72,57 +84,106 @@ class Transducer:
         text = (" " + text) if self.prefix else text
         return text.replace(" ", SPACE) if self.escape else text
 
-    def _merged(self, text: str) -> tuple[str, ...]:
-        """A short text after all merges, the best score first, then the leftmost."""
-        parts = list(text)
+    def _last_merge(self, piece: str) -> tuple[str, str] | None:
+        """The two parts that merging a piece's characters joins last; null if that doesn't give the
+        piece. The best score merges first, then the leftmost."""
+        parts, last = list(piece), None
         while len(parts) > 1:
-            best = None
-            for i in range(len(parts) - 1):
-                score = self.scores.get(parts[i] + parts[i + 1])
-                if score is not None and (best is None or score > best[0]):
-                    best = score, i
-            if best is None:
-                break
-            parts[best[1]:best[1] + 2] = ["".join(parts[best[1]:best[1] + 2])]
-        return tuple(parts)
-
-    def _arcs(self, text: str, start: int) -> Iterator[tuple[int, str | None, float]]:
-        """Arcs of the piece machine from a place in a text: end, piece (None: fallback), weight."""
-        for end in range(start + 1, min(start + self.longest, len(text)) + 1):
-            piece = text[start:end]
-            if piece in self.ids:
-                yield end, piece, 0.0 if self.byte_pair else -self.scores[piece]
+            scores = [self.scores.get(x + y, float("-inf")) for x, y in zip(parts, parts[1:])]
+            i = scores.index(max(scores))
+            if scores[i] == float("-inf"):
+                return None
+            last = parts[i], parts[i + 1]
+            parts[i:i + 2] = ["".join(last)]
+        return last
+
+    def _sides(self, piece: str, right: bool) -> list[tuple[str, float]]:
+        """The parts at one end of a piece while it is merged, smallest first, with the score that
+        made them. Scores fall along the way unless a merge had to wait for a worse one."""
+        found, worst = [], float("inf")
+        while len(piece) > 1:
+            found.append((piece, self.scores[piece]))
+            piece = self._split(piece)[1 if right else 0]
+        found.append((piece, worst))
+        found.reverse()
+        made = []
+        for part, score in found:
+            worst = min(worst, score)
+            made.append((part, worst))
+        return made
+
+    def _follows(self, first: str, second: str) -> bool:
+        """Whether merging the joined text of two pieces leaves the two: no merge across the boundary
+        comes before the one that uses up its left or its right side."""
+        known = self._follow.get((first, second))
+        if known is None:
+            left, right, i, j = self._spine(first, True), self._spine(second, False), 0, 0
+            none = float("-inf")
+            known = True
+            while True:
+                across = self.scores.get(left[i][0] + right[j][0], none)
+                grow_left = left[i + 1][1] if i + 1 < len(left) else none
+                grow_right = right[j + 1][1] if j + 1 < len(right) else none
+                # Of equal scores the leftmost merges first.
+                if across > grow_left and across >= grow_right:
+                    known = False
+                    break
+                if grow_left == none and grow_right == none:
+                    break
+                if grow_left >= grow_right:
+                    i += 1
+                else:
+                    j += 1
+            if len(self._follow) >= REMEMBERED:
+                self._follow.clear()
+            self._follow[first, second] = known
+        return known
+
+    def _arcs(self, text: str, start: int) -> Iterator[tuple[int, float]]:
+        """Arcs of the pieces and of byte fallback from a place in a text, the longest first: end, weight."""
+        for end in range(min(start + self.longest, len(text)), start, -1):
+            score = self.scores.get(text[start:end])
+            if score is not None:
+                yield end, -score
         if text[start] not in self.ids:
-            yield start + 1, None, 0.0 if self.byte_pair else self.fallback_weight
-
-    def _shortest(self, text: str) -> list[str | None]:
-        """Pieces along the least path through the composition of a stretch with the machines."""
-        # Best weight, previous place and piece for every place. Of a byte-pair model, one piece at
-        # most can end an accepted path at a place, as a prefix too has one segmentation.
-        best: list[tuple[float, int, str | None] | None] = [None] * (len(text) + 1)
-        best[0] = 0.0, -1, None
+            yield start + 1, self.fallback_weight
+
+    def _least_path(self, text: str) -> list[str]:
+        """Pieces along the path of least weight in a unigram model."""
+        best = [(0.0, -1)] + [(float("inf"), -1)] * len(text)
         for start in range(len(text)):
-            state = best[start]
-            if state is None:
-                continue
-            for end, piece, weight in self._arcs(text, start):
-                if best[end] is not None and best[end][0] <= state[0] + weight:
-                    continue
-                if self.byte_pair and not self._accepts(text, state, start, end):
-                    continue
-                best[end] = state[0] + weight, start, piece
+            for end, weight in self._arcs(text, start):
+                if best[start][0] + weight < best[end][0]:
+                    best[end] = best[start][0] + weight, start
         path, place = [], len(text)
         while place:
-            _, before, piece = best[place]
-            path.append(piece if piece is not None else text[before:place])
-            place = before
+            path.append(text[best[place][1]:place])
+            place = best[place][1]
         return path[::-1]
 
-    def _accepts(self, text: str, state: tuple[float, int, str | None], start: int, end: int) -> bool:
-        piece = text[start:end]
-        if not self._single(piece):
-            return False
-        return state[1] < 0 or self._follows(text[state[1]:start], piece)
+    def _accepted_path(self, text: str) -> list[str]:
+        """Pieces along the only path of finite weight in a byte-pair model. A prefix too has only one,
+        so each place is reached with one last piece and entered once."""
+        path: list[str] = []
+        open_arcs, ends, entered = [self._arcs(text, 0)], [0], {0}
+        while ends[-1] < len(text):
+            for end, _ in open_arcs[-1]:
+                piece = text[ends[-1]:end]
+                if end not in entered and (len(piece) == 1 or self._split(piece)) and (not path or self._follows(path[-1], piece)):
+                    entered.add(end)
+                    path.append(piece)
+                    ends.append(end)
+                    if end < len(text):
+                        open_arcs.append(self._arcs(text, end))
+                    break
+            else:
+                open_arcs.pop()
+                ends.pop()
+                path.pop()
+        return path
+
+    def _shortest(self, text: str) -> list[str]:
+        return self._accepted_path(text) if self.byte_pair else self._least_path(text)
 
     def _emit(self, piece: str) -> list[int]:
         if piece in self.ids:

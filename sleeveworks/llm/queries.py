@@ -4,7 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sleeveworks.llm import embedding_forest, host_reputation, jaccard_join, line_cleaning, piece_transducer, sharding, suffix_dedup
+from sleeveworks.llm import embedding_forest, host_reputation, jaccard_join, license_scan, line_cleaning, piece_transducer, raking, sharding, suffix_dedup, toxicity
 
 #: Files of public tokenizers; they are read where they lie.
 TOKENIZERS = "/opt/tokenizers"
@@ -31,6 +31,17 @@ def op3_embedding_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_forest.near_vectors(_table(spark, sf_dir, "embeddings"))
 
 
+def op4_raking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raked probability and draw of every document."""
+    return raking.mixture_report(_table(spark, sf_dir, "documents"))
+
+
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document."""
+    docs = _table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.train(docs, _table(spark, sf_dir, "labels")))
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Figures and verdict of every document."""
     return line_cleaning.quality_report(_table(spark, sf_dir, "documents"))
@@ -41,6 +52,11 @@ def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return host_reputation.judge(_table(spark, sf_dir, "pages"), _table(spark, sf_dir, "labels"))
 
 
+def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licenses found in every document."""
+    return license_scan.licenses(_table(spark, sf_dir, "documents"))
+
+
 def op9_pieces(spark: SparkSession, sf_dir: str, model_file: str = f"{TOKENIZERS}/piece_bpe_32k.model") -> DataFrame:
     """Piece ids of every document, and whether they decode to its text."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -56,8 +72,11 @@ QUERIES: dict[str, Query] = {
     "op1_suffix_dedup": op1_suffix_dedup,
     "op2_sharding": op2_sharding,
     "op3_embedding_forest": op3_embedding_forest,
+    "op4_raking": op4_raking,
+    "op5_toxicity": op5_toxicity,
     "op6_quality_rules": op6_quality_rules,
     "op7_url_filter": op7_url_filter,
+    "op8_license_scan": op8_license_scan,
     "op9_pieces": op9_pieces,
     "op10_jaccard_join": op10_jaccard_join,
 }
