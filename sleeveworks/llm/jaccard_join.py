@@ -7,9 +7,10 @@ of its shingles in each part less one sub-part, for its own band and the next: s
 Where such a cover holds no shingle, a second cut of the domain takes its place, as sets that share
 only emptiness would crowd one bucket.
 
-Sets that share a signature meet by its hash. Each is first compared with the least of them. Only sets
-that aren't similar to that one are then compared with the others they met: groups of near copies cost
-as many comparisons as members. No pair is left out. Links become components (``components``).
+Sets that share a signature meet by its hash and are named after the least of them; sets that met
+under the same least one form a group. A group is compared as a whole, a large one block by block, each
+pair of blocks on its own, and returns only as many links as connect its members. So pairs are never
+rows, and no pair that shares a signature is left out. Links become components (``components``).
 
 Equal sets are one node. Signatures that a task meets in very many sets are sent on by signature and
 set, and only the least set comes to them by a join, so no task gets all members of a bucket.
@@ -33,6 +34,8 @@ BLOCK, SETTLE = 1 << 21, 1 << 26
 SENT = 16
 #: Bands of sets up to this size use three sub-parts (longer covers, half as many signatures again).
 SMALL = 256
+#: Sets of a group that are compared at a time.
+GROUP = 512
 
 PLAIN, CROWDED, ASIDE = 0, 1, 2
 
@@ -159,8 +162,8 @@ _MET = pa.schema([("crowd", pa.int64()), ("pivot", pa.int64()), ("node", pa.int6
 
 
 def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """From signatures in order: each set with the least one it met. Where more than two met, ``crowd``
-    names the meeting; equal meetings have one name."""
+    """From signatures in order: each set with the least one it met. ``crowd`` names meetings that
+    tasks sent rows aside for; those rows don't know the least one yet."""
     held = np.zeros((3, 0), np.int64)
 
     def met(rows: np.ndarray) -> pa.RecordBatch:
@@ -173,15 +176,10 @@ def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         first = np.append(True, rows[0][1:] != rows[0][:-1])[:rows.shape[1]]
         group = np.cumsum(first) - 1
         pivot = rows[1][np.flatnonzero(first)][group]
-        members = np.bincount(group)[group] if len(group) else group
-        names = np.zeros(int(first.sum()), np.uint64)
-        np.add.at(names, group, mix(rows[1].view(np.uint64)))
         crowded = np.isin(rows[0], crowded_sign)
-        name = np.where(crowded, mix(rows[0].view(np.uint64)), mix(names[group]))
-        name = np.where(crowded | (members > 2), name | np.uint64(1), np.uint64(0)).view(np.int64)
+        name = np.where(crowded, rows[0], 0)
         keep = ~first
-        lone_name = (mix(lone[0].view(np.uint64)) | np.uint64(1)).view(np.int64)
-        columns = [np.append(name[keep], lone_name), np.append(pivot[keep], np.zeros(lone.shape[1], np.int64)),
+        columns = [np.append(name[keep], lone[0]), np.append(pivot[keep], np.zeros(lone.shape[1], np.int64)),
                    np.append(rows[1][keep], lone[1]),
                    np.append(np.where(crowded[keep], CROWDED, PLAIN), np.full(lone.shape[1], ASIDE)).astype(np.int8)]
         return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], schema=_MET)
@@ -212,25 +210,82 @@ def _fetch(size: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Record
     return run
 
 
+class _Ties:
+    """Which members of a group are known to be connected."""
+
+    def __init__(self, n: int):
+        self.of = np.arange(n)
+
+    def tie(self, a: int, b: int) -> bool:
+        x, y = self.of[a], self.of[b]
+        if x == y:
+            return False
+        self.of[self.of == max(x, y)] = min(x, y)
+        return True
+
+
+def _shared(sets: list[np.ndarray], columns: int = 4096) -> np.ndarray:
+    """How many elements each two of the sets share, by products of their incidence matrices."""
+    n = len(sets)
+    elements, of = np.concatenate(sets), np.repeat(np.arange(n), [len(s) for s in sets])
+    order = np.argsort(elements, kind="stable")
+    elements, of = elements[order], of[order]
+    new = np.append(True, elements[1:] != elements[:-1])[:len(elements)]
+    column = np.cumsum(new) - 1
+    # What only one set has is shared by none.
+    several = np.bincount(column)[column] > 1
+    _, column = np.unique(column[several], return_inverse=True)
+    of = of[several]
+    total = np.zeros((n, n), np.float32)
+    for low in range(0, int(column.max(initial=-1)) + 1, columns):
+        start, stop = np.searchsorted(column, [low, low + columns])
+        part = np.zeros((n, columns), np.float32)
+        part[of[start:stop], column[start:stop] - low] = 1
+        total += part @ part.T
+    return total
+
+
+def _tied(docs: list[int], blocks: list[int], sets: list[np.ndarray], across: bool, percent: int) -> list[tuple[int, int]]:
+    """Enough similar pairs to connect all members of a group that are; ``across``: pairs of different blocks only."""
+    size = np.array([len(s) for s in sets])
+    if len(sets) == 2:
+        merged = np.sort(np.concatenate(sets), kind="stable")
+        shared = np.array([[0, (merged[1:] == merged[:-1]).sum()], [0, 0]])
+    else:
+        shared = np.triu(_shared(sets), 1)
+    near = (shared > 0) & (100 * shared >= percent * (size[:, None] + size[None, :] - shared))
+    if across:
+        near &= np.array(blocks)[:, None] != np.array(blocks)[None, :]
+    ties = _Ties(len(sets))
+    return [(docs[a], docs[b]) for a, b in np.argwhere(near).tolist() if ties.tie(a, b)]
+
+
 def _compare(percent: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """From (a, b, doc_a, doc_b, set_a, set_b): the same without the sets, and whether they are similar."""
-    schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("doc_a", pa.int64()), ("doc_b", pa.int64()), ("similar", pa.bool_())])
+    """From (pivot, first, second, block, doc, members) in order of the first three: similar documents."""
+    schema = pa.schema([("doc_a", pa.int64()), ("doc_b", pa.int64())])
 
     def run(batches):
-        for batch in pieces(batches, 4, BLOCK):
-            found = []
-            for x, y in zip(batch.column(4), batch.column(5), strict=True):
-                a, b = (np.frombuffer(s.as_buffer(), np.uint64) for s in (x, y))
-                both = len(a) + len(b)
-                # Both are sorted: what occurs twice in the merged order is in both.
-                merged = np.sort(np.concatenate([a, b]), kind="stable")
-                shared = int((merged[1:] == merged[:-1]).sum())
-                found.append(100 * shared >= percent * (both - shared))
-            yield pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array(found)], schema=schema)
+        key, docs, blocks, sets, out = None, [], [], [], []
+        for batch in batches:
+            heads = list(zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True))
+            columns = (batch.column(i).to_pylist() for i in (3, 4, 5))
+            for head, block, doc, members in zip(heads, *columns, strict=True):
+                if head != key:
+                    if len(sets) > 1:
+                        out += _tied(docs, blocks, sets, key[1] != key[2], percent)
+                    key, docs, blocks, sets = head, [], [], []
+                docs.append(doc)
+                blocks.append(block)
+                sets.append(np.frombuffer(members, np.uint64))
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out, strict=True)], schema=schema)
+                out = []
+        if len(sets) > 1 and (out := _tied(docs, blocks, sets, key[1] != key[2], percent)):
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out, strict=True)], schema=schema)
     return run
 
 
-def _links(rows: DataFrame, nodes: DataFrame, size: int, percent: int, sent: int) -> DataFrame:
+def _links(rows: DataFrame, nodes: DataFrame, size: int, percent: int, sent: int, block: int) -> DataFrame:
     """``doc_a, doc_b`` of similar sets, enough to connect all that are connected."""
     spark = rows.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -240,36 +295,28 @@ def _links(rows: DataFrame, nodes: DataFrame, size: int, percent: int, sent: int
         _meet, "crowd long, pivot long, node long, kind byte")
     met = stored(met, "met")
     pivots = met.where(F.col("kind") == CROWDED).groupBy("crowd").agg(F.min("pivot").alias("pivot"))
-    asides = met.where(F.col("kind") == ASIDE).select("crowd", "node").join(pivots, "crowd").where("node != pivot")
-    met = met.where(F.col("kind") != ASIDE).select("crowd", "pivot", "node").unionByName(asides.select("crowd", "pivot", "node"))
+    asides = met.where(F.col("kind") == ASIDE).select("crowd", "node").join(pivots, "crowd")
+    pairs = met.where(F.col("kind") != ASIDE).select("pivot", "node").unionByName(asides.select("pivot", "node"))
+    pairs = pairs.where("pivot != node").distinct()
+    groups = stored(pairs.unionByName(pairs.select("pivot", F.col("pivot").alias("node")).distinct()), "groups")
 
-    wanted = met.select(F.col("pivot").alias("node")).unionByName(met.select("node")).distinct()
+    wanted = groups.select("node").distinct()
     named = nodes.select(F.col("k1").alias("node"), F.col("rep").alias("doc")).join(wanted, "node")
     texts = named.join(rows.select(F.col("doc_id").alias("doc"), "text"), "doc").select("node", "doc", "text")
     sets = texts.mapInArrow(_fetch(size), "node long, doc long, members binary").dropDuplicates(["node", "doc"])
-    sets = stored(sets, "sets")
-
-    def compare(pairs: DataFrame) -> DataFrame:
-        left = sets.select(F.col("node").alias("a"), F.col("doc").alias("doc_a"), F.col("members").alias("set_a"))
-        right = sets.select(F.col("node").alias("b"), F.col("doc").alias("doc_b"), F.col("members").alias("set_b"))
-        return pairs.join(left, "a").join(right, "b").select("a", "b", "doc_a", "doc_b", "set_a", "set_b").mapInArrow(
-            _compare(percent), "a long, b long, doc_a long, doc_b long, similar boolean")
-
-    def pair(x: str, y: str) -> list:
-        return [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
 
-    tried = stored(compare(met.select(*pair("pivot", "node")).distinct()), "tried")
-    # Those not similar to the least of their crowd, against the rest of it.
-    crowds = met.where("crowd != 0").distinct()
-    failed = crowds.select("crowd", F.col("node").alias("other"), *pair("pivot", "node")).join(
-        tried.where("NOT similar").select("a", "b"), ["a", "b"]).select("crowd", "other")
-    rest = failed.join(crowds.select("crowd", "node"), "crowd").where("other != node").select(*pair("other", "node")).distinct()
-    rest = rest.join(tried.select("a", "b"), ["a", "b"], "left_anti")
-    return tried.where("similar").unionByName(compare(rest).where("similar")).select("doc_a", "doc_b")
+    counts = groups.groupBy("pivot").agg(F.ceil(F.count(F.lit(1)) / F.lit(block)).alias("blocks"))
+    placed = groups.join(counts, "pivot").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")))
+    # Every pair of blocks meets once; a group of one block meets itself.
+    placed = placed.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))).select(
+        "pivot", F.least("block", "other").alias("first"), F.greatest("block", "other").alias("second"), "block", "node")
+    met_sets = placed.join(sets, "node").select("pivot", "first", "second", "block", "doc", "members")
+    return met_sets.repartition(parts, "pivot", "first", "second").sortWithinPartitions("pivot", "first", "second", "doc").mapInArrow(
+        _compare(percent), "doc_a long, doc_b long")
 
 
 def similar_groups(docs: DataFrame, id: str = "doc_id", text: str = "text", size: int = 3, percent: int = 90,
-                   sent: int = SENT) -> DataFrame:
+                   sent: int = SENT, block: int = GROUP) -> DataFrame:
     """``doc_id, n_shingles, component_id`` of every row: size of its set, least id reachable by links.
 
     Two documents are linked when ``100 * shared >= percent * all`` of their distinct shingles of
@@ -281,7 +328,7 @@ def similar_groups(docs: DataFrame, id: str = "doc_id", text: str = "text", size
     light = stored(rows.mapInArrow(_describe(size), "doc_id long, k1 long, k2 long, n long"), "sets")
     named = light.where("n > 0 AND doc_id IS NOT NULL")
     nodes = named.groupBy("k1", "k2").agg(F.min("doc_id").alias("rep"))
-    links = _links(rows.where("doc_id IS NOT NULL"), nodes, size, percent, sent)
+    links = _links(rows.where("doc_id IS NOT NULL"), nodes, size, percent, sent, block)
     # Equal sets are linked through the least id among them.
     equal = named.join(nodes, ["k1", "k2"]).where("doc_id != rep").select(F.col("doc_id").alias("doc_a"), F.col("rep").alias("doc_b"))
     found = components(links.unionByName(equal), "doc_a", "doc_b")

@@ -113,7 +113,10 @@ def quality_report(docs: DataFrame, id: str = "doc_id", text: str = "text") -> D
 def clean(docs: DataFrame, text: str = "text", chars: str = "n_chars") -> DataFrame:
     """The documents that pass, with the columns of ``docs``; failed lines are cut from the text and
     ``chars``, where there is such a column, follows the new text."""
-    kept = measure(docs, text, prefix="_q_").where("_q_kept")
+    # A filter isn't pushed below a running number; pushed down to the scan, it would evaluate the
+    # windows again for each of their words.
+    numbered = measure(docs, text, prefix="_q_").withColumn("_q_row", F.monotonically_increasing_id())
+    kept = numbered.where("_q_kept AND _q_row >= 0")
     out = {text: F.col("_q_clean_text")}
     if chars in docs.columns:
         out[chars] = F.length("_q_clean_text").cast(docs.schema[chars].dataType)

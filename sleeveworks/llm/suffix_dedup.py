@@ -340,7 +340,7 @@ def _distinct_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
 def _erase(length: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """From (t1, t2, text, places): removed bytes, spans, hash of what is left, and the rest as text."""
     schema = pa.schema([("t1", pa.int64()), ("t2", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()),
-                        ("kept_sha256", pa.string()), ("kept", pa.binary())])
+                        ("kept_sha256", pa.string()), ("kept", pa.string())])
 
     def run(batches):
         for batch in pieces(batches, 2, BLOCK):
@@ -362,7 +362,8 @@ def _erase(length: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Reco
             kept = [data[a:b][~gone[a:b]].tobytes() for a, b in zip(at[:-1], at[1:], strict=True)]
             yield pa.RecordBatch.from_arrays([
                 batch.column(0), batch.column(1), pa.array(np.diff(removed)), pa.array(np.diff(spans)),
-                pa.array([hashlib.sha256(k).hexdigest() for k in kept]), pa.array(kept, pa.binary())], schema=schema)
+                pa.array([hashlib.sha256(k).hexdigest() for k in kept]),
+                pa.array([k.decode("utf-8", "ignore") for k in kept], pa.string())], schema=schema)
     return run
 
 
@@ -390,7 +391,7 @@ def _texts_without_repeats(docs: DataFrame, text: str, length: int, sent: int, b
     settled = answers.where(flag.bitwiseAND(F.lit(SETTLED)) > 0).select("t1", "t2", "place")
     spans = settled.unionByName(resolved).groupBy("t1", "t2").agg(F.collect_list("place").alias("places"))
     return texts.join(spans, ["t1", "t2"]).select("t1", "t2", "text", "places").mapInArrow(
-        _erase(length), "t1 long, t2 long, n_removed long, n_spans long, kept_sha256 string, kept binary")
+        _erase(length), "t1 long, t2 long, n_removed long, n_spans long, kept_sha256 string, kept string")
 
 
 def _with_copies(docs: DataFrame, text: str, length: int, sent: int = SENT, block: int = BLOCK) -> tuple[DataFrame, DataFrame]:
@@ -432,10 +433,9 @@ def without_repeats(docs: DataFrame, text: str = "text", chars: str = "n_chars",
     Bytes of a character that is cut in two are dropped. Rows stay, also those left without text.
     """
     keyed, results = _with_copies(docs.withColumnRenamed(text, "_text"), "_text", length)
-    rest = F.decode(F.col("kept"), F.lit("UTF-8"))
     joined = keyed.join(results.select("t1", "t2", "copies", "kept"), ["t1", "t2"], "left")
     copied = (F.col("copies") > 1) & (F.octet_length("_text") >= length)
-    joined = joined.withColumn("_kept", F.when(copied, F.lit("")).when(F.col("kept").isNotNull(), rest).otherwise(F.col("_text")))
+    joined = joined.withColumn("_kept", F.when(copied, F.lit("")).otherwise(F.coalesce("kept", "_text")))
     columns = [F.col("_kept").alias(c) if c == text else F.col(f"`{c}`") for c in docs.columns]
     out = joined.select(*columns)
     if chars in docs.columns and chars != text:
