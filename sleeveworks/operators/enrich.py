@@ -54,7 +54,8 @@ def enrich(df: DataFrame, make_function: Callable[[], Callable[[Any], Any]], cal
                             time.sleep(max(0.0, due - time.monotonic()))
                             due = time.monotonic() + interval
                         try:
-                            result = function(value)
+                            # Converted here, so that a value of the wrong type is this row's error.
+                            result = pa.scalar(function(value), value_type).as_py()
                         except Exception as e:  # one bad row must not fail the others
                             error = f"{type(e).__name__}: {e}"
                     results.append(result)

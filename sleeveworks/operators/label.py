@@ -9,22 +9,17 @@ from sleeveworks.functions import scalars as S
 from sleeveworks.operators.skew import lookup
 from sleeveworks.schema import CONTINENTS, FORMAT, GENERAL_CATALOGUE, SUPPORT
 
-# A country table up to this many rows is broadcast.
-SMALL_TABLE_ROWS = 10_000
-
-
 def with_continent(df: DataFrame, country: str = "Country", names: DataFrame | None = None) -> DataFrame:
     """Add ``continent`` and ``sub_continent`` by exact spelling.
 
     Without ``names`` the built-in spellings are used, as an expression. ``names`` is a table
-    (country, continent, sub_continent) with one row per spelling; its size decides the join.
+    (country, continent, sub_continent); of rows that repeat a spelling the least counts.
     """
     if names is None:
         continent, sub = S.continent(F.col(country), CONTINENTS)
         return df.withColumn("continent", continent).withColumn("sub_continent", sub)
-    facts = names.select(F.col("country").alias(country), "continent", "sub_continent")
-    if facts.limit(SMALL_TABLE_ROWS + 1).count() <= SMALL_TABLE_ROWS:
-        return df.join(F.broadcast(facts), country, "left").select(*df.columns, "continent", "sub_continent")
+    least = F.min(F.struct("continent", "sub_continent")).alias("_least")
+    facts = names.groupBy(F.col("country").alias(country)).agg(least).select(country, "_least.*")
     return lookup(df, facts, [country]).select(*df.columns, "continent", "sub_continent")
 
 

@@ -107,13 +107,13 @@ def track_counts(tracks: DataFrame, key: str = "LP_ID") -> DataFrame:
 
 
 def with_support_count(albums: DataFrame, tracks: DataFrame, key: str = "LP_ID",
-                       hot: DataFrame | None = None) -> DataFrame:
-    """Add ``support_count``: track rows of the album, at least 1."""
-    counted = lookup(albums, track_counts(tracks, key), [key], hot=hot)
+                       unique: bool = False) -> DataFrame:
+    """Add ``support_count``: track rows of the album, at least 1. ``unique``: an album is one row."""
+    counted = lookup(albums, track_counts(tracks, key), [key], unique=unique)
     n = F.greatest(F.coalesce("n_tracks", F.lit(0)), F.lit(1))
     return counted.withColumn("support_count", n.cast("bigint")).drop("n_tracks")
 
 
-def not_done(inputs: DataFrame, done: DataFrame, on: list[str], hot: DataFrame | None = None) -> DataFrame:
-    """Inputs without an output yet."""
-    return lookup(inputs, done.select(*on).distinct(), on, how="left_anti", hot=hot)
+def not_done(inputs: DataFrame, done: DataFrame, on: list[str], unique: bool = False) -> DataFrame:
+    """Inputs without an output yet. ``unique``: an input is one row."""
+    return lookup(inputs, done.select(*on).distinct(), on, how="left_anti", unique=unique)

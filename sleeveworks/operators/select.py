@@ -9,9 +9,6 @@ from pyspark.sql import Window as W
 from sleeveworks.functions.scalars import natural_key
 from sleeveworks.session import shared_dir
 
-# Up to here a selection is a top-k; beyond, positions are computed by a distributed sort.
-TOP_K_ROWS = 100_000
-
 
 @dataclass(frozen=True)
 class Selection:
@@ -59,15 +56,17 @@ def natural_sort(albums: DataFrame, key: str = "lp_id") -> DataFrame:
     return albums.orderBy(*natural_order(key))
 
 
-def with_position(albums: DataFrame, key: str = "lp_id") -> DataFrame:
-    """Add ``position`` (from 1) in natural order, without one task that sees all rows.
+def with_position(albums: DataFrame, key: str = "lp_id", reverse: bool = False) -> DataFrame:
+    """Add ``position`` (from 1) in natural order, or from its end, without one task that sees all rows.
 
-    A range sort gives every row a partition and an index in it; that is written down once, so
-    that a repeated task cannot move rows. What remains is a running sum over partition sizes.
+    A range sort gives every row a partition and an index in it; that is written down when it is
+    first needed, so that a repeated task cannot move rows. What remains is a running sum over
+    partition sizes.
     """
     shared_dir(albums.sparkSession)
     index_bits = 33
-    placed = natural_sort(albums, key).withColumn("_slot", F.monotonically_increasing_id()).checkpoint()
+    ordered = albums.orderBy(*natural_order(key, reverse))
+    placed = ordered.withColumn("_slot", F.monotonically_increasing_id()).checkpoint(eager=False)
     part = F.shiftright("_slot", index_bits)
     sizes = placed.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_n"))
     before = F.sum("_n").over(W.orderBy("_part").rowsBetween(W.unboundedPreceding, -1))
@@ -79,20 +78,10 @@ def with_position(albums: DataFrame, key: str = "lp_id") -> DataFrame:
 
 
 def select_positions(albums: DataFrame, selection: str | Selection, key: str = "lp_id",
-                     parity: bool = False, top_k_rows: int = TOP_K_ROWS) -> DataFrame:
+                     parity: bool = False) -> DataFrame:
     """Albums at the selected positions of the natural order."""
     chosen = parse_selection(selection, parity) if isinstance(selection, str) else selection
     if chosen.last is None:
         return natural_sort(albums, key)
-    if chosen.last <= top_k_rows:
-        ordered = albums.orderBy(*natural_order(key, chosen.reverse))
-        skipped = ordered.offset(chosen.first - 1) if chosen.first > 1 else ordered
-        picked = skipped.limit(max(chosen.last - chosen.first + 1, 0))
-        return natural_sort(picked, key) if chosen.reverse else picked
-    placed = with_position(albums, key)
-    if chosen.reverse:
-        total = placed.agg(F.max("position")).scalar()
-        placed = placed.where(F.col("position") > total - chosen.last)
-    else:
-        placed = placed.where(F.col("position").between(chosen.first, chosen.last))
-    return natural_sort(placed.drop("position"), key)
+    placed = with_position(albums, key, chosen.reverse)
+    return natural_sort(placed.where(F.col("position").between(chosen.first, chosen.last)).drop("position"), key)

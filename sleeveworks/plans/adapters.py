@@ -120,16 +120,9 @@ _COVERS = [
 ]
 
 
-# Tables of a fixed handful of rows.
-_TINY = {"region", "nation"}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A benchmark table. One that comes in fewer splits than there are cores is spread over them;
-    a large table has many splits and is read as it is."""
-    rows = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    cores = spark.sparkContext.defaultParallelism
-    return rows.repartition(cores) if name not in _TINY and rows.rdd.getNumPartitions() < cores else rows
+    """A benchmark table, as it is."""
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def frame(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

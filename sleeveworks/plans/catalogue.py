@@ -1,8 +1,9 @@
 """The four stages from cover images and audio files to the two catalogue tables.
 
-Recognised texts and model responses come from paid calls, so they are written to tables the
-moment they exist and only missing ones are asked for on the next run. Everything after that is
-one lazy plan per output table.
+Recognised texts and model responses come from paid calls. Open work is done in portions, each written
+to a table of attempts before the next begins; what an earlier run left unparsed is parsed first, and
+only what has no usable answer yet is asked for. Then raw rows, tracks with files and the catalogues
+are written, one table after the other.
 """
 
 import datetime as dt
@@ -17,16 +18,12 @@ from sleeveworks.functions import scalars as S
 from sleeveworks.functions.text import cover_text
 from sleeveworks.operators import covers, extract, label, match, select
 from sleeveworks.operators.enrich import enrich
-from sleeveworks.operators.skew import MIN_HOT_ROWS, hot_keys
 from sleeveworks.schema import RAW_GENERAL, RAW_TRACK
+from sleeveworks.session import new_shared_path, tune
 from sleeveworks.sources import files
 from sleeveworks.sources import manifest as M
 from sleeveworks.sources.sinks import append_table, export_files, write_csv, write_table
 
-# Share of the responses that is decoded ahead to find keys worth spreading. It steers how rows
-# are distributed; every response is decoded and kept in the result.
-PROBE_SHARE = 0.01
-
 
 def keyed(responses: DataFrame) -> DataFrame:
     """Responses with the album id of their file name."""
@@ -43,20 +40,25 @@ def raw_albums(responses: DataFrame, how: str = "greedy") -> DataFrame:
 
 def tracks_with_audio(responses: DataFrame, audio: DataFrame, how: str = "greedy",
                       parity: bool = False) -> DataFrame:
-    """Raw track rows with the file each should have and its duration."""
-
-    def tracks(some: DataFrame) -> DataFrame:
-        return raw_tracks(some, how, coerce_numbers=not parity)
+    """Raw track rows with the file each should have and its duration.
 
-    probe = match.with_audio_name(tracks(responses.sample(fraction=PROBE_SHARE, seed=7)), parity)
-    hot = hot_keys(probe, ["LP_ID", "Track Filename"], min_rows=int(MIN_HOT_ROWS * PROBE_SHARE))
-    return match.match_exact(tracks(responses), audio, parity, hot=hot)
+    The rows are written down first: the responses are decoded once, and what the lookup counts to
+    stay balanced are two columns of a table.
+    """
+    path = new_shared_path(responses.sparkSession, "tracks")
+    write_table(raw_tracks(responses, how, coerce_numbers=not parity), path)
+    return match.match_exact(responses.sparkSession.read.parquet(path), audio, parity)
 
 
 def albums_with_support(responses: DataFrame, tracks: DataFrame, how: str = "greedy") -> DataFrame:
     """Raw album rows with their support count."""
-    hot = hot_keys(responses, ["lp_id"])
-    return match.with_support_count(raw_albums(responses, how), tracks, hot=hot)
+    return match.with_support_count(raw_albums(responses, how), tracks)
+
+
+def in_order(rows: DataFrame) -> DataFrame:
+    """Rows by natural order of the album and, where they have one, their place in its document."""
+    place = [F.col("seq")] if "seq" in rows.columns else []
+    return rows.orderBy(*select.natural_order("LP_ID"), *place)
 
 
 def recognise(pairs: DataFrame, make_reader: Callable[[], Callable[[Any], str]], workers: int | None = None,
@@ -88,6 +90,11 @@ class Run:
     workers: int | None = None
     calls_per_minute: float | None = None
     parity: bool = False
+    # Rows asked for between two commits, about.
+    portion: int = 10_000
+
+    def __post_init__(self) -> None:
+        tune(self.spark)
 
     def path(self, name: str) -> str:
         return f"{self.work_dir}/{name}"
@@ -95,37 +102,82 @@ class Run:
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(self.path(name))
 
-    def _stored(self, name: str, key: str) -> DataFrame:
+    def _stored(self, name: str, *keys: str) -> DataFrame:
         """Keys in a table, none if it does not exist yet."""
         try:
-            return self.table(name).select(key)
+            return self.table(name).select(*keys)
         except Exception as e:
             if "PATH_NOT_FOUND" not in str(e):
                 raise
-            return self.spark.createDataFrame([], f"{key} string")
-
-    def manifest(self) -> DataFrame:
-        return M.manifest(M.scan_files(self.spark, self.base_dir), self.base_dir)
-
-    def recognise_covers(self, make_reader: Callable[[], Callable[[Any], str]], selection: str = "all") -> None:
-        """Stage 1: texts of the selected albums that have both covers and no text yet."""
-        found = self.manifest()
+            return self.spark.createDataFrame([], ", ".join(f"{k} string" for k in keys))
+
+    def manifest(self, inventory: DataFrame | None = None) -> DataFrame:
+        """Files below ``base_dir``, listed, or from an ``inventory`` (path, length, modified)."""
+        return M.manifest(M.scan_files(self.spark, self.base_dir) if inventory is None else inventory, self.base_dir)
+
+    def _in_portions(self, todo: DataFrame, ask: Callable[[DataFrame], DataFrame], name: str) -> None:
+        """Answers to the open work, each portion of it committed before the next is asked for.
+
+        The open work is written down first, so that every portion is a fixed share of it. Attempts
+        are never read by a portion that is still running: each has a folder of its own.
+        """
+        path = new_shared_path(self.spark, "todo")
+        write_table(todo, path)
+        work = self.spark.read.schema(todo.schema).parquet(path)
+        portions = -(-work.count() // self.portion)
+        for i in range(portions):
+            share = work.where(F.pmod(F.xxhash64("lp_id"), F.lit(portions)) == i)
+            stamp = f"{dt.datetime.now(dt.timezone.utc):%Y%m%dT%H%M%S%f}"
+            write_table(ask(share), self.path(f"{name}/attempt={stamp}-{i}"))
+
+    def recognise_covers(self, make_reader: Callable[[], Callable[[Any], str]], selection: str = "all",
+                         inventory: DataFrame | None = None) -> None:
+        """Stage 1: texts of the selected albums that have both covers and no text yet. An album of which
+        a cover could not be read is tried again by the next run."""
+        self._keep_texts()
+        found = self.manifest(inventory)
         chosen = select.select_positions(select.album_names(found), selection, parity=self.parity)
         pairs = covers.complete_pairs(covers.cover_pairs(found)).join(chosen, "lp_id", "left_semi")
-        todo = match.not_done(pairs, self._stored("ocr_text", "lp_id"), ["lp_id"])
-        append_table(recognise(todo, make_reader, self.workers, self.calls_per_minute)
-                     .drop("front_path", "back_path"), self.path("ocr_text"))
+        todo = match.not_done(pairs, self._stored("ocr_text", "lp_id"), ["lp_id"], unique=True)
+        self._in_portions(todo, lambda rows: recognise(rows, make_reader, self.workers, self.calls_per_minute)
+                          .drop("front_path", "back_path"), "ocr_attempts")
+        self._keep_texts()
+
+    def _keep_texts(self) -> None:
+        """Complete readings among the attempts become texts, one per album."""
+        tried = self._stored("ocr_attempts", "lp_id", "combined_text", "front_text_error", "back_text_error")
+        read = tried.where("front_text_error IS NULL AND back_text_error IS NULL").groupBy("lp_id").agg(
+            F.min("combined_text").alias("combined_text"))
+        append_table(match.not_done(read, self._stored("ocr_text", "lp_id"), ["lp_id"], unique=True), self.path("ocr_text"))
 
     def ask_model(self, template: str, make_model: Callable[[], Callable[[Any], str]]) -> None:
         """Stage 2: responses for texts that have none. Failed or empty answers are asked again."""
+        self._parse_responses()
         texts = self.table("ocr_text").select("lp_id", "combined_text")
-        todo = match.not_done(texts, self._stored("extractions", "lp_id"), ["lp_id"])
-        answers = infer(todo, template, make_model, self.workers, self.calls_per_minute)
-        attempt = self.path(f"responses/attempt={dt.datetime.now(dt.timezone.utc):%Y%m%dT%H%M%S%f}")
-        append_table(answers.drop("combined_text"), attempt)
-        parsed = extract.parse_documents(self.spark.read.parquet(attempt))
-        append_table(extract.found_documents(parsed).select("lp_id", "doc_json"), self.path("extractions"))
-        append_table(extract.quarantine(parsed).select("lp_id", "response", "reason"), self.path("unreadable"))
+        todo = match.not_done(texts, self._stored("extractions", "lp_id"), ["lp_id"], unique=True)
+        self._in_portions(todo, lambda rows: infer(rows, template, make_model, self.workers, self.calls_per_minute)
+                          .drop("combined_text"), "responses")
+        self._parse_responses()
+
+    def _parse_responses(self) -> None:
+        """Documents out of all responses that have not been parsed yet, also those of a run that broke off."""
+        paid = self._stored("responses", "lp_id", "response", "response_error", "attempt")
+        paid = paid.withColumn("file_name", S.output_name(F.concat("lp_id", F.lit("_combined.txt"))))
+        paid = paid.withColumn("attempt", F.col("attempt").cast("string"))
+        done = self._stored("parsed", "lp_id", "attempt")
+        path = new_shared_path(self.spark, "unparsed")
+        write_table(match.not_done(paid, done, ["lp_id", "attempt"], unique=True), path)
+        fresh = self.spark.read.schema(paid.schema).parquet(path)
+        self._store_documents(extract.parse_documents(fresh))
+        append_table(fresh.select("lp_id", "attempt"), self.path("parsed"))
+
+    def _store_documents(self, parsed: DataFrame) -> None:
+        """Documents by the name of their file, each once; unusable ones by name and reason."""
+        found = extract.found_documents(parsed).select("lp_id", "file_name", "doc_json").dropDuplicates(["file_name"])
+        bad = extract.quarantine(parsed).select("lp_id", "file_name", "response", "reason").dropDuplicates(["file_name", "reason"])
+        append_table(match.not_done(found, self._stored("extractions", "file_name"), ["file_name"], unique=True), self.path("extractions"))
+        append_table(match.not_done(bad, self._stored("unreadable", "file_name", "reason"), ["file_name", "reason"], unique=True),
+                     self.path("unreadable"))
 
     def load_texts(self, directory: str) -> None:
         """Instead of stage 1: ``<album>_combined.txt`` files that exist already."""
@@ -133,21 +185,18 @@ class Run:
         append_table(match.not_done(texts, self._stored("ocr_text", "lp_id"), ["lp_id"]), self.path("ocr_text"))
 
     def load_documents(self, directory: str) -> None:
-        """Instead of stage 2: extraction documents that exist already, one JSON file each."""
-        parsed = files.read_documents(self.spark, directory)
-        found = extract.found_documents(parsed).select("lp_id", "doc_json")
-        append_table(match.not_done(found, self._stored("extractions", "lp_id"), ["lp_id"]), self.path("extractions"))
-        append_table(extract.quarantine(parsed).select("lp_id", "response", "reason"), self.path("unreadable"))
+        """Instead of stage 2: extraction documents that exist already, one JSON file each. A file is
+        known by its name, so a second document of an album is loaded too."""
+        self._store_documents(files.read_documents(self.spark, directory))
 
     def export(self, directory: str) -> None:
         """The intermediate results as files: a text and a JSON file per album, raw tables as CSV."""
         texts = self.table("ocr_text").withColumn("file", F.concat("lp_id", F.lit("_combined.txt")))
         export_files(texts, f"{directory}/texts", "file", "combined_text")
-        documents = self.table("extractions").withColumn(
-            "file", S.output_name(F.concat("lp_id", F.lit("_combined.txt"))))
-        export_files(documents, f"{directory}/documents", "file", "doc_json")
-        write_csv(self.table("raw_general").select(*RAW_GENERAL.names), f"{directory}/general_info")
-        write_csv(self.table("tracks_with_audio").select(*RAW_TRACK.names), f"{directory}/track_info")
+        export_files(self.table("extractions"), f"{directory}/documents", "file_name", "doc_json")
+        albums, tracks = self.table("raw_general"), self.table("tracks_with_audio")
+        write_csv(in_order(albums).select(*RAW_GENERAL.names), f"{directory}/general_info")
+        write_csv(in_order(tracks).select(*RAW_TRACK.names), f"{directory}/track_info")
 
     def flatten(self, audio: DataFrame) -> None:
         """Stage 3: raw album and track tables, and tracks with their files."""
@@ -163,10 +212,12 @@ class Run:
 
     def label_csv(self, directory: str) -> None:
         """Stage 4 from exported, perhaps corrected, raw CSV tables."""
+        tracks = files.read_csv(self.spark, f"{directory}/track_info", RAW_TRACK)
+        # The order of an album's tracks is that of its lines.
         self._label(files.read_csv(self.spark, f"{directory}/general_info", RAW_GENERAL),
-                    files.read_csv(self.spark, f"{directory}/track_info", RAW_TRACK))
+                    tracks.withColumn("seq", F.monotonically_increasing_id()))
 
     def _label(self, albums: DataFrame, tracks: DataFrame) -> None:
         counted = match.with_support_count(albums, tracks)
-        write_csv(label.general_catalogue(counted, self.curator, self.note, self.as_of), self.path("general_catalogue"))
-        write_csv(label.track_catalogue(tracks, self.parity), self.path("track_catalogue"))
+        write_csv(label.general_catalogue(in_order(counted), self.curator, self.note, self.as_of), self.path("general_catalogue"))
+        write_csv(label.track_catalogue(in_order(tracks), self.parity), self.path("track_catalogue"))

@@ -1,6 +1,5 @@
 """Session settings the library needs, and the shared folder it may write to."""
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -39,20 +38,30 @@ def local_session(cores: str = "8", shuffle_partitions: int = 8, memory: str = "
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that every executor can reach, as the cluster names it.
+    """The folder that every executor can reach, as the cluster names it in ``spark.checkpoint.dir``.
 
-    Only a local session without that setting gets a folder of its own; a cluster must name one.
+    Where that is unset, a folder in the warehouse, which executors share as well.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not folder:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-        folder = tempfile.mkdtemp(prefix="sleeveworks-")
+    folder = folder or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_shared"
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(folder)
     return folder.rstrip("/")
 
 
+_made: dict[str, list[str]] = {}
+
+
 def new_shared_path(spark: SparkSession, name: str) -> str:
-    """A path below the shared folder that nobody used before."""
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    """A path below the shared folder that nobody used before; ``clear_shared`` removes it."""
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    _made.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def clear_shared(spark: SparkSession) -> None:
+    """Remove what this application put below the shared folder. Frames that read it are then void."""
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    for path in _made.pop(spark.sparkContext.applicationId, []):
+        place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(conf).delete(place, True)

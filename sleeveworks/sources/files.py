@@ -1,10 +1,12 @@
 """Reading recognised texts, extraction documents and CSV tables."""
 
-from pyspark.sql import DataFrame, SparkSession
+from urllib.parse import unquote
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sleeveworks.functions.scalars import lp_id_of_file, null_spellings
+from sleeveworks.functions.scalars import base_name, lp_id_of_file, null_spellings
 from sleeveworks.operators.extract import parse_documents
 
 
@@ -13,8 +15,13 @@ def read_whole_files(spark: SparkSession, directory: str, name_glob: str, column
     # wholetext must be an argument: .text() overrides the option of the same name.
     files = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", name_glob).text(
         directory, wholetext=True)
-    name = F.col("_metadata.file_name")
-    return files.select(lp_id_of_file(name).alias("lp_id"), name.alias("file_name"), F.col("value").alias(column))
+    texts = files.select(F.col("_metadata.file_name").alias("file_name"), F.col("value").alias(column))
+    # The readers give no row for a file without a byte; the listing names it.
+    listed = spark.createDataFrame([(unquote(f),) for f in files.inputFiles()], "path string")
+    read = files.select(F.col("_metadata.file_name").alias("file_name"))
+    empty = listed.select(base_name(F.col("path")).alias("file_name")).join(read, "file_name", "left_anti")
+    rows = texts.unionByName(empty.withColumn(column, F.lit("")))
+    return rows.select(lp_id_of_file(F.col("file_name")).alias("lp_id"), "file_name", column)
 
 
 def read_texts(spark: SparkSession, directory: str) -> DataFrame:
@@ -34,9 +41,12 @@ def read_document_lines(spark: SparkSession, directory: str, name: str = "file_n
 
 
 def read_csv(spark: SparkSession, directory: str, schema: T.StructType) -> DataFrame:
-    """A CSV table; texts that spell "no value" become null."""
-    rows = spark.read.schema(schema).csv(directory, header=True, multiLine=True, quote='"', escape='"')
-    return rows.select(*[
-        (null_spellings(F.col(f"`{f.name}`")) if isinstance(f.dataType, T.StringType) else F.col(f"`{f.name}`"))
-        .alias(f.name) for f in schema.fields
-    ])
+    """The declared columns of a CSV table, found by name in its header; absent ones are null, and so are
+    texts that spell "no value". Files of one folder must have one header."""
+    rows = spark.read.csv(directory, header=True, multiLine=True, quote='"', escape='"', enforceSchema=False)
+
+    def column(field: T.StructField) -> Column:
+        text = null_spellings(F.col(f"`{field.name}`")) if field.name in rows.columns else F.lit(None)
+        return text.try_cast(field.dataType).alias(field.name)
+
+    return rows.select(*[column(f) for f in schema.fields])

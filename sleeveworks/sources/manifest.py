@@ -1,5 +1,7 @@
 """File manifests: which albums exist and which files they have."""
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,8 +29,10 @@ def manifest(files: DataFrame, base_dir: str, prefix: str = "LP") -> DataFrame:
     Album folders are direct sub-folders of ``base_dir`` whose name starts with ``prefix``;
     ``depth`` 1 is a file directly in one.
     """
-    root = base_dir.split(":", 1)[-1].strip("/")
-    pattern = rf"^(?:[A-Za-z0-9]+:)?/*\Q{root}\E/+(\Q{prefix}\E[^/]*)/+(.+)$"
+    # Listings may name the file system and its host where ``base_dir`` does not, or the other way round.
+    place = r"(?:[A-Za-z][A-Za-z0-9+.-]*:(?://[^/]*)?)?"
+    root = re.sub(f"^{place}", "", base_dir).strip("/")
+    pattern = rf"^{place}/*\Q{root}\E/+(\Q{prefix}\E[^/]*)/+(.+)$"
     inside = F.regexp_extract("path", pattern, 2)
     return (
         files.withColumn("lp_id", F.regexp_extract("path", pattern, 1))

@@ -37,7 +37,11 @@ def export_files(df: DataFrame, directory: str, name: str, body: str) -> None:
     all executors. Every file is written under a task's own name and then put in place, so a
     repeated task leaves the same result.
     """
-    uri = directory if ":" in directory else f"file://{directory}"
+    spark = df.sparkSession
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(directory)
+    # A path without a scheme is one of the cluster's file system, as for every other sink.
+    uri = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(place).toString()
+    uri = uri.replace("file:/", "file:///", 1) if uri.startswith("file:/") and not uri.startswith("file://") else uri
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         target, root = fs.FileSystem.from_uri(uri)
@@ -46,9 +50,14 @@ def export_files(df: DataFrame, directory: str, name: str, body: str) -> None:
             names = batch.column(0).to_pylist()
             for file_name, text in zip(names, batch.column(1).to_pylist()):
                 draft = f"{root}/.{uuid.uuid4().hex}"
-                with target.open_output_stream(draft) as out:
-                    out.write((text or "").encode())
-                target.move(draft, f"{root}/{file_name}")
+                try:
+                    with target.open_output_stream(draft) as out:
+                        out.write((text or "").encode())
+                    target.move(draft, f"{root}/{file_name}")
+                except Exception:
+                    if target.get_file_info(draft).type != fs.FileType.NotFound:
+                        target.delete_file(draft)
+                    raise
             yield pa.RecordBatch.from_arrays([pa.array(names, pa.string())], names=["file_name"])
 
     df.select(name, body).mapInArrow(write, "file_name string").write.format("noop").mode("overwrite").save()

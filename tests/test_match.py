@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 
 from sleeveworks.functions import scalars as S
 from sleeveworks.operators import covers, match
-from sleeveworks.operators.skew import HOT_KEYS, hot_keys, lookup
+from sleeveworks.operators.skew import HOT_PER_PARTITION, hot_keys, lookup
 
 
 def tracks(spark, *rows_):
@@ -88,7 +88,7 @@ def test_lookup_equals_a_plain_join(spark, rows, how, threshold):
     facts = spark.createDataFrame([("hot", 1), ("k5", 2), ("k8", 3), ("other", 4), (None, 5)], "k string, fact int")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
     try:
-        got = lookup(left, facts, ["k"], how, hot=hot_keys(left, ["k"], min_rows=100), salts=16)
+        got = lookup(left, facts, ["k"], how, hot=hot_keys(left, ["k"], 16))
         assert rows(got) == rows(left.join(facts, "k", how))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
@@ -105,7 +105,7 @@ def test_hot_rows_are_spread(spark):
         def fullest(df):
             return df.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
         assert fullest(left.join(facts, "k", "left")) > 30000
-        assert fullest(lookup(left, facts, ["k"], hot=hot_keys(left, ["k"], min_rows=1000))) < 15000
+        assert fullest(lookup(left, facts, ["k"], hot=hot_keys(left, ["k"]))) < 15000
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
@@ -114,6 +114,25 @@ def test_hot_rows_are_spread(spark):
 
 def test_hot_keys_are_found_and_bounded(spark):
     left = spark.range(60000).selectExpr("CASE WHEN id % 3 = 0 THEN 'hot' ELSE 'k' || id END AS k").repartition(7)
-    found = {r[0] for r in hot_keys(left, ["k"], min_rows=10000).collect()}
-    assert found == {spark.range(1).select(F.xxhash64(F.lit("hot"))).first()[0]}
-    assert hot_keys(left, ["k"], min_rows=1).count() <= HOT_KEYS
+    found = hot_keys(left, ["k"], 8).collect()
+    assert [r["_hot"] for r in found] == [spark.range(1).select(F.xxhash64(F.lit("hot"))).first()[0]]
+    # A third of the rows over a third of all sub-keys.
+    assert 10 <= found[0]["_salts"] <= 12
+    even = spark.range(60000).selectExpr("'k' || id % 20 AS k")
+    assert hot_keys(even, ["k"], 50).count() == 20 and hot_keys(even, ["k"], 2).count() <= HOT_PER_PARTITION * 2
+
+
+def test_many_equally_heavy_keys(spark):
+    """400 keys, each far above a partition's share: the fullest task stays near the mean."""
+    for key, value in {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.shuffle.partitions": "1000",
+                       "spark.sql.adaptive.coalescePartitions.enabled": "false"}.items():
+        spark.conf.set(key, value)
+    try:
+        left = spark.range(0, 400_000, 1, 8).selectExpr("'k' || id % 400 AS k", "id AS v")
+        facts = spark.range(400).selectExpr("'k' || id AS k", "id AS fact")
+        sizes = [r[0] for r in lookup(left, facts, ["k"]).groupBy(F.spark_partition_id()).count().select("count").collect()]
+        assert sum(sizes) == 400_000 and max(sizes) < 5 * 400
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")

@@ -12,13 +12,12 @@ def names(*numbers):
     return [f"LP{n}" for n in numbers]
 
 
-@pytest.mark.parametrize("top_k_rows", [select.TOP_K_ROWS, 0], ids=["top-k", "positions"])
 @pytest.mark.parametrize("text, expected", [
     ("all", range(1, 13)), ("3", (1, 2, 3)), ("first-3", (1, 2, 3)), ("last-2", (11, 12)), ("9-11", (9, 10, 11)),
     ("11-9", ()), ("0", ()), ("last-99", range(1, 13)), ("last-0", ()), ("11-40", (11, 12)),
 ])
-def test_selection(albums, text, expected, top_k_rows):
-    got = select.select_positions(albums, text, top_k_rows=top_k_rows)
+def test_selection(albums, text, expected):
+    got = select.select_positions(albums, text)
     assert [r[0] for r in got.collect()] == names(*expected)
 
 
