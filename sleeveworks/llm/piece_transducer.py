@@ -17,6 +17,7 @@ Python worker.
 import re
 from collections.abc import Callable, Iterable, Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -29,7 +30,7 @@ SPACE = "▁"
 NORMAL, UNKNOWN, CONTROL, BYTE = 1, 2, 3, 6
 UNIGRAM, BYTE_PAIR = 1, 2
 #: Stretches remembered per worker.
-REMEMBERED = 1 << 18
+REMEMBERED = 1 << 19
 
 
 def _stretches(pieces: Iterable[str]) -> re.Pattern:
@@ -67,14 +68,23 @@ class Transducer:
         self.scores = {p: proto.pieces[i].score for p, i in self.ids.items()}
         self.bytes = {int(p.piece[3:5], 16): i for i, p in enumerate(proto.pieces) if p.type == BYTE}
         self.unknown = self.kinds.index(UNKNOWN)
-        self.longest = max(map(len, self.ids))
+        # The longest piece that begins with a character, and with two.
+        self.reach: dict[str, int] = {}
+        for piece in self.ids:
+            for start in {piece[:1], piece[:2]}:
+                self.reach[start] = max(self.reach.get(start, 1), len(piece))
+        self._written = [self._bytes_of(i) for i in range(len(self.pieces))]
         # Less than any path of pieces could weigh.
         self.fallback_weight = 10.0 - min([s for s in self.scores.values() if s > -1e8], default=0.0)
         self._stretch = _stretches(self.ids)
         self._split = lru_cache(REMEMBERED)(self._last_merge)
         self._spine = lru_cache(REMEMBERED)(self._sides)
         self._follow: dict[tuple[str, str], bool] = {}
+        # What was used lately, and before; half of what is remembered is forgotten at a time.
         self._known: dict[str, tuple[int, ...]] = {}
+        self._older: dict[str, tuple[int, ...]] = {}
+        # Pieces that merging their own characters gives.
+        self._whole = {p for p in self.ids if len(p) == 1 or self._split(p)} if self.byte_pair else set()
 
     def normalise(self, text: str) -> str:
         if self.squeeze:
@@ -141,13 +151,17 @@ class Transducer:
 
     def _arcs(self, text: str, start: int) -> Iterator[tuple[int, float]]:
         """Arcs of the pieces and of byte fallback from a place in a text, the longest first: end, weight."""
-        for end in range(min(start + self.longest, len(text)), start, -1):
+        for end in range(self._furthest(text, start), start, -1):
             score = self.scores.get(text[start:end])
             if score is not None:
                 yield end, -score
         if text[start] not in self.ids:
             yield start + 1, self.fallback_weight
 
+    def _furthest(self, text: str, start: int) -> int:
+        two = self.reach.get(text[start:start + 2], 1)
+        return min(start + two, len(text))
+
     def _least_path(self, text: str) -> list[str]:
         """Pieces along the path of least weight in a unigram model."""
         best = [(0.0, -1)] + [(float("inf"), -1)] * len(text)
@@ -165,20 +179,24 @@ class Transducer:
         """Pieces along the only path of finite weight in a byte-pair model. A prefix too has only one,
         so each place is reached with one last piece and entered once."""
         path: list[str] = []
-        open_arcs, ends, entered = [self._arcs(text, 0)], [0], {0}
-        while ends[-1] < len(text):
-            for end, _ in open_arcs[-1]:
-                piece = text[ends[-1]:end]
-                if end not in entered and (len(piece) == 1 or self._split(piece)) and (not path or self._follows(path[-1], piece)):
-                    entered.add(end)
-                    path.append(piece)
-                    ends.append(end)
-                    if end < len(text):
-                        open_arcs.append(self._arcs(text, end))
+        ends, left, entered, whole, last = [0], [self._furthest(text, 0)], {0}, self._whole, len(text)
+        while ends[-1] < last:
+            start, end = ends[-1], left[-1]
+            while end > start:
+                piece = text[start:end]
+                if (piece in whole or end == start + 1) and end not in entered and (not path or self._follows(path[-1], piece)):
                     break
+                end -= 1
+            if end > start:
+                # What is left to try here, should this arc lead nowhere.
+                left[-1] = end - 1
+                entered.add(end)
+                path.append(piece)
+                ends.append(end)
+                left.append(self._furthest(text, end) if end < last else end)
             else:
-                open_arcs.pop()
                 ends.pop()
+                left.pop()
                 path.pop()
         return path
 
@@ -197,27 +215,27 @@ class Transducer:
         for stretch in self._stretch.findall(self.normalise(text)):
             found = self._known.get(stretch)
             if found is None:
-                found = tuple(i for piece in self._shortest(stretch) for i in self._emit(piece))
-                if len(self._known) >= REMEMBERED:
-                    self._known.clear()
+                found = self._older.get(stretch)
+                if found is None:
+                    found = tuple(i for piece in self._shortest(stretch) for i in self._emit(piece))
                 if len(stretch) <= 64:
+                    if 2 * len(self._known) >= REMEMBERED:
+                        self._older, self._known = self._known, {}
                     self._known[stretch] = found
             out += found
         return out
 
+    def _bytes_of(self, i: int) -> bytes:
+        if self.kinds[i] == BYTE:
+            return bytes([int(self.pieces[i][3:5], 16)])
+        if self.kinds[i] == UNKNOWN:
+            return " \u2047 ".encode()
+        text = "" if self.kinds[i] == CONTROL else self.pieces[i]
+        return (text.replace(SPACE, " ") if self.escape else text).encode()
+
     def decode(self, ids: list[int]) -> str:
         """The text of ids; bytes that are no UTF-8 become U+FFFD, control pieces nothing."""
-        out = bytearray()
-        for i in ids:
-            kind = self.kinds[i]
-            if kind == BYTE:
-                out.append(int(self.pieces[i][3:5], 16))
-            elif kind == UNKNOWN:
-                out += b" \xe2\x81\x87 "
-            elif kind != CONTROL:
-                out += self.pieces[i].encode()
-        text = out.decode("utf-8", "replace")
-        text = text.replace(SPACE, " ") if self.escape else text
+        text = b"".join(map(self._written.__getitem__, ids)).decode("utf-8", "replace")
         return text[1:] if self.prefix and text.startswith(" ") else text
 
 
@@ -233,7 +251,7 @@ def _transducer(model: bytes) -> Transducer:
 
 def _lists(values: list[list[int]]) -> pa.ListArray:
     offsets = np.cumsum([0, *map(len, values)]).astype(np.int32)
-    return pa.ListArray.from_arrays(offsets, pa.array(np.concatenate([np.zeros(0, np.int32), *map(np.int32, values)]).astype(np.int32)))
+    return pa.ListArray.from_arrays(offsets, pa.array(np.fromiter(chain.from_iterable(values), np.int32, int(offsets[-1]))))
 
 
 def _model(spark, path: str):
