@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from sleeveworks.functions import text as X
 from sleeveworks.functions import scalars as S
 from sleeveworks.schema import (
-    GENERAL_FIELDS, GENERAL_SECTION, MISSING, TRACK_SECTION,
+    GENERAL_FIELDS, GENERAL_SECTION, MISSING, TRACK_FIELDS, TRACK_SECTION,
 )
 
 # How the JSON text is found in a response.
@@ -109,11 +109,11 @@ def found_documents(parsed: DataFrame, column: str = "doc_json") -> DataFrame:
 
 
 def general_rows(parsed: DataFrame, key: str = "lp_id", fields: list[str] = GENERAL_FIELDS,
-                 defaults: dict[str, str] | None = None) -> DataFrame:
+                 defaults: dict[str, str] | None = None, extra: str | None = None) -> DataFrame:
     """One row per document that has a general section.
 
     ``LP_ID`` is the album key, whatever the document says. Absent members are null, or what
-    ``defaults`` gives for them.
+    ``defaults`` gives for them. ``extra`` names a column for a map of all other members.
     """
     defaults = defaults or {}
     section = get("doc", GENERAL_SECTION, kind="variant")
@@ -122,16 +122,18 @@ def general_rows(parsed: DataFrame, key: str = "lp_id", fields: list[str] = GENE
     section = F.col("_general")
     return rows.select("LP_ID", *[
         (default_if_absent(section, f, defaults[f]) if f in defaults else get(section, f)).alias(f)
-        for f in fields if f != "LP_ID"])
+        for f in fields if f != "LP_ID"],
+        *([other_members(section, fields).alias(extra)] if extra else []))
 
 
 def track_rows(parsed: DataFrame, key: str = "lp_id", coerce_numbers: bool = True,
-               default_length: str | None = None) -> DataFrame:
+               default_length: str | None = None, extra: str | None = None) -> DataFrame:
     """One row per track entry, in document order (``seq``).
 
     A name or composer whose key is absent becomes ``missing``; an explicit null stays null.
     ``track_no`` is the number in two digits; with ``coerce_numbers=False`` only numbers given
-    as text count. ``default_length`` replaces an absent model length.
+    as text count. ``default_length`` replaces an absent model length. ``extra`` names a column for
+    a map of all members that have no column.
     """
     entries = get("doc", TRACK_SECTION, kind="array<variant>")
     rows = parsed.select(F.col(key).alias("LP_ID"), F.posexplode(entries).alias("seq", "_track"))
@@ -151,9 +153,16 @@ def track_rows(parsed: DataFrame, key: str = "lp_id", coerce_numbers: bool = Tru
         (length if default_length is None
          else default_if_absent(t, "Track_Length", default_length)).alias("Track_Length"),
         (number if coerce_numbers else F.when(is_text(F.col("_number")), number)).alias("track_no"),
+        *([other_members(t, [*TRACK_FIELDS, "Track Number"]).alias(extra)] if extra else []),
     )
 
 
+def other_members(section: Column, declared: list[str]) -> Column:
+    """Members of an object that are not declared, as a map of texts; null for anything but an object."""
+    others = F.map_filter(members(section), lambda name, _: ~name.isin(declared))
+    return F.transform_values(others, lambda _, value: get(value))
+
+
 def number_field(track: Column) -> Column:
     """``Track Number``, or ``Track_Number`` where the former does not exist."""
     return F.coalesce(get(track, "Track Number", kind="variant"), get(track, "Track_Number", kind="variant"))

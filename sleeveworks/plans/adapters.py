@@ -120,6 +120,18 @@ _COVERS = [
 ]
 
 
+# Documents of every kind the parser tells apart, one per supplier; undeclared members among them.
+SUPPLIER_DOCUMENT = (
+    "CASE s_suppkey % 9 WHEN 0 THEN '' WHEN 1 THEN '[1]' WHEN 2 THEN '{\"cut\":' WHEN 3 THEN '{}' "
+    "WHEN 4 THEN '{\"General Information\":7}' WHEN 5 THEN '{\"Track Info\":{\"a\":1}}' WHEN 6 THEN '{\"Track Info\":[1]}' "
+    "ELSE '{\"General Information\":{\"Title\":\"' || s_name || '\",\"country\":\"N' || s_nationkey || '\",\"Rating\":' || (s_suppkey % 5) || '}}' END"
+)
+SUPPLIER_REASON = (
+    "CASE s_suppkey % 9 WHEN 0 THEN 'no_json' WHEN 1 THEN 'not_object' WHEN 2 THEN 'invalid_json' "
+    "WHEN 4 THEN 'general_not_object' WHEN 5 THEN 'tracks_not_array' WHEN 6 THEN 'track_not_object' END"
+)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A benchmark table, as it is."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

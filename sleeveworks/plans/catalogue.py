@@ -201,8 +201,8 @@ class Run:
     def flatten(self, audio: DataFrame) -> None:
         """Stage 3: raw album and track tables, and tracks with their files."""
         parsed = extract.parse_documents(self.table("extractions"), text="doc_json", how="whole")
-        write_table(extract.general_rows(parsed), self.path("raw_general"))
-        write_table(extract.track_rows(parsed, coerce_numbers=not self.parity), self.path("raw_tracks"))
+        write_table(extract.general_rows(parsed, extra="other_members"), self.path("raw_general"))
+        write_table(extract.track_rows(parsed, coerce_numbers=not self.parity, extra="other_members"), self.path("raw_tracks"))
         matched = match.match_exact(self.table("raw_tracks"), match.inventory(audio), self.parity)
         write_table(matched, self.path("tracks_with_audio"))
 

@@ -231,6 +231,20 @@ ORACLES: dict[str, str] = {
         lp_id || '-' || coalesce(notes, 'nan') AS combined_parity FROM {_NOTES}""",
     "csv_tracks": f"""{_WITH_ROWS} SELECT lp_id AS "LP_ID", face AS "Face", nullif(number, '') AS number,
         track_name AS "Track_Name", composer AS "Track_Composer", length AS "Track_Length" FROM {_ENTRIES}""",
+    "csv_reordered": f"SELECT lp_id, title, CAST(NULL AS VARCHAR) AS notes FROM {A.sql('albums')}",
+    "catalogue_in_order": """SELECT 'LP' || l_partkey AS "LP_ID", l_orderkey || '-' || l_linenumber AS name,
+        row_number() OVER (PARTITION BY l_partkey ORDER BY l_orderkey, l_linenumber) AS place FROM lineitem""",
+    "text_files": """SELECT 'LP' || doc_id AS lp_id, 'LP' || doc_id || '_combined.txt' AS file_name,
+        CASE WHEN doc_id % 10 = 0 THEN '' ELSE text END AS combined_text FROM documents""",
+    "document_files": f"""SELECT * FROM (SELECT 'LP' || s_suppkey AS lp_id, 'LP' || s_suppkey || '_ai_output.json' AS file_name,
+        {A.SUPPLIER_REASON} AS reason FROM supplier) WHERE reason IS NOT NULL""",
+    "audio_scan": """SELECT 'LP1' AS lp_id, 'LP1_1z1_A' || s_suppkey || '.mp3' AS file_name, strlen(s_name) AS bytes
+        FROM supplier WHERE s_suppkey % 7 <> 0""",
+    "extra_members": """SELECT 'LP' || s_suppkey AS "LP_ID", s_name AS "Title", unnest(['country', 'Rating']) AS member,
+        unnest(['N' || s_nationkey, CAST(s_suppkey % 5 AS VARCHAR)]) AS value FROM supplier WHERE s_suppkey % 9 > 6""",
+    "resume_by_file": f"""SELECT file_name FROM {A.sql('track_responses')} WHERE file_name NOT IN
+        (SELECT {A.INPUTS['track_responses'][1]['file_name']} FROM lineitem WHERE l_linenumber = 1)""",
+    "enrich_capped": "SELECT s_suppkey, s_name, upper(s_name) AS called, CAST(NULL AS VARCHAR) AS called_error FROM supplier",
     "contract_report": f"""{_WITH_ROWS}, entries AS (SELECT * FROM {_ENTRIES}),
         sides AS (SELECT lp_id, face, count(*) AS n FROM entries GROUP BY lp_id, face)
         SELECT 'lp_id_format' AS rule, count(*) AS checked,

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql import Window as W
 
 from sleeveworks.functions import scalars as S
 from sleeveworks.functions import text as X
@@ -344,6 +345,81 @@ def csv_tracks(spark, sf_dir):
         "LP_ID", "Face", F.col("Track Number").alias("number"), "Track_Name", "Track_Composer", "Track_Length")
 
 
+@query
+def csv_reordered(spark, sf_dir):
+    """A CSV table is read by the names in its header: other order, a column more, a column less."""
+    path = new_shared_path(spark, "reordered")
+    sinks.write_csv(A.frame(spark, sf_dir, "albums").select("publisher", "title", "lp_id"), path)
+    return files.read_csv(spark, path, strings(["lp_id", "title", "notes"]))
+
+
+@query
+def catalogue_in_order(spark, sf_dir):
+    """Tracks through CSV in catalogue order; the place of each among its album's lines is kept."""
+    path = new_shared_path(spark, "ordered")
+    tracks = A.table(spark, sf_dir, "lineitem").selectExpr(
+        "'LP' || l_partkey AS LP_ID", "l_orderkey * 10 + l_linenumber AS seq", "l_orderkey || '-' || l_linenumber AS name")
+    sinks.write_csv(C.in_order(tracks).select("LP_ID", "name"), path)
+    # Lines of a file are numbered in order, and files in order of their names.
+    lines = files.read_csv(spark, path, strings(["LP_ID", "name"])).select(
+        "*", F.input_file_name().alias("file"), F.monotonically_increasing_id().alias("line"))
+    place = F.row_number().over(W.partitionBy("LP_ID").orderBy("file", "line"))
+    return lines.select("LP_ID", "name", place.cast("bigint").alias("place"))
+
+
+# --- Files ------------------------------------------------------------------------------------
+
+
+@query
+def text_files(spark, sf_dir):
+    """One text file per document, also for empty texts, and back."""
+    path = new_shared_path(spark, "texts")
+    named = A.table(spark, sf_dir, "documents").selectExpr(
+        "'LP' || doc_id || '_combined.txt' AS file", "CASE WHEN doc_id % 10 = 0 THEN '' ELSE text END AS text")
+    sinks.export_files(named, path, "file", "text")
+    return files.read_texts(spark, path)
+
+
+@query
+def document_files(spark, sf_dir):
+    """One JSON file per supplier and back, with every reason a document can be unusable for."""
+    path = new_shared_path(spark, "documents")
+    named = A.table(spark, sf_dir, "supplier").selectExpr(
+        "'LP' || s_suppkey || '_ai_output.json' AS file", f"{A.SUPPLIER_DOCUMENT} AS body")
+    sinks.export_files(named, path, "file", "body")
+    parsed = files.read_documents(spark, path)
+    return extract.quarantine(parsed).select("lp_id", "file_name", "reason")
+
+
+@query
+def audio_scan(spark, sf_dir):
+    """Audio files of an album folder, found by listing; a cover and a deeper file are left out."""
+    path = new_shared_path(spark, "archive")
+    names = A.table(spark, sf_dir, "supplier").selectExpr(
+        "CASE WHEN s_suppkey % 7 = 0 THEN 'LP1_cover' || s_suppkey || '.jpg' ELSE 'LP1_1z1_A' || s_suppkey || '.mp3' END AS file", "s_name AS body")
+    sinks.export_files(names, f"{path}/LP1", "file", "body")
+    sinks.export_files(names, f"{path}/LP1/more", "file", "body")
+    found = manifest.manifest(manifest.scan_files(spark, path), path)
+    return manifest.audio_files(found).select("lp_id", "file_name", F.col("length").cast("bigint").alias("bytes"))
+
+
+@query
+def extra_members(spark, sf_dir):
+    """Members without a column of their own, one row each."""
+    docs = A.table(spark, sf_dir, "supplier").selectExpr("'LP' || s_suppkey AS lp_id", f"{A.SUPPLIER_DOCUMENT} AS response")
+    rows = extract.general_rows(extract.parse_documents(docs, how="whole"), extra="others")
+    return rows.select("LP_ID", "Title", F.explode("others").alias("member", "value"))
+
+
+@query
+def resume_by_file(spark, sf_dir):
+    """Documents whose file has no output yet; another file of the same album doesn't count."""
+    responses = A.frame(spark, sf_dir, "track_responses").select("file_name")
+    done = A.table(spark, sf_dir, "lineitem").where("l_linenumber = 1").select(
+        F.expr(A.INPUTS["track_responses"][1]["file_name"]).alias("file_name"))
+    return match.not_done(responses, done, ["file_name"])
+
+
 # --- Checks, calls, arrival -------------------------------------------------------------------
 
 
@@ -372,6 +448,16 @@ def enrich_text(spark, sf_dir):
     return C.infer(texts, TEMPLATE, make_model).select("doc_id", "response", "response_error")
 
 
+@query
+def enrich_capped(spark, sf_dir):
+    """Calls of four workers under a shared quota."""
+    def make_model():
+        return str.upper
+
+    names = A.table(spark, sf_dir, "supplier").select("s_suppkey", "s_name")
+    return enrich(names, make_model, {"called": "s_name"}, workers=4, calls_per_minute=60_000)
+
+
 @query
 def recognise_covers(spark, sf_dir):
     """Recognition that reads the name of the file, and fails on some."""
