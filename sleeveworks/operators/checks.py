@@ -19,6 +19,9 @@ def track_rules() -> dict[str, Column]:
     return {
         "face_known": F.col("Face").isin(FACES),
         "track_number_whole": F.col("Track Number").rlike("^[0-9]+$"),
+        # What the slot grid has no place for.
+        "slot_in_grid": F.col("Face").isin(FACES)
+        & F.regexp_extract("Track Number", "[0-9]+", 0).try_cast("int").between(1, SLOTS_PER_FACE),
     }
 
 
@@ -38,15 +41,19 @@ def _as_rows(counts: DataFrame, rules: dict[str, str]) -> DataFrame:
 def contract_report(albums: DataFrame, tracks: DataFrame, per_face: int = SLOTS_PER_FACE) -> DataFrame:
     """``rule, checked, violations`` over raw album rows and raw track rows, each read once.
 
-    ``tracks_per_face`` checks every (album, face) that has tracks.
+    ``tracks_per_face`` checks every (album, face) that has tracks; ``album_id_unique`` counts the album
+    rows whose id another row has, ``slot_in_grid`` the tracks that the slot grid leaves out.
     """
     album_rules, row_rules = general_rules(), track_rules()
-    album_counts = albums.agg(
+    by_id = albums.groupBy("LP_ID").agg(
         F.count(F.lit(1)).alias("n"), *[F.count_if(_broken(good)).alias(r) for r, good in album_rules.items()])
+    album_counts = by_id.agg(
+        F.sum("n").alias("n"), *[F.sum(r).alias(r) for r in album_rules],
+        F.sum(F.when(F.col("n") > 1, F.col("n"))).alias("album_id_unique"))
     sides = tracks.groupBy("LP_ID", "Face").agg(
         F.count(F.lit(1)).alias("n"), *[F.count_if(_broken(good)).alias(r) for r, good in row_rules.items()])
     track_counts = sides.agg(
         F.sum("n").alias("rows"), F.count(F.lit(1)).alias("sides"), *[F.sum(r).alias(r) for r in row_rules],
         F.count_if(F.col("n") != per_face).alias("tracks_per_face"))
-    return _as_rows(album_counts, dict.fromkeys(album_rules, "n")).unionByName(
+    return _as_rows(album_counts, dict.fromkeys([*album_rules, "album_id_unique"], "n")).unionByName(
         _as_rows(track_counts, {**dict.fromkeys(row_rules, "rows"), "tracks_per_face": "sides"}))

@@ -253,6 +253,10 @@ ORACLES: dict[str, str] = {
                count(*) FILTER (NOT regexp_full_match(label_number, '[A-Za-z]{{2,3}}[^A-Za-z0-9]*[0-9]+')) FROM {_GENERAL}
         UNION ALL SELECT 'face_known', count(*), count(*) FILTER (face NOT IN ('A', 'B')) FROM entries
         UNION ALL SELECT 'track_number_whole', count(*), count(*) FILTER (NOT regexp_full_match(number, '[0-9]+')) FROM entries
+        UNION ALL SELECT 'slot_in_grid', count(*), count(*) FILTER (face NOT IN ('A', 'B') OR
+               coalesce(TRY_CAST(regexp_extract(number, '[0-9]+') AS INTEGER), 0) NOT BETWEEN 1 AND 6) FROM entries
+        UNION ALL SELECT 'album_id_unique', sum(n)::BIGINT, coalesce(sum(n) FILTER (n > 1), 0)::BIGINT
+               FROM (SELECT count(*) AS n FROM {_GENERAL} GROUP BY lp_id)
         UNION ALL SELECT 'tracks_per_face', count(*), count(*) FILTER (n <> 6) FROM sides""",
     "enrich_text": f"""SELECT doc_id, CASE WHEN length(p) % 2 = 0 THEN md5(p) END AS response,
         CASE WHEN length(p) % 2 = 1 THEN 'ValueError: refused' END AS response_error

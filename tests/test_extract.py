@@ -4,7 +4,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from sleeveworks.operators import extract
+from sleeveworks.operators import checks, extract
 
 
 def parsed(spark, texts, how="greedy"):
@@ -118,3 +118,11 @@ def test_array_rows(spark, rows):
     assert rows(extract.rows_from_array(df.select("title", "names"), "names", "name")) == [("t", "a"), ("t", "b")]
     zipped = extract.rows_from_parallel_arrays(df, {"names": "name", "lengths": "length"})
     assert rows(zipped) == [("t", 0, "a", 1), ("t", 1, "b", None)]
+
+
+def test_colliding_album_ids(spark, rows):
+    albums = spark.createDataFrame([("LP0001", "AB1"), ("LP0001", "AB1"), ("LP0002", "AB1")], "LP_ID string, `Label Number` string")
+    tracks = spark.createDataFrame([("LP0001", "A", "1"), ("LP0001", "A", "7"), ("LP0001", "C", "1"), ("LP0002", "A", None)],
+                                   "LP_ID string, Face string, `Track Number` string")
+    got = {r["rule"]: (r["checked"], r["violations"]) for r in checks.contract_report(albums, tracks).collect()}
+    assert got["album_id_unique"] == (3, 2) and got["slot_in_grid"] == (4, 3)

@@ -24,6 +24,29 @@ def test_manifest(spark, rows, tmp_path):
     assert manifest.audio_files(found, recursive=True).count() == 2
 
 
+def test_listings_name_the_file_system(spark, rows):
+    paths = ["hdfs://nn:8020/archive/albums/LP1/a.mp3", "hdfs:/archive/albums/LP2/a.mp3", "/archive/albums/LP3/a.mp3", "s3a://bucket/archive/albums/LP4/a.mp3",
+             "hdfs://nn:8020/other/LP5/a.mp3"]
+    listed = spark.createDataFrame([(p,) for p in paths], "path string")
+    for base in ("/archive/albums", "hdfs://nn:8020/archive/albums/"):
+        assert rows(manifest.manifest(listed, base), "lp_id") == [("LP1",), ("LP2",), ("LP3",), ("LP4",)]
+
+
+def test_csv_is_read_by_name(spark, rows, tmp_path):
+    touch(tmp_path / "c" / "a.csv", "Title,LP_ID,Country,More\nMy Title,LP1,NaN,x\n")
+    schema = strings(["LP_ID", "Country", "Title", "Notes"])
+    assert rows(files.read_csv(spark, str(tmp_path / "c"), schema)) == [("LP1", None, "My Title", None)]
+
+
+def test_empty_documents_are_reported(spark, rows, tmp_path):
+    touch(tmp_path / "LP1_ai_output.json", "")
+    touch(tmp_path / "LP2_ai_output.json", "{}")
+    touch(tmp_path / "LP3 x_ai_output.json", "")
+    docs = files.read_documents(spark, str(tmp_path))
+    assert rows(extract.quarantine(docs), "file_name", "reason") == [
+        ("LP1_ai_output.json", "no_json"), ("LP3 x_ai_output.json", "no_json")]
+
+
 def test_scan_reads_no_contents(spark, tmp_path):
     touch(tmp_path / "LP1" / "a.jpg")
     plan = manifest.scan_files(spark, str(tmp_path)).select("path")._jdf.queryExecution().executedPlan().toString()
@@ -82,6 +105,17 @@ def test_one_bad_row_does_not_stop_the_others(spark, rows):
         (2**60 + 1, "a", "A", None), (2, "bad", None, "ValueError: no"), (None, None, None, None)]
 
 
+def test_an_answer_of_the_wrong_type_is_the_rows_error(spark, rows):
+    from pyspark.sql import types as T
+
+    def make():
+        return lambda text: float(text) if text.isdigit() else text
+
+    df = spark.createDataFrame([("1",), ("x",)], "t string")
+    got = enrich.enrich(df, make, {"out": "t"}, T.DoubleType()).withColumn("failed", F.col("out_error").isNotNull())
+    assert rows(got, "t", "out", "failed") == [("1", 1.0, False), ("x", None, True)]
+
+
 def test_workers_limit_the_callers(spark):
     def make():
         client = object()

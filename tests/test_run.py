@@ -6,6 +6,7 @@ import json
 import pytest
 
 from sleeveworks.operators import extract
+from sleeveworks.plans import catalogue
 from sleeveworks.plans.catalogue import Run
 from sleeveworks.schema import CLEAN_GENERAL, CLEAN_TRACK
 from sleeveworks.sources import files, manifest
@@ -104,6 +105,70 @@ def test_run_from_folders_to_catalogues(spark, rows, archive):
     assert rows(files.read_csv(spark, again.path("general_catalogue"), CLEAN_GENERAL)) == rows(albums)
 
 
+def test_failed_readings_are_tried_again(spark, rows, archive):
+    run = Run(spark, str(archive / "albums"), str(archive / "work"), "A. B", "", dt.date(2024, 9, 5))
+    log = archive / "ocr.log"
+
+    def broken():
+        read = make_reader(str(log))()
+
+        def one(path):
+            if "LP1_cover02" in path:
+                raise OSError("outage")
+            return read(path)
+        return one
+
+    run.recognise_covers(lambda: broken())
+    assert rows(run.table("ocr_text"), "lp_id") == [("LP2",)]
+    run.recognise_covers(make_reader(str(log)))
+    assert rows(run.table("ocr_text"), "lp_id", "combined_text")[0] == (
+        "LP1", "Front Cover:\nLP1 cover01.jpg\nBack Cover:\nLP1 cover02.jpg")
+    assert len(lines(log)) == 5
+
+
+def test_paid_answers_survive_a_failing_run(spark, rows, archive):
+    """A run that dies between portions keeps what it paid for, and the next one parses it."""
+    run = Run(spark, str(archive / "albums"), str(archive / "work"), "A. B", "", dt.date(2024, 9, 5), portion=1)
+    names = [f"LP{i}" for i in range(1, 9)]
+    (archive / "texts").mkdir()
+    for lp in names:
+        (archive / "texts" / f"{lp}_combined.txt").write_text(f"Front Cover:\n{lp} x")
+    run.load_texts(str(archive / "texts"))
+    log, answer, asked = archive / "model.log", make_model(str(archive / "model.log")), []
+    real = catalogue.infer
+
+    def dying(rows_, *args):
+        asked.append(1)
+        if len(asked) == 5:
+            raise RuntimeError("the driver dies")
+        return real(rows_, *args)
+
+    catalogue.infer = dying
+    try:
+        with pytest.raises(RuntimeError):
+            run.ask_model("Extract.\n", answer)
+    finally:
+        catalogue.infer = real
+    paid = lines(log)
+    run.ask_model("Extract.\n", answer)
+    assert 0 < len(paid) < 8 and sorted(lines(log)) == names
+    assert rows(run.table("extractions"), "lp_id") == [(lp,) for lp in names]
+
+
+def test_documents_are_known_by_file(spark, rows, archive):
+    run = Run(spark, str(archive / "albums"), str(archive / "work"), "A. B", "", dt.date(2024, 9, 5))
+    inbox = archive / "in"
+    inbox.mkdir()
+    (inbox / "LP1_ai_output.json").write_text('{"Track Info": [{"Face": "A"}]}')
+    (inbox / "LP9_ai_output.json").write_text("{")
+    run.load_documents(str(inbox))
+    (inbox / "LP1_side2_ai_output.json").write_text('{"Track Info": [{"Face": "B"}]}')
+    for _ in range(2):
+        run.load_documents(str(inbox))
+    assert rows(run.table("extractions"), "lp_id", "file_name") == [("LP1", "LP1_ai_output.json"), ("LP1", "LP1_side2_ai_output.json")]
+    assert rows(run.table("unreadable"), "file_name", "reason") == [("LP9_ai_output.json", "invalid_json")]
+
+
 def test_arriving_files_are_processed_once(spark, rows, tmp_path):
     inbox, out, state = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "state")
     inbox.mkdir()
