@@ -430,14 +430,17 @@ def removal_report(docs: DataFrame, id: str = "doc_id", text: str = "text", leng
 def without_repeats(docs: DataFrame, text: str = "text", chars: str = "n_chars", length: int = 200) -> DataFrame:
     """``docs`` with repeated passages cut from the text; ``chars``, where present, follows the text.
 
-    Bytes of a character that is cut in two are dropped. Rows stay, also those left without text.
+    Bytes of a character that is cut in two are dropped. Rows stay, also those left without text; a
+    null text stays null.
     """
-    keyed, results = _with_copies(docs.withColumnRenamed(text, "_text"), "_text", length)
+    # Other columns travel as one, whatever their names.
+    rest = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != text] or [F.lit(0).alias("none")])
+    keyed, results = _with_copies(docs.select(rest.alias("rest"), F.col(text).alias("text")), "text", length)
     joined = keyed.join(results.select("t1", "t2", "copies", "kept"), ["t1", "t2"], "left")
-    copied = (F.col("copies") > 1) & (F.octet_length("_text") >= length)
-    joined = joined.withColumn("_kept", F.when(copied, F.lit("")).otherwise(F.coalesce("kept", "_text")))
-    columns = [F.col("_kept").alias(c) if c == text else F.col(f"`{c}`") for c in docs.columns]
-    out = joined.select(*columns)
+    copied = (F.col("copies") > 1) & (F.octet_length("text") >= length)
+    cut = F.when(copied, F.lit("")).otherwise(F.coalesce("kept", "text"))
+    out = joined.select("rest", cut.alias("text"))
+    columns = {c: F.col(f"rest.`{c}`") for c in docs.columns if c != text} | {text: F.col("text")}
     if chars in docs.columns and chars != text:
-        out = out.withColumn(chars, F.length(text).cast(docs.schema[chars].dataType))
-    return out
+        columns[chars] = F.coalesce(F.length("text").cast(docs.schema[chars].dataType), columns[chars])
+    return out.select(*[columns[c].alias(c) for c in docs.columns])
