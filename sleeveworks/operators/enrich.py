@@ -11,6 +11,7 @@ from collections.abc import Callable, Iterator
 from typing import Any
 
 import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
@@ -21,6 +22,26 @@ def call_interval(workers: int, calls_per_minute: float) -> float:
     return workers * 60.0 / calls_per_minute
 
 
+def on_contents(make_function: Callable[[], Callable[[bytes], Any]]) -> Callable[[], Callable[[str], Any]]:
+    """For ``enrich`` over a column of paths: the function gets the bytes of the file instead.
+
+    A file is read by the worker that calls the function, through the file system its path names, so
+    contents are never shuffled.
+    """
+    def make() -> Callable[[str], Any]:
+        function = make_function()
+
+        def call(path: str) -> Any:
+            uri = path if "://" in path else "file://" + path.removeprefix("file:")
+            store, place = fs.FileSystem.from_uri(uri)
+            with store.open_input_stream(place) as source:
+                return function(source.readall())
+
+        return call
+
+    return make
+
+
 def enrich(df: DataFrame, make_function: Callable[[], Callable[[Any], Any]], calls: dict[str, str],
            result_type: T.DataType = T.StringType(), workers: int | None = None,
            calls_per_minute: float | None = None) -> DataFrame:

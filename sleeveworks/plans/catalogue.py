@@ -13,11 +13,12 @@ from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 from sleeveworks.functions import scalars as S
 from sleeveworks.functions.text import cover_text
 from sleeveworks.operators import covers, extract, label, match, select
-from sleeveworks.operators.enrich import enrich
+from sleeveworks.operators.enrich import enrich, on_contents
 from sleeveworks.schema import RAW_GENERAL, RAW_TRACK
 from sleeveworks.session import new_shared_path, tune
 from sleeveworks.sources import files
@@ -131,9 +132,11 @@ class Run:
             write_table(ask(share), self.path(f"{name}/attempt={stamp}-{i}"))
 
     def recognise_covers(self, make_reader: Callable[[], Callable[[Any], str]], selection: str = "all",
-                         inventory: DataFrame | None = None) -> None:
+                         inventory: DataFrame | None = None, contents: bool = False) -> None:
         """Stage 1: texts of the selected albums that have both covers and no text yet. An album of which
-        a cover could not be read is tried again by the next run."""
+        a cover could not be read is tried again by the next run. With ``contents`` the reader gets the
+        bytes of an image, else its path."""
+        make_reader = on_contents(make_reader) if contents else make_reader
         self._keep_texts()
         found = self.manifest(inventory)
         chosen = select.select_positions(select.album_names(found), selection, parity=self.parity)
@@ -198,8 +201,16 @@ class Run:
         write_csv(in_order(albums).select(*RAW_GENERAL.names), f"{directory}/general_info")
         write_csv(in_order(tracks).select(*RAW_TRACK.names), f"{directory}/track_info")
 
-    def flatten(self, audio: DataFrame) -> None:
-        """Stage 3: raw album and track tables, and tracks with their files."""
+    def measure_audio(self, make_header: Callable[[], Callable[[bytes], float]], inventory: DataFrame | None = None) -> None:
+        """Seconds of every audio file, from its bytes; a file that can't be read has none."""
+        found = M.audio_files(self.manifest(inventory)).select("lp_id", "file_name", "path")
+        measured = enrich(found, on_contents(make_header), {"seconds": "path"}, DoubleType(), self.workers)
+        write_table(measured.drop("path"), self.path("audio"))
+
+    def flatten(self, audio: DataFrame | None = None) -> None:
+        """Stage 3: raw album and track tables, and tracks with their files. ``audio`` (lp_id, file_name,
+        seconds) is what ``measure_audio`` found, if not given."""
+        audio = self.table("audio").select("lp_id", "file_name", "seconds") if audio is None else audio
         parsed = extract.parse_documents(self.table("extractions"), text="doc_json", how="whole")
         write_table(extract.general_rows(parsed, extra="other_members"), self.path("raw_general"))
         write_table(extract.track_rows(parsed, coerce_numbers=not self.parity, extra="other_members"), self.path("raw_tracks"))

@@ -105,6 +105,18 @@ def test_run_from_folders_to_catalogues(spark, rows, archive):
     assert rows(files.read_csv(spark, again.path("general_catalogue"), CLEAN_GENERAL)) == rows(albums)
 
 
+def test_contents_and_audio(spark, rows, archive):
+    run = Run(spark, str(archive / "albums"), str(archive / "work"), "A. B", "", dt.date(2024, 9, 5))
+    run.recognise_covers(lambda: bytes.decode, contents=True)
+    assert rows(run.table("ocr_text"), "lp_id", "combined_text")[0] == (
+        "LP1", "Front Cover:\nLP1 cover01.jpg\nBack Cover:\nLP1 cover02.jpg")
+    run.ask_model("Extract.\n", make_model(str(archive / "model.log")))
+    run.measure_audio(lambda: lambda content: len(content) + 100.0)
+    run.flatten()
+    assert rows(run.table("tracks_with_audio"), "LP_ID", "`Track Length`") == [
+        ("LP1", "1'55"), ("LP1", "missing"), ("LP2", "missing"), ("LP2", "missing")]
+
+
 def test_failed_readings_are_tried_again(spark, rows, archive):
     run = Run(spark, str(archive / "albums"), str(archive / "work"), "A. B", "", dt.date(2024, 9, 5))
     log = archive / "ocr.log"
