@@ -11,11 +11,20 @@ from pyspark.sql import functions as F
 from sleeveworks.session import new_shared_path
 
 
+#: Shuffle files go when the query that made them ends; what it wrote is all that is needed of it.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
-    """The rows, written to the shared folder and read again."""
-    path = new_shared_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    """The rows, written to the shared folder and read again; nothing else stays of the query."""
+    spark = df.sparkSession
+    path, before = new_shared_path(spark, name), spark.conf.get(_CLEANUP)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(_CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def _star(links: DataFrame, large: bool) -> DataFrame:

@@ -4,8 +4,12 @@ Sets of like size share a size band. In a band, similar sets differ in at most k
 shingles is cut into n1 parts, each into n2 sub-parts; as k < n1 * 2, some part holds at most one
 difference, so the two sets agree on all of its sub-parts but one. A set's signatures are the hashes
 of its shingles in each part less one sub-part, for its own band and the next: similar sets share one.
-Where such a cover holds no shingle, a second cut of the domain takes its place, as sets that share
-only emptiness would crowd one bucket.
+
+Sets that share only emptiness would crowd one bucket, so covers without a shingle are left out. With two
+sub-parts, similar sets agree on at least 2 * n1 - k covers; n1 is somewhat larger than it need be, so
+that a set rarely has as many empty covers, and one that isn't empty is left for the match. A set that
+does have too many empty covers also gets the signatures of a second cut, its empty ones included: a
+pair that the first cut can miss meets there, as both its sets have too many.
 
 Sets that share a signature meet by its hash and are named after the least of them; sets that met
 under the same least one form a group. A group is compared as a whole, a large one block by block, each
@@ -17,6 +21,7 @@ set, and only the least set comes to them by a join, so no task gets all members
 """
 
 import hashlib
+import zlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -71,6 +76,16 @@ def _cover_sums(sets: np.ndarray, owner: np.ndarray, n1: np.ndarray, n2: np.ndar
     return mix(mix(whole - sums) + mix(label)), held - counts, of
 
 
+def _parts(differ: np.ndarray, n2: np.ndarray, least: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Parts for a number of differences, and how many empty covers a set can have with them and still
+    share one that isn't empty. ``least``: the smallest size of the band, where covers are emptiest."""
+    covers = differ + 1.0
+    expected = covers * np.exp(-least / covers)
+    spare = np.where(n2 == 2, np.ceil(1.3 * expected + 4 * np.sqrt(expected)) + 1, 0).astype(np.int64)
+    n1 = np.where(n2 == 2, (differ + 1 + spare + 1) // 2, differ // 2 + 1)
+    return n1, np.where(n2 == 2, 2 * n1 - differ - 1, 0)
+
+
 def signatures(sets: np.ndarray, at: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
     """Signatures of the sets in a flat array, and the set each belongs to."""
     size = np.diff(at)
@@ -79,11 +94,11 @@ def signatures(sets: np.ndarray, at: np.ndarray, percent: int) -> tuple[np.ndarr
     found, owners = [], []
     for step in (0, 1):
         tag = band + step
-        differ = 2 * ends[np.minimum(tag, len(ends) - 1)] * (100 - percent) // (100 + percent)
+        differ = 2 * ends[tag] * (100 - percent) // (100 + percent)
         # Where no difference is allowed, only equal sets are similar, and those are one already.
         some = np.flatnonzero((size > 0) & (differ > 0))
-        n1 = differ[some] // 2 + 1
         n2 = np.where(ends[tag[some]] <= SMALL, 3, 2)
+        n1, spare = _parts(differ[some], n2, ends[np.maximum(tag[some] - 2, 0)] + 1)
         members = np.repeat(np.arange(len(some)), size[some])
         before = np.cumsum(size[some]) - size[some]
         elements = sets[np.arange(len(members)) - before[members] + at[:-1][some][members]]
@@ -91,9 +106,8 @@ def signatures(sets: np.ndarray, at: np.ndarray, percent: int) -> tuple[np.ndarr
         full = held > 0
         found.append(sign[full])
         owners.append(some[of[full]])
-        again = np.unique(of[~full])
+        again = np.flatnonzero(np.bincount(of[~full], minlength=len(some)) > spare)
         if len(again):
-            # Sets with an empty cover: all covers of the second cut, the empty ones too.
             chosen = np.isin(members, again)
             sign, _, of = _cover_sums(elements[chosen], np.searchsorted(again, members[chosen]), n1[again], n2[again], tag[some][again], 1)
             found.append(sign)
@@ -197,14 +211,14 @@ def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _fetch(size: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """From (node, doc, text): the set itself, where the text has that set."""
-    schema = pa.schema([("node", pa.int64()), ("doc", pa.int64()), ("members", pa.binary())])
+    """From (node, doc, text): the text, compressed, where it has that set; it is shorter than the set."""
+    schema = pa.schema([("node", pa.int64()), ("doc", pa.int64()), ("body", pa.binary())])
 
     def run(batches):
         for batch in pieces(batches, 2, BLOCK):
             sets, at = shingles(*flat(batch.column(2)), size)
             right = pa.array(_set_keys(sets, at)[:, 0] == batch.column(0).to_numpy())
-            body = [sets[a:b].tobytes() for a, b in zip(at[:-1], at[1:], strict=True)]
+            body = [zlib.compress(t.as_buffer(), 1) for t in batch.column(2)]
             out = pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(body, pa.binary())], schema=schema)
             yield out.filter(right)
     return run
@@ -260,8 +274,8 @@ def _tied(docs: list[int], blocks: list[int], sets: list[np.ndarray], across: bo
     return [(docs[a], docs[b]) for a, b in np.argwhere(near).tolist() if ties.tie(a, b)]
 
 
-def _compare(percent: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """From (pivot, first, second, block, doc, members) in order of the first three: similar documents."""
+def _compare(percent: int, size: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """From (pivot, first, second, block, doc, body) in order of the first three: similar documents."""
     schema = pa.schema([("doc_a", pa.int64()), ("doc_b", pa.int64())])
 
     def run(batches):
@@ -269,14 +283,15 @@ def _compare(percent: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.R
         for batch in batches:
             heads = list(zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True))
             columns = (batch.column(i).to_pylist() for i in (3, 4, 5))
-            for head, block, doc, members in zip(heads, *columns, strict=True):
+            for head, block, doc, body in zip(heads, *columns, strict=True):
                 if head != key:
                     if len(sets) > 1:
                         out += _tied(docs, blocks, sets, key[1] != key[2], percent)
                     key, docs, blocks, sets = head, [], [], []
                 docs.append(doc)
                 blocks.append(block)
-                sets.append(np.frombuffer(members, np.uint64))
+                text = np.frombuffer(zlib.decompress(body), np.uint8)
+                sets.append(shingles(text, np.array([0, len(text)]), size)[0])
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out, strict=True)], schema=schema)
                 out = []
@@ -303,16 +318,17 @@ def _links(rows: DataFrame, nodes: DataFrame, size: int, percent: int, sent: int
     wanted = groups.select("node").distinct()
     named = nodes.select(F.col("k1").alias("node"), F.col("rep").alias("doc")).join(wanted, "node")
     texts = named.join(rows.select(F.col("doc_id").alias("doc"), "text"), "doc").select("node", "doc", "text")
-    sets = texts.mapInArrow(_fetch(size), "node long, doc long, members binary").dropDuplicates(["node", "doc"])
+    sets = texts.mapInArrow(_fetch(size), "node long, doc long, body binary")
+    sets = stored(sets.groupBy("node", "doc").agg(F.min("body").alias("body")), "bodies")
 
     counts = groups.groupBy("pivot").agg(F.ceil(F.count(F.lit(1)) / F.lit(block)).alias("blocks"))
     placed = groups.join(counts, "pivot").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")))
     # Every pair of blocks meets once; a group of one block meets itself.
     placed = placed.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))).select(
         "pivot", F.least("block", "other").alias("first"), F.greatest("block", "other").alias("second"), "block", "node")
-    met_sets = placed.join(sets, "node").select("pivot", "first", "second", "block", "doc", "members")
+    met_sets = placed.join(sets, "node").select("pivot", "first", "second", "block", "doc", "body")
     return met_sets.repartition(parts, "pivot", "first", "second").sortWithinPartitions("pivot", "first", "second", "doc").mapInArrow(
-        _compare(percent), "doc_a long, doc_b long")
+        _compare(percent, size), "doc_a long, doc_b long")
 
 
 def similar_groups(docs: DataFrame, id: str = "doc_id", text: str = "text", size: int = 3, percent: int = 90,
@@ -329,9 +345,14 @@ def similar_groups(docs: DataFrame, id: str = "doc_id", text: str = "text", size
     named = light.where("n > 0 AND doc_id IS NOT NULL")
     nodes = named.groupBy("k1", "k2").agg(F.min("doc_id").alias("rep"))
     links = _links(rows.where("doc_id IS NOT NULL"), nodes, size, percent, sent, block)
-    # Equal sets are linked through the least id among them.
-    equal = named.join(nodes, ["k1", "k2"]).where("doc_id != rep").select(F.col("doc_id").alias("doc_a"), F.col("rep").alias("doc_b"))
-    found = components(links.unionByName(equal), "doc_a", "doc_b")
+    # Equal sets are linked through the least id among them, very many of them in two steps.
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    named = named.withColumn("share", F.pmod(F.xxhash64("doc_id"), F.lit(parts)))
+    firsts = named.groupBy("k1", "k2", "share").agg(F.min("doc_id").alias("first"))
+    equal = [named.join(firsts, ["k1", "k2", "share"]).select(F.col("doc_id").alias("doc_a"), F.col("first").alias("doc_b")),
+             firsts.join(nodes, ["k1", "k2"]).select(F.col("first").alias("doc_a"), F.col("rep").alias("doc_b"))]
+    equal = equal[0].unionByName(equal[1]).where("doc_a != doc_b")
+    found = components(stored(links, "similar").unionByName(equal), "doc_a", "doc_b")
     return light.join(found, light.doc_id == found.node, "left").select(
         "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id"))
 
