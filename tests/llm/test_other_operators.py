@@ -147,6 +147,64 @@ def test_raking(documents, spark, prose):
     assert raking.sample_mixture(documents([])).collect() == []
 
 
+def expected_shares(rows):
+    """Share of every source, language and topic among the tokens the draw is expected to keep, and how many these are."""
+    kept = [Counter() for _ in raking.TEMPER]
+    for r in rows:
+        for d, name in enumerate(raking.TEMPER):
+            kept[d][r[name]] += r.n_tokens * r.probability
+    total = sum(kept[0].values())
+    return [{v: n / total for v, n in k.items()} for k in kept], total
+
+
+def target_shares(rows):
+    targets = []
+    for name, power in raking.TEMPER.items():
+        own = Counter()
+        for r in rows:
+            own[r[name]] += r.n_tokens
+        total = sum(n**power for n in own.values())
+        targets.append({v: n**power / total for v, n in own.items()})
+    return targets
+
+
+def mixed(spark, sizes):
+    """Documents of ten tokens: so many of each source, over three languages and topics, unevenly."""
+    ends = [" word", " licence", " a@b"]
+    rows = [(s, ["en", "en", "de", "fr"][i % 4], "word " * 9 + ends[(i // 4 + i // 7) % 3]) for s, n in sizes.items() for i in range(n)]
+    return spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "doc_id long, source string, lang string, text string")
+
+
+def test_the_draw_meets_the_targets(spark):
+    """Small sources beside a hot one need more than half of their tokens; so do some cells."""
+    docs = mixed(spark, {"hot": 2000, "b": 300, "c": 260, "d": 240})
+    rows = raking.calibrated(docs).collect()
+    tokens = sum(r.n_tokens for r in rows)
+    shares, total = expected_shares(rows)
+    assert total == pytest.approx(tokens / 2, rel=1e-6) and all(0 <= r.probability <= 1 for r in rows)
+    assert any(r.probability == 1 for r in rows)
+    for got, want in zip(shares, target_shares(rows)):
+        assert got == pytest.approx(want, rel=1e-4)
+
+
+def test_a_target_above_the_supply(spark):
+    """A source too small for its target is taken whole; the others share the rest, and languages and topics fit."""
+    rows = raking.calibrated(mixed(spark, {"hot": 1000, "b": 400, "c": 400, "tiny": 12})).collect()
+    tokens = sum(r.n_tokens for r in rows)
+    shares, total = expected_shares(rows)
+    want = target_shares(rows)
+    supply = 2 * sum(r.n_tokens for r in rows if r.source == "tiny") / tokens
+    assert want[0]["tiny"] > supply and {r.probability for r in rows if r.source == "tiny"} == {1.0}
+    want[0] = {v: supply if v == "tiny" else s * (1 - supply) / (1 - want[0]["tiny"]) for v, s in want[0].items()}
+    assert total == pytest.approx(tokens / 2, rel=1e-6)
+    for got, target in zip(shares, want):
+        assert got == pytest.approx(target, rel=1e-4)
+    # Where a source is to be left out or all is to be kept, the bounds still hold.
+    rows = raking.calibrated(mixed(spark, {"a": 30, "b": 30}), targets={"source": {"a": 0.0}}).collect()
+    assert {r.probability for r in rows if r.source == "a"} == {0.0} and max(r.probability for r in rows) <= 1
+    assert {r.probability for r in raking.calibrated(mixed(spark, {"a": 30, "b": 9}), keep=1.0).collect()} == {1.0}
+
+
 def test_toxicity(spark, documents, prose):
     texts = [prose(i, 30) + (" you scum and trash " if i % 4 == 0 else " ") + prose(i + 5000, 10) for i in range(600)] + [None, "", "scum trash"]
     docs = documents(texts)
