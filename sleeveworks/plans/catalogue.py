@@ -175,7 +175,7 @@ class Run:
         append_table(fresh.select("lp_id", "attempt"), self.path("parsed"))
 
     def _store_documents(self, parsed: DataFrame) -> None:
-        """Documents by the name of their file, each once; unusable ones by name and reason."""
+        """Documents by the name of their file, sub-folders included, each once; unusable ones by name and reason."""
         found = extract.found_documents(parsed).select("lp_id", "file_name", "doc_json").dropDuplicates(["file_name"])
         bad = extract.quarantine(parsed).select("lp_id", "file_name", "response", "reason").dropDuplicates(["file_name", "reason"])
         append_table(match.not_done(found, self._stored("extractions", "file_name"), ["file_name"], unique=True), self.path("extractions"))
@@ -189,7 +189,8 @@ class Run:
 
     def load_documents(self, directory: str) -> None:
         """Instead of stage 2: extraction documents that exist already, one JSON file each. A file is
-        known by its name, so a second document of an album is loaded too."""
+        known by its path below ``directory``, so a second document of an album is loaded too, also one of the same
+        name in another sub-folder."""
         self._store_documents(files.read_documents(self.spark, directory))
 
     def export(self, directory: str) -> None:

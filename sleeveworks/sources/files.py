@@ -1,7 +1,5 @@
 """Reading recognised texts, extraction documents and CSV tables."""
 
-from urllib.parse import unquote
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -10,18 +8,32 @@ from sleeveworks.functions.scalars import base_name, lp_id_of_file, null_spellin
 from sleeveworks.operators.extract import parse_documents
 
 
+def path_below(spark: SparkSession, path: Column, directory: str) -> Column:
+    """A file's path, given as a URI, below the folder that was read. Where ``directory`` is the file, its name; where it is a
+    pattern, the whole path without file system and host."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(directory)
+    folder = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(folder)
+    root = folder.toUri().getPath().strip("/")
+    path = F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
+    bare = F.regexp_replace(path, "^(?:[A-Za-z][A-Za-z0-9+.-]*:(?://[^/]*)?)?/+", "")
+    inside = F.substr(bare, F.lit(len(root) + 2 if root else 1))
+    return F.when(bare == root, base_name(bare)).when(bare.startswith(f"{root}/" if root else ""), inside).otherwise(bare)
+
+
 def read_whole_files(spark: SparkSession, directory: str, name_glob: str, column: str) -> DataFrame:
-    """One row per file: ``lp_id, file_name`` and the whole text."""
+    """One row per file: ``lp_id, file_name`` and the whole text. ``file_name`` has the sub-folders: files of one
+    name in two of them are two files."""
     # wholetext must be an argument: .text() overrides the option of the same name.
     files = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", name_glob).text(
         directory, wholetext=True)
-    texts = files.select(F.col("_metadata.file_name").alias("file_name"), F.col("value").alias(column))
-    # The readers give no row for a file without a byte; the listing names it.
-    listed = spark.createDataFrame([(unquote(f),) for f in files.inputFiles()], "path string")
-    read = files.select(F.col("_metadata.file_name").alias("file_name"))
-    empty = listed.select(base_name(F.col("path")).alias("file_name")).join(read, "file_name", "left_anti")
+    name = path_below(spark, F.col("_metadata.file_path"), directory)
+    texts = files.select(name.alias("file_name"), F.col("value").alias(column))
+    # The readers, also that of binary files, give no row for a file without a byte; the listing names it.
+    listed = spark.createDataFrame([(f,) for f in files.inputFiles()], "path string")
+    listed = listed.select(path_below(spark, F.col("path"), directory).alias("file_name"))
+    empty = listed.join(files.select(name.alias("file_name")), "file_name", "left_anti")
     rows = texts.unionByName(empty.withColumn(column, F.lit("")))
-    return rows.select(lp_id_of_file(F.col("file_name")).alias("lp_id"), "file_name", column)
+    return rows.select(lp_id_of_file(base_name(F.col("file_name"))).alias("lp_id"), "file_name", column)
 
 
 def read_texts(spark: SparkSession, directory: str) -> DataFrame:

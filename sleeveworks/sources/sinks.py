@@ -31,7 +31,7 @@ def write_table(df: DataFrame, directory: str) -> None:
 
 
 def export_files(df: DataFrame, directory: str, name: str, body: str) -> None:
-    """One file per row, named by column ``name``, holding the text in ``body``.
+    """One file per row, named by column ``name``, sub-folders included, holding the text in ``body``.
 
     For hand-over to tools that expect one file per album. ``directory`` must be reachable by
     all executors. Every file is written under a task's own name and then put in place, so a
@@ -53,6 +53,8 @@ def export_files(df: DataFrame, directory: str, name: str, body: str) -> None:
                 try:
                     with target.open_output_stream(draft) as out:
                         out.write((text or "").encode())
+                    if "/" in file_name:
+                        target.create_dir(f"{root}/{file_name}".rpartition("/")[0], recursive=True)
                     target.move(draft, f"{root}/{file_name}")
                 except Exception:
                     if target.get_file_info(draft).type != fs.FileType.NotFound:

@@ -181,6 +181,30 @@ def test_documents_are_known_by_file(spark, rows, archive):
     assert rows(run.table("unreadable"), "file_name", "reason") == [("LP9_ai_output.json", "invalid_json")]
 
 
+def test_equal_names_in_two_folders(spark, rows, archive):
+    run = Run(spark, str(archive / "albums"), str(archive / "work"), "A. B", "", dt.date(2024, 9, 5))
+    inbox = archive / "in box%20é+"
+    for folder, face in [("batch1", "A"), ("batch2", "B"), ("a b%20/é", "C")]:
+        (inbox / folder).mkdir(parents=True)
+        (inbox / folder / "LP1_ai_output.json").write_text(json.dumps({"Track Info": [{"Face": face}]}))
+        (inbox / folder / "LP9_ai_output.json").write_text("" if face == "A" else "{")
+    (inbox / "LP1_ai_output.json").write_text('{"Track Info": [{"Face": "D"}]}')
+    names = ["LP1_ai_output.json", "a b%20/é/LP1_ai_output.json", "batch1/LP1_ai_output.json", "batch2/LP1_ai_output.json"]
+    for directory in (f"file:{inbox}", f"{inbox}/"):
+        run.load_documents(directory)
+        assert rows(run.table("extractions"), "lp_id", "file_name") == [("LP1", n) for n in names]
+        assert rows(run.table("unreadable"), "lp_id", "file_name", "reason") == [
+            ("LP9", "a b%20/é/LP9_ai_output.json", "invalid_json"), ("LP9", "batch1/LP9_ai_output.json", "no_json"),
+            ("LP9", "batch2/LP9_ai_output.json", "invalid_json")]
+    run.load_texts(str(inbox))
+    run.flatten(spark.createDataFrame([], "lp_id string, file_name string, seconds double"))
+    assert rows(run.table("raw_tracks"), "Face") == [("A",), ("B",), ("C",), ("D",)]
+    run.export(str(archive / "out"))
+    for n in names:
+        assert json.loads((archive / "out" / "documents" / n).read_text()) == json.loads((inbox / n).read_text())
+    assert rows(files.read_documents(spark, f"{inbox}/batch1/LP1_ai_output.json"), "lp_id", "file_name") == [("LP1", "LP1_ai_output.json")]
+
+
 def test_arriving_files_are_processed_once(spark, rows, tmp_path):
     inbox, out, state = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "state")
     inbox.mkdir()
