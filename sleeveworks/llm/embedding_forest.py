@@ -40,7 +40,7 @@ def _unit(vectors: np.ndarray) -> np.ndarray:
 def _grow(unit: np.ndarray, scale: float, leaf: int, random: np.random.Generator) -> list[tuple]:
     """Splits (node, left, right, threshold, direction) of a subtree over a sample that stands for
     ``scale`` vectors each; node 0 is its root, a child below 0 is a leaf."""
-    splits, work, made, leaves = [], [(0, np.arange(len(unit)))], 1, 0
+    splits, work, made, leaves, whole = [], [(0, np.arange(len(unit)))], 1, 0, {}
     while work:
         node, members = work.pop()
         best = None
@@ -54,8 +54,12 @@ def _grow(unit: np.ndarray, scale: float, leaf: int, random: np.random.Generator
             if best is None or worst < best[0]:
                 best = worst, threshold, direction, sides
         if best[0] > WORST:
-            # Only the root can come here: children are tested before they are queued.
-            return []
+            # A root stays one leaf; below it the splits made so far hold, and only this node is a leaf.
+            if node == 0:
+                return []
+            leaves += 1
+            whole[node] = -leaves
+            continue
         children = []
         for side in best[3]:
             small = len(side) * scale <= leaf or len(side) < 16
@@ -71,7 +75,7 @@ def _grow(unit: np.ndarray, scale: float, leaf: int, random: np.random.Generator
                 work.append((made, side))
                 made += 1
         splits.append((node, children[0], children[1], best[1], best[2]))
-    return splits
+    return [(node, whole.get(left, left), whole.get(right, right), *cut) for node, left, right, *cut in splits]
 
 
 def _fit(leaf: int) -> Callable[[pd.DataFrame], pd.DataFrame]:

@@ -1,7 +1,7 @@
 import numpy as np
 import pytest
 
-from sleeveworks.llm.embedding_forest import near_vectors
+from sleeveworks.llm.embedding_forest import _grow, _unit, near_vectors
 
 
 def plain(rows, threshold):
@@ -48,3 +48,18 @@ def test_nothing_and_repeats(spark):
     rows = [(5, [1.0, 2.0], 1), (5, [1.0, 2.0], 1), (None, [1.0, 2.0], 1), (3, [2.0, 4.0], 1)]
     got = near_vectors(spark.createDataFrame(rows, schema)).collect()
     assert sorted(map(tuple, got), key=str) == sorted([(5, 2, 3, False), (5, 2, 3, False), (None, 0, None, None), (3, 2, 3, True)], key=str)
+
+
+def test_a_dense_cluster_keeps_the_splits_around_it():
+    """Spread vectors and one cluster above leaf size: only the cluster's node stays whole."""
+    random = np.random.default_rng(5)
+    spread = random.standard_normal((3600, 64))
+    cluster = random.standard_normal(64) + 0.01 * random.standard_normal((400, 64))
+    unit = _unit(np.concatenate([spread, cluster]))
+    for seed in range(5):
+        splits = _grow(unit, 50.0, 2048, np.random.default_rng(seed))
+        links = [x for s in splits for x in s[1:3]]
+        nodes = {s[0] for s in splits}
+        assert sum(x < 0 for x in links) > 20
+        # Every child is a leaf of its own number or a split, and every split but the root is some node's child.
+        assert nodes == {0, *(x for x in links if x > 0)} and len(set(links)) == len(links)
