@@ -113,4 +113,52 @@ def mixture(source: str = "documents", keep: float = 0.5, seed: int = 7) -> str:
 
 OP4 = f"SELECT doc_id, source, lang, topic, n_tokens, probability, kept FROM ({mixture()})"
 
-ORACLES: dict[str, str] = {"op4_raking": OP4, "op6_quality_rules": OP6, "op7_url_filter": OP7}
+
+def _crc32(text: str) -> str:
+    """Of ASCII text: every character, then eight shifts of one bit."""
+    bits = f"flatten(list_transform(string_split({text}, ''), lambda c: [ascii(c)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]))"
+    step = "CASE WHEN b >= 0 THEN xor(a, b) ELSE xor(a >> 1, (a & 1) * 3988292384) END"
+    return f"xor(list_reduce({bits}, lambda a, b: {step}, 4294967295::BIGINT), 4294967295::BIGINT)"
+
+
+def merkle(source: str = "documents") -> str:
+    """Per document its leaf, proof and root, and the root that its possibly tampered copy leads to."""
+    def leaf(n_chars: str) -> str:
+        fields = ["doc_id", "source", "lang", n_chars, "text"]
+        return "sha256(" + " || ".join(f"coalesce(strlen({f}::VARCHAR) || ':' || {f}::VARCHAR, '-')" for f in fields) + ")"
+
+    changed = f"(n_chars + CASE WHEN {_crc32('doc_id::VARCHAR')} % 7 = 0 THEN 1 ELSE 0 END)"
+    parent = "pos // 2 AS pos, sha256(string_agg(hash, '' ORDER BY pos)) AS hash, any_value((n + 1) // 2) AS n"
+    return f"""
+    WITH RECURSIVE leaves AS (
+      SELECT doc_id, lang, leaf, tampered, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos
+      FROM (SELECT doc_id, lang, {leaf('n_chars')} AS leaf, {leaf(changed)} AS tampered FROM {source})
+    ), nodes AS (
+      SELECT lang, 0 AS level, pos, leaf AS hash, count(*) OVER (PARTITION BY lang) AS n FROM leaves
+      UNION ALL SELECT lang, level + 1, {parent} FROM nodes WHERE n > 1 GROUP BY lang, level, pos // 2
+    ), subroots AS (
+      SELECT lang, hash, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS pos, count(*) OVER () AS n FROM nodes WHERE n = 1
+    ), uppers AS (
+      SELECT 0 AS level, pos, hash, n FROM subroots
+      UNION ALL SELECT level + 1, {parent} FROM uppers WHERE n > 1 GROUP BY level, pos // 2
+    ), ways AS (
+      SELECT l.lang, l.pos AS place, o.level, CASE WHEN s.hash IS NULL THEN '-' WHEN o.pos % 2 = 1 THEN 'L' || s.hash ELSE 'R' || s.hash END AS step
+      FROM leaves l JOIN nodes o ON o.lang IS NOT DISTINCT FROM l.lang AND o.n > 1 AND o.pos = l.pos >> o.level
+      LEFT JOIN nodes s ON s.lang IS NOT DISTINCT FROM o.lang AND s.level = o.level AND s.pos = xor(o.pos, 1)
+      UNION ALL
+      SELECT l.lang, l.pos, 1000 + o.level, CASE WHEN s.hash IS NULL THEN '-' WHEN o.pos % 2 = 1 THEN 'L' || s.hash ELSE 'R' || s.hash END
+      FROM leaves l JOIN subroots r ON r.lang IS NOT DISTINCT FROM l.lang JOIN uppers o ON o.n > 1 AND o.pos = r.pos >> o.level
+      LEFT JOIN uppers s ON s.level = o.level AND s.pos = xor(o.pos, 1)
+    ), steps AS (SELECT lang, place, list(step ORDER BY level) AS steps FROM ways GROUP BY lang, place),
+    proofs AS (
+      SELECT l.doc_id, l.leaf, r.hash AS subroot, (SELECT hash FROM uppers WHERE n = 1) AS root,
+             sha256(coalesce(array_to_string(list_transform(steps, lambda s: s[2:]), ''), '')) AS proof_sha256,
+             list_reduce(coalesce(steps, []), lambda a, s: CASE s[1] WHEN 'L' THEN sha256(s[2:] || a) WHEN 'R' THEN sha256(a || s[2:])
+                         ELSE sha256(a) END, tampered) AS folded_root
+      FROM leaves l JOIN subroots r ON r.lang IS NOT DISTINCT FROM l.lang
+      LEFT JOIN steps w ON w.lang IS NOT DISTINCT FROM l.lang AND w.place = l.pos
+    )
+    SELECT *, folded_root = root AS verified FROM proofs"""
+
+
+ORACLES: dict[str, str] = {"op4_raking": OP4, "op6_quality_rules": OP6, "op7_url_filter": OP7, "op13_merkle_manifest": merkle()}

@@ -3,8 +3,9 @@
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from sleeveworks.llm import embedding_forest, host_reputation, jaccard_join, license_scan, line_cleaning, piece_transducer, raking, sharding, suffix_dedup, toxicity
+from sleeveworks.llm import embedding_forest, host_reputation, jaccard_join, license_scan, line_cleaning, merkle_manifest, piece_transducer, raking, sharding, suffix_dedup, toxicity
 
 #: Files of public tokenizers; they are read where they lie.
 TOKENIZERS = "/opt/tokenizers"
@@ -68,6 +69,19 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.similar_groups(_table(spark, sf_dir, "documents"), size=3, percent=90)
 
 
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leaf, proof and root of every document, and whether its possibly tampered copy leads to the root."""
+    docs = _table(spark, sf_dir, "documents")
+    parts = [F.col(c) for c in ("doc_id", "source", "lang", "n_chars", "text")]
+    altered = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(7)) == 0
+    tampered = [*parts[:3], F.when(altered, F.col("n_chars") + 1).otherwise(F.col("n_chars")), parts[4]]
+    leaves = docs.select("doc_id", "lang", merkle_manifest.row_hash(parts).alias("leaf"), merkle_manifest.row_hash(tampered).alias("tampered"))
+    proofs = merkle_manifest.manifest(leaves)
+    found = proofs.select("doc_id", "leaf", "subroot", "root", F.sha2(merkle_manifest.siblings(F.col("path")), 256).alias("proof_sha256"),
+                          merkle_manifest.fold(F.col("tampered"), F.col("path")).alias("folded_root"))
+    return found.withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_suffix_dedup": op1_suffix_dedup,
     "op2_sharding": op2_sharding,
@@ -79,4 +93,5 @@ QUERIES: dict[str, Query] = {
     "op8_license_scan": op8_license_scan,
     "op9_pieces": op9_pieces,
     "op10_jaccard_join": op10_jaccard_join,
+    "op13_merkle_manifest": op13_merkle_manifest,
 }
