@@ -2,10 +2,10 @@
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sleeveworks.llm import embedding_forest, host_reputation, jaccard_join, license_scan, line_cleaning, merkle_manifest, piece_transducer, raking, sharding, suffix_dedup, toxicity
+from sleeveworks.llm import embedding_forest, host_reputation, jaccard_join, license_scan, line_cleaning, merkle_manifest, periodic_runs, piece_transducer, raking, sharding, suffix_dedup, toxicity
 
 #: Files of public tokenizers; they are read where they lie.
 TOKENIZERS = "/opt/tokenizers"
@@ -69,6 +69,29 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.similar_groups(_table(spark, sf_dir, "documents"), size=3, percent=90)
 
 
+def _planted(id: str, text: str) -> Column:
+    """For about a tenth of the ids, the text's words from some place on repeat the first of them."""
+    words = f"filter(split({text}, '[\\\\x20\\\\x09-\\\\x0D]+'), w -> w <> '')"
+    g, n = f"(crc32(CAST({id} AS STRING)) div 10)", f"size({words})"
+    a = f"CAST({g} % {n} AS INT)"
+    period = f"CAST(1 + ({n} - {a}) div (3 + {g} % 8) AS INT)"
+    tail = f"flatten(array_repeat(slice({words}, {a} + 1, {period}), CAST(ceil(({n} - {a}) / {period}) AS INT)))"
+    changed = f"array_join(concat(slice({words}, 1, {a}), slice({tail}, 1, {n} - {a})), ' ')"
+    return F.expr(f"CASE WHEN crc32(CAST({id} AS STRING)) % 10 = 0 AND {n} > 0 THEN {changed} ELSE {text} END")
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of words in every document, some with planted ones, and what remains without the repeats."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", _planted("doc_id", "text").alias("text"))
+    found = periodic_runs.collapse(docs)
+    best = F.expr("array_max(transform(runs, r -> struct(r.length AS length, -r.start AS start, -r.period AS period)))")
+    lines = F.expr("array_join(transform(runs, r -> concat(r.start, ',', r.length, ',', r.period, '\n')), '')")
+    return found.select("doc_id", F.size("runs").cast("long").alias("n_runs"), "collapsed", best.alias("best"), lines.alias("lines")).select(
+        "doc_id", "n_runs", (-F.col("best.start")).alias("start"), "best.length", (-F.col("best.period")).alias("period"),
+        F.expr("1000 * best.length div -best.period").alias("exponent_milli"), F.sha2("lines", 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Leaf, proof and root of every document, and whether its possibly tampered copy leads to the root."""
     docs = _table(spark, sf_dir, "documents")
@@ -93,5 +116,6 @@ QUERIES: dict[str, Query] = {
     "op8_license_scan": op8_license_scan,
     "op9_pieces": op9_pieces,
     "op10_jaccard_join": op10_jaccard_join,
+    "op12_periodic_runs": op12_periodic_runs,
     "op13_merkle_manifest": op13_merkle_manifest,
 }
