@@ -5,7 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sleeveworks.llm import embedding_forest, host_reputation, jaccard_join, license_scan, line_cleaning, merkle_manifest, periodic_runs, piece_transducer, raking, sharding, suffix_dedup, toxicity
+from sleeveworks.llm import embedding_forest, host_reputation, jaccard_join, license_scan, line_cleaning, merge_automaton, merkle_manifest, periodic_runs, piece_transducer, raking, sharding, suffix_dedup, toxicity
 
 #: Files of public tokenizers; they are read where they lie.
 TOKENIZERS = "/opt/tokenizers"
@@ -69,6 +69,16 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.similar_groups(_table(spark, sf_dir, "documents"), size=3, percent=90)
 
 
+def op11_merge_automaton(spark: SparkSession, sf_dir: str, tokenizer_file: str = f"{TOKENIZERS}/byte_bpe_50k.json") -> DataFrame:
+    """Token ids of every document and the text they decode to, as digests."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    ids = merge_automaton.encode(docs, tokenizer_file).drop("text")
+    found = merge_automaton.decode(ids, tokenizer_file, text="decoded")
+    listed = F.array_join(F.col("ids").cast("array<string>"), ",")
+    return found.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(listed, 256).alias("ids_sha256"),
+                        F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 def _planted(id: str, text: str) -> Column:
     """For about a tenth of the ids, the text's words from some place on repeat the first of them."""
     words = f"filter(split({text}, '[\\\\x20\\\\x09-\\\\x0D]+'), w -> w <> '')"
@@ -116,6 +126,7 @@ QUERIES: dict[str, Query] = {
     "op8_license_scan": op8_license_scan,
     "op9_pieces": op9_pieces,
     "op10_jaccard_join": op10_jaccard_join,
+    "op11_merge_automaton": op11_merge_automaton,
     "op12_periodic_runs": op12_periodic_runs,
     "op13_merkle_manifest": op13_merkle_manifest,
 }
