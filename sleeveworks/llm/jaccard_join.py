@@ -359,8 +359,11 @@ def similar_groups(docs: DataFrame, id: str = "doc_id", text: str = "text", size
 
 def one_of_each(docs: DataFrame, id: str = "doc_id", text: str = "text", size: int = 5, percent: int = 80) -> DataFrame:
     """``docs`` with one document of each group of similar ones: that with the least id. Rows without
-    an id stay; of rows that repeat an id, one stays."""
-    groups = similar_groups(docs, id, text, size, percent).where("doc_id = component_id").select(
-        F.col("doc_id").alias("_first")).distinct()
-    stay = docs.where(F.col(id).isNotNull()).join(groups, F.col(id) == F.col("_first"), "left_semi").dropDuplicates([id])
-    return stay.unionByName(docs.where(F.col(id).isNull()))
+    an id stay; of rows that repeat an id, the one stays whose JSON has the least digest."""
+    groups = similar_groups(docs, id, text, size, percent).where("doc_id = component_id").select("doc_id").distinct()
+    # The row travels as one, whatever its columns' names.
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    rows = docs.select(F.col(id).cast("long").alias("doc_id"), row.alias("row"))
+    stay = rows.join(groups, "doc_id", "left_semi").groupBy("doc_id").agg(
+        F.min_by("row", F.sha2(F.to_json("row"), 256)).alias("row"))
+    return stay.select("row.*").unionByName(docs.where(F.col(id).isNull()))

@@ -48,6 +48,9 @@ def line_fails(line: Column, junk_share: float = 0.125, bar_share: float = 0.05,
     return (line.rlike(f"[{JUNK}{SHOUT}{SEPARATORS}]") & marked) | phrase
 
 
+FIGURES = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "n_lost_chars", "kept", "clean_text"]
+
+
 def measure(docs: DataFrame, text: str = "text", min_words: int = 20, max_repeat_percent: int = 30,
             max_lost: float = 0.5, prefix: str = "") -> DataFrame:
     """``docs`` with the rules' figures and verdict, each name after ``prefix``:
@@ -60,7 +63,13 @@ def measure(docs: DataFrame, text: str = "text", min_words: int = 20, max_repeat
     it such columns are replaced.
     """
     p = prefix
-    body = F.coalesce(F.col(text), F.lit(""))
+    figures = [f"{p}{n}" for n in FIGURES]
+    # The row travels as one, whatever its columns' names.
+    names = [c for c in docs.columns if c not in figures]
+    row = F.struct(*[F.col(f"`{c}`") for c in names] or [F.lit(0).alias("none")])
+    columns = [F.col(f"_row.`{c}`").alias(c) for c in names]
+    docs = docs.select(row.alias("_row"), F.coalesce(F.col(text), F.lit("")).alias("_body"))
+    body = F.col("_body")
     rows = docs.withColumns({
         "_words": F.array_remove(F.split(body, "[\\x20\\x09-\\x0D]+"), ""),
         "_lines": F.split(body, "\n"),
@@ -100,7 +109,7 @@ def measure(docs: DataFrame, text: str = "text", min_words: int = 20, max_repeat
     words, repeats = F.col(f"{p}n_words"), F.col(f"{p}n_repeat_words")
     rows = rows.withColumn(f"{p}base_failed", (words < min_words) | (100 * repeats > max_repeat_percent * words))
     lost = F.col(f"{p}n_lost_chars") > max_lost * F.col(f"{p}word_chars")
-    return rows.withColumn(f"{p}kept", ~F.col(f"{p}base_failed") & ~lost)
+    return rows.withColumn(f"{p}kept", ~F.col(f"{p}base_failed") & ~lost).select(*columns, *figures)
 
 
 def quality_report(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -115,9 +124,10 @@ def clean(docs: DataFrame, text: str = "text", chars: str = "n_chars") -> DataFr
     ``chars``, where there is such a column, follows the new text."""
     # A filter isn't pushed below a running number; pushed down to the scan, it would evaluate the
     # windows again for each of their words.
-    numbered = measure(docs, text, prefix="_q_").withColumn("_q_row", F.monotonically_increasing_id())
-    kept = numbered.where("_q_kept AND _q_row >= 0")
-    out = {text: F.col("_q_clean_text")}
-    if chars in docs.columns:
-        out[chars] = F.length("_q_clean_text").cast(docs.schema[chars].dataType)
-    return kept.withColumns(out).select(*[F.col(f"`{c}`") for c in docs.columns])
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    numbered = measure(docs.select(row.alias("row"), F.col(text).alias("text")), "text").withColumn("place", F.monotonically_increasing_id())
+    kept = numbered.where("kept AND place >= 0")
+    columns = {c: F.col(f"row.`{c}`") for c in docs.columns} | {text: F.col("clean_text")}
+    if chars in docs.columns and chars != text:
+        columns[chars] = F.length("clean_text").cast(docs.schema[chars].dataType)
+    return kept.select(*[columns[c].alias(c) for c in docs.columns])

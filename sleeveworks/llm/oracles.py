@@ -86,18 +86,43 @@ SELECT page_id, host, path, rule,
 FROM ruled JOIN by_host USING (host)"""
 
 
+def _scaled(source: str, value: str, bound: str, total: str, group: str) -> str:
+    """``source`` with ``f``: the factor by which least(value * f, bound) sums up to ``total`` in each group."""
+    within = f"PARTITION BY {group} " if group else ""
+    dims = ("source", "lang", "topic")
+    rising = f"{within}ORDER BY ratio ASC NULLS FIRST, {', '.join(f'{d} ASC NULLS FIRST' for d in dims)} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING"
+    falling = f"{within}ORDER BY ratio DESC NULLS LAST, {', '.join(f'{d} DESC NULLS LAST' for d in dims)} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW"
+    return f"""(SELECT *, greatest(coalesce(max(g) OVER ({within}), 0.0), 0.0) AS f FROM (
+        SELECT *, ({total} - coalesce(sum(CASE WHEN {value} > 0 THEN {bound} ELSE 0.0 END) OVER ({rising}), 0.0))
+                  / nullif(sum({value}) OVER ({falling}), 0) AS g
+        FROM (SELECT *, {bound} / nullif({value}, 0) AS ratio FROM {source})))"""
+
+
 def mixture(source: str = "documents", keep: float = 0.5, seed: int = 7) -> str:
-    """Per document of ``source`` its topic, tokens, raked probability and decision."""
+    """Per document of ``source`` its topic, tokens, raked probability and decision; no cell gives more than it has."""
     cases = " ".join(f"WHEN regexp_matches(body, '{pattern}') THEN '{name}'" for name, pattern in TOPICS.items())
-    steps = [f"""shared AS (SELECT cells.*, {", ".join(f"pow(sum(tokens) OVER (PARTITION BY {d})::DOUBLE, {p}) AS own_{d}" for d, p in TEMPER.items())} FROM cells)"""]
-    totals = ", ".join(f"(SELECT sum(o) FROM (SELECT DISTINCT {d}, own_{d} AS o FROM shared)) AS all_{d}" for d in TEMPER)
-    steps.append(f"totals AS (SELECT {totals})")
-    steps.append(f"w0 AS (SELECT source, lang, topic, tokens, tokens::DOUBLE AS weight, {', '.join(f'own_{d} / nullif(all_{d}, 0) AS t_{d}' for d in TEMPER)} FROM shared, totals)")
+    dims = "source, lang, topic"
+    steps = [f"""b0 AS MATERIALIZED (SELECT *, tokens::DOUBLE AS weight, coalesce(tokens / nullif(sum(tokens) OVER () * {keep}::DOUBLE, 0), 0.0) AS bound FROM cells)"""]
+    # Target shares: tempered, then no value above its supply.
+    for n, (d, power) in enumerate(TEMPER.items()):
+        steps += [
+            f"""o{n} AS (SELECT *, row_number() OVER (PARTITION BY {d} ORDER BY source ASC NULLS FIRST, lang ASC NULLS FIRST, topic ASC NULLS FIRST) = 1 AS nth,
+                sum(tokens) OVER (PARTITION BY {d})::DOUBLE AS own, sum(bound) OVER (PARTITION BY {d}) AS supply FROM b{n})""",
+            f"p{n} AS (SELECT *, CASE WHEN own > 0 THEN pow(own, {power}) ELSE 0.0 END AS tempered FROM o{n})",
+            f"s{n} AS (SELECT *, tempered / nullif(sum(CASE WHEN nth THEN tempered ELSE 0.0 END) OVER (), 0) AS t_{d} FROM p{n})",
+            f"l{n} AS (SELECT *, CASE WHEN nth THEN t_{d} ELSE 0.0 END AS once FROM s{n})",
+            f"b{n + 1} AS MATERIALIZED (SELECT * EXCLUDE (nth, own, supply, tempered, once, ratio, g, f) "
+            f"REPLACE (least(t_{d} * f, supply) AS t_{d}) FROM {_scaled(f'l{n}', 'once', 'supply', '1.0', '')})",
+        ]
+    steps.append(f"w0 AS (SELECT * FROM b{len(TEMPER)})")
     n = 0
     for _ in range(ROUNDS):
         for d in TEMPER:
-            steps.append(f"w{n + 1} AS MATERIALIZED (SELECT * REPLACE (coalesce(weight * t_{d} / nullif(sum(weight) OVER (PARTITION BY {d}), 0), 0.0) AS weight) FROM w{n})")
+            steps.append(f"w{n + 1} AS MATERIALIZED (SELECT * EXCLUDE (ratio, g, f) REPLACE (weight * f AS weight) "
+                         f"FROM {_scaled(f'w{n}', 'weight', 'bound', f't_{d}', d)})")
             n += 1
+    steps.append(f"w{n + 1} AS (SELECT {dims}, tokens, least(weight, bound) AS weight FROM w{n})")
+    n += 1
     return f"""
     WITH bodies AS (SELECT *, coalesce(text, '') AS body FROM {source}),
     counted AS (SELECT *, CASE {cases} ELSE 'prose' END AS topic, len(regexp_extract_all(body, '{_WORD}'))::BIGINT AS n_tokens FROM bodies),

@@ -117,33 +117,32 @@ def calibrated(docs: DataFrame, keep: float = 0.5, seed: int = 7, id: str = "doc
     probabilities above 1 are cut off: then the draw misses the targets of such cells.
     """
     p = prefix
-    body = F.coalesce(F.col(text), F.lit(""))
-    rows = docs.withColumns({
-        f"{p}topic": topic_of(body),
-        f"{p}n_tokens": F.size(F.array_remove(F.split(body, "[\\x20\\x09-\\x0D]+"), "")).cast("long"),
-    })
-    cells = rows.groupBy(F.col(source).alias("source"), F.col(lang).alias("lang"), F.col(f"{p}topic").alias("topic")).agg(
-        F.sum(f"{p}n_tokens").alias("tokens"))
+    # The row travels as one, whatever its columns' names.
+    names = [c for c in docs.columns if c not in [f"{p}{n}" for n in ("topic", "n_tokens", "probability", "kept")]]
+    row = F.struct(*[F.col(f"`{c}`") for c in names] or [F.lit(0).alias("none")])
+    docs = docs.select(row.alias("row"), F.col(id).alias("id"), F.col(source).alias("source"), F.col(lang).alias("lang"),
+                       F.coalesce(F.col(text), F.lit("")).alias("body"))
+    rows = docs.select("row", "id", "source", "lang", topic_of(F.col("body")).alias("topic"),
+                       F.size(F.array_remove(F.split("body", "[\\x20\\x09-\\x0D]+"), "")).cast("long").alias("n_tokens"))
+    cells = rows.groupBy("source", "lang", "topic").agg(F.sum("n_tokens").alias("tokens"))
     fitted = rake(cells, temper or TEMPER, targets or {}, rounds, keep if bounded else None)
     share = F.col("tokens") / F.sum("tokens").over(W.partitionBy())
     chance = F.least(F.lit(1.0), F.coalesce(F.lit(float(keep)) * F.try_divide(F.col("weight"), share), F.lit(1.0)))
-    table = fitted.select(F.col("source").alias("_s"), F.col("lang").alias("_l"), F.col("topic").alias("_t"),
-                          F.round(chance, 9).alias(f"{p}probability"))
-    same = (F.col(source).eqNullSafe(F.col("_s")) & F.col(lang).eqNullSafe(F.col("_l")) & (F.col(f"{p}topic") == F.col("_t")))
-    rows = rows.drop(f"{p}probability") if f"{p}probability" in rows.columns else rows
-    return rows.join(table, same).drop("_s", "_l", "_t").withColumn(
-        f"{p}kept", draw(F.col(id), seed) < F.col(f"{p}probability"))
+    table = fitted.select(F.col("source").alias("s"), F.col("lang").alias("l"), F.col("topic").alias("t"), F.round(chance, 9).alias("probability"))
+    same = F.col("source").eqNullSafe(F.col("s")) & F.col("lang").eqNullSafe(F.col("l")) & (F.col("topic") == F.col("t"))
+    new = {"topic": F.col("topic"), "n_tokens": F.col("n_tokens"), "probability": F.col("probability"),
+           "kept": draw(F.col("id"), seed) < F.col("probability")}
+    return rows.join(table, same).select(*[F.col(f"row.`{c}`").alias(c) for c in names], *[c.alias(f"{p}{n}") for n, c in new.items()])
 
 
 def mixture_report(docs: DataFrame, id: str = "doc_id", text: str = "text", source: str = "source", lang: str = "lang") -> DataFrame:
-    """Topic, tokens, probability and decision for every document, without its text.
-
-    Unbounded, as the query's SQL has it.
-    """
+    """Topic, tokens, probability and decision for every document, without its text."""
     rows = docs.select(F.col(id).alias("doc_id"), F.col(source).alias("source"), F.col(lang).alias("lang"), F.col(text).alias("text"))
-    return calibrated(rows, bounded=False).select("doc_id", "source", "lang", "topic", "n_tokens", "probability", "kept")
+    return calibrated(rows).select("doc_id", "source", "lang", "topic", "n_tokens", "probability", "kept")
 
 
 def sample_mixture(docs: DataFrame) -> DataFrame:
     """The documents drawn, with the columns of ``docs``."""
-    return calibrated(docs, prefix="_m_").where("_m_kept").select(*[F.col(f"`{c}`") for c in docs.columns])
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    drawn = calibrated(docs.select(row.alias("whole"), "doc_id", "text", "source", "lang")).where("kept")
+    return drawn.select("whole.*")

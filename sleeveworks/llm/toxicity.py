@@ -93,7 +93,8 @@ def train(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "t
           label: str = "toxic", rows: int = TRAINED) -> np.ndarray:
     """Weights by place, the bias last: at most ``rows`` labelled texts, none of them held out.
 
-    Several labels of an id count as the highest; labels that are null, or whose id is, are left out.
+    Several labels of an id count as the highest; labels that are null, or whose id is, are left out. Rows
+    that repeat an id are texts of their own and count towards the bound.
     Without any labelled text all weights are zero.
     """
     marked = labels.select(F.col(label_id).alias("_id"), F.col(label).alias("_label")).where(
@@ -101,6 +102,7 @@ def train(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "t
     chosen = marked.where(~held_out(F.col("_id"))).withColumn("_order", F.xxhash64("_id")).orderBy("_order", "_id").limit(rows)
     # At most ``rows`` rows of two numbers are broadcast.
     texts = docs.select(F.col(id).alias("_id"), F.coalesce(F.col(text), F.lit("")).alias("_text")).join(F.broadcast(chosen), "_id")
+    texts = texts.orderBy("_order", "_id", F.xxhash64("_text")).limit(rows)
     sparse = texts.select("_order", "_label", "_text").mapInArrow(_featurise, "order long, label int, places array<int>")
     table = sparse.withColumn("sample", F.lit("all")).groupBy("sample").applyInPandas(_train, "place long, weight double").collect()
     model = np.zeros((1 << BITS) + 1)

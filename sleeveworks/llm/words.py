@@ -6,13 +6,13 @@ UTF-8 bytes are worked on as they are.
 
 import numpy as np
 
-from sleeveworks.llm.flatbytes import Hashes, mix
+from sleeveworks.llm.flatbytes import mix
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[ord("A"):ord("Z") + 1] += 32
 _WHITE = np.zeros(256, bool)
 _WHITE[[9, 10, 11, 12, 13, 32]] = True
-_STEP = np.uint64(0x9FB21C651E98DF25)
+_STEP, _ADD, _ALL = np.uint64(0x9FB21C651E98DF25), np.uint64(0xD6E8FEB86659FD93), np.uint64(2**64 - 1)
 
 
 def word_spans(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -26,10 +26,21 @@ def word_spans(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return begin, end, np.searchsorted(begin, at, "left")
 
 
-def word_hashes(data: np.ndarray, begin: np.ndarray, end: np.ndarray, which: int = 0) -> np.ndarray:
-    """One number per word, lower-cased."""
+def word_hashes(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """One number per word, lower-cased: eight bytes at a time are mixed in, so that no algebra relates words of equal hash."""
+    body = np.concatenate([_LOWER[data], np.zeros(8, np.uint8)])
+    eights = np.ndarray(len(data) + 1, "<u8", body, strides=(1,))
     length = end - begin
-    return mix(Hashes(_LOWER[data], which).at(begin, length) + length.astype(np.uint64) * _STEP)
+    found = mix(length.astype(np.uint64) * _STEP)
+    open_ = np.arange(len(begin))
+    done = 0
+    while len(open_):
+        left = np.minimum(length[open_] - done, 8)
+        part = eights[begin[open_] + done] & (_ALL >> (64 - 8 * left).astype(np.uint64))
+        found[open_] = mix((found[open_] ^ part) * _STEP + _ADD)
+        done += 8
+        open_ = open_[length[open_] > done]
+    return found
 
 
 def shingles(data: np.ndarray, at: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:

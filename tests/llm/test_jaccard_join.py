@@ -3,8 +3,10 @@ import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from sleeveworks.llm import jaccard_join
+from sleeveworks.llm.words import word_hashes, word_spans
 
 
 def plain(texts, size, percent):
@@ -82,3 +84,38 @@ def test_similar_sets_share_a_signature():
                 flat = np.array([*sorted(a), *sorted(b)], np.uint64)
                 sign, owner = jaccard_join.signatures(flat, np.array([0, len(a), len(a) + len(b)]), percent)
                 assert set(sign[owner == 0].tolist()) & set(sign[owner == 1].tolist())
+
+
+def thue_morse(n, zero, one):
+    word = [0]
+    while len(word) < n:
+        word += [1 - b for b in word]
+    return "".join((zero, one)[b] for b in word[:n])
+
+
+def test_long_words_of_one_pattern(documents):
+    """Words that every polynomial modulo a power of two takes for equal are different words."""
+    pairs = [(thue_morse(n, "a", "b"), thue_morse(n, "b", "a")) for n in (1024, 2048, 256)]
+    texts = [f"one two {w} three four" for pair in pairs for w in pair]
+    got = jaccard_join.similar_groups(documents(texts)).collect()
+    assert {r.component_id for r in got} == set(range(len(texts)))
+
+
+def test_word_hashes():
+    """Words are told apart by every byte, wherever they stand, but not by the case of A-Z."""
+    words = ["a", "b", "ab", "abcdefgh", "abcdefghi", "abcdefgh\x00", "abcdefgi", "x" * 16, "x" * 17, "é", "É", "q" * 40 + "r", "r" + "q" * 40]
+    lines = [words, words[::-1], [w.replace("a", "A").replace("x", "X") for w in words]]
+    found = []
+    for line in lines:
+        data = np.frombuffer(" ".join(line).encode(), np.uint8)
+        begin, end, _ = word_spans(data, np.array([0, len(data)]))
+        found.append(word_hashes(data, begin, end).tolist())
+    assert len(set(found[0])) == len(words) and found[1] == found[0][::-1] and found[2] == found[0]
+
+
+def test_one_of_repeated_ids(spark, documents):
+    """Of rows with one id always the same stays, and columns may be named as they like."""
+    text = " ".join(f"w{i}" for i in range(40))
+    docs = documents([text, text + " end", "other words " * 30, "x"], ids=[4, 4, 4, None]).withColumn("_first", F.lit("f")).withColumn("row", F.lit("r"))
+    kept = [sorted(map(tuple, jaccard_join.one_of_each(docs.repartition(n)).collect()), key=str) for n in (1, 2, 5)]
+    assert kept[0] == kept[1] == kept[2] and [r[0] for r in kept[0]] == [4, None] and kept[0][0][-2:] == ("f", "r")

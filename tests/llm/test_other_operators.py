@@ -9,6 +9,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 import sentencepiece
+from pyspark.sql import functions as F
 
 from sleeveworks.llm import host_reputation, license_scan, line_cleaning, piece_transducer, raking, sharding, toxicity
 from sleeveworks.llm.flatbytes import flat
@@ -205,6 +206,94 @@ def test_a_target_above_the_supply(spark):
     assert {r.probability for r in raking.calibrated(mixed(spark, {"a": 30, "b": 9}), keep=1.0).collect()} == {1.0}
 
 
+def test_clashing_names(spark, documents, prose):
+    """Columns may be named as the operators name theirs inside."""
+    names = ["_words", "_lines", "_filled", "_hashes", "_windows", "_sorted", "_places", "_s", "_l", "_t", "_body", "_row", "row", "body", "place",
+             "_q_kept", "s", "l", "t", "id", "_m_kept", "clean_text", "probability"]
+    docs = documents(["\n".join(prose(10 * i + k, 15) + "." for k in range(4)) for i in range(12)])
+    odd = docs.withColumns({n: F.concat(F.lit(n), F.col("doc_id")) for n in names if n not in docs.columns})
+    for operator in (line_cleaning.clean, raking.sample_mixture):
+        plain, got = operator(docs).collect(), operator(odd)
+        assert got.dtypes == odd.dtypes
+        assert sorted(tuple(r)[:len(docs.columns)] for r in got.collect()) == sorted(map(tuple, plain))
+        assert all(r[n] == f"{n}{r.doc_id}" for r in got.collect() for n in names if n not in docs.columns)
+
+
+def test_draw_meets_its_targets(spark):
+    """What the registered query draws on the whole, by its probabilities, is what can be reached."""
+    rows = mixed(spark, {"hot": 900, "b": 60, "c": 60, "tiny": 9})
+    got = raking.mixture_report(rows).collect()
+    tokens = Counter()
+    for r in got:
+        tokens[r.source] += r.n_tokens
+    total, keep = sum(tokens.values()), 0.5
+    share = {s: (n / total) ** raking.TEMPER["source"] for s, n in tokens.items()}
+    share = {s: v / sum(share.values()) for s, v in share.items()}
+    # Values without enough tokens are taken whole; the others share the rest.
+    held = set()
+    while True:
+        free = 1 - sum(tokens[s] / total / keep for s in held)
+        scale = free / sum(share[s] for s in share if s not in held)
+        more = {s for s in share if s not in held and share[s] * scale > tokens[s] / total / keep}
+        if not more:
+            break
+        held |= more
+    drawn = Counter()
+    for r in got:
+        drawn[r.source] += r.n_tokens * r.probability
+    for s in share:
+        want = tokens[s] / total / keep if s in held else share[s] * scale
+        assert abs(drawn[s] / (keep * total) - want) < 2e-2
+
+
+def test_toxicity_bound(spark, documents, prose, monkeypatch):
+    """Rows of one id that repeats count one by one, and the least ids' hashes are fitted on."""
+    real = toxicity._featurise
+    docs = documents([prose(i, 5) for i in range(300)], ids=[i if i < 20 else 3 for i in range(300)])
+    labels = spark.createDataFrame([(i, i % 2) for i in range(20)], "doc_id long, toxic int")
+    fitted = spark.sparkContext.accumulator(0)
+
+    def counting(batches):
+        for batch in real(batches):
+            fitted.add(batch.num_rows)
+            yield batch
+
+    monkeypatch.setattr(toxicity, "_featurise", counting)
+    toxicity.train(docs, labels, rows=10)
+    assert fitted.value == 10
+
+
+def plain_ftrl(rows):
+    """The FTRL-proximal rule, one coordinate at a time."""
+    import math
+    z, n = Counter(), Counter()
+
+    def weight(i):
+        if abs(z[i]) <= toxicity.L1:
+            return 0.0
+        return -(z[i] - math.copysign(toxicity.L1, z[i])) / ((toxicity.BETA + math.sqrt(n[i])) / toxicity.ALPHA + toxicity.L2)
+
+    bias = 1 << toxicity.BITS
+    for _ in range(toxicity.PASSES):
+        for label, places in rows:
+            used = {i: weight(i) for i in [*places, bias]}
+            slope = 1 / (1 + math.exp(-sum(used.values()))) - label
+            for i, w in used.items():
+                z[i] += slope - (math.sqrt(n[i] + slope**2) - math.sqrt(n[i])) / toxicity.ALPHA * w
+                n[i] += slope**2
+    return {i: weight(i) for i in z}
+
+
+def test_ftrl_against_plain():
+    draw = random.Random(4)
+    rows = [(int(draw.random() < 0.4), sorted(draw.sample(range(60), draw.randint(0, 20)))) for _ in range(400)]
+    rows = [(label, [p for p in places if not (p < 8 and not label)]) for label, places in rows]
+    weights, bias = toxicity.fit([(label, np.array(places, np.int64)) for label, places in rows])
+    want = plain_ftrl(rows)
+    assert abs(bias - want.pop(1 << toxicity.BITS)) < 1e-9 and any(want.values())
+    assert all(abs(weights[i] - w) < 1e-9 for i, w in want.items())
+
+
 def test_toxicity(spark, documents, prose):
     texts = [prose(i, 30) + (" you scum and trash " if i % 4 == 0 else " ") + prose(i + 5000, 10) for i in range(600)] + [None, "", "scum trash"]
     docs = documents(texts)

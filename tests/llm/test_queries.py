@@ -26,7 +26,7 @@ def test_query(spark, other, name):
     assert sorted(map(tuple, got.select(*columns).collect()), key=str) == sorted(want, key=str)
 
 
-@pytest.mark.parametrize("name", ["op4_raking", "op6_quality_rules", "op7_url_filter"])
+@pytest.mark.parametrize("name", ["op4_raking", "op6_quality_rules", "op7_url_filter", "op13_merkle_manifest"])
 def test_native(spark, name):
     plan = QUERIES[name](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
     assert not any(word in plan for word in ("Python", "Arrow", "Pandas", "CartesianProduct", "NestedLoop"))
