@@ -1,7 +1,9 @@
-"""Contract report: how many rows break the formats that the extraction is asked to follow."""
+"""Contract report: how many rows break the formats that the extraction is asked to follow, which rows these
+are, and which track numbers a side lacks."""
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 from sleeveworks.schema import FACES, SLOTS_PER_FACE
 
@@ -57,3 +59,44 @@ def contract_report(albums: DataFrame, tracks: DataFrame, per_face: int = SLOTS_
         F.count_if(F.col("n") != per_face).alias("tracks_per_face"))
     return _as_rows(album_counts, dict.fromkeys([*album_rules, "album_id_unique"], "n")).unionByName(
         _as_rows(track_counts, {**dict.fromkeys(row_rules, "rows"), "tracks_per_face": "sides"}))
+
+
+#: The column each rule is about.
+_ABOUT = {"lp_id_format": "LP_ID", "label_number_format": "Label Number", "face_known": "Face",
+          "track_number_whole": "Track Number", "slot_in_grid": "Track Number"}
+
+
+def _breaches(rows: DataFrame, rules: dict[str, Column], seq: Column) -> DataFrame:
+    found = F.array_compact(F.array(*[
+        F.when(_broken(good), F.struct(F.lit(rule).alias("rule"), F.col(f"`{_ABOUT[rule]}`").alias("value")))
+        for rule, good in rules.items()]))
+    return rows.select("LP_ID", seq.cast("int").alias("seq"), F.inline(found))
+
+
+def violations(albums: DataFrame, tracks: DataFrame) -> DataFrame:
+    """``LP_ID, seq, rule, value``: one row per album or track row and rule that it breaks by itself, with the value at
+    fault. ``seq`` is the track's place in its document, null for albums. Each table is read once, without a shuffle."""
+    return _breaches(albums, general_rules(), F.lit(None)).unionByName(_breaches(tracks, track_rules(), F.col("seq")))
+
+
+def _numbers(tracks: DataFrame) -> DataFrame:
+    """The different track numbers of every album side, from 1 on."""
+    number = F.col("track_no").try_cast("int")
+    return tracks.select("LP_ID", "Face", number.alias("n")).where("n >= 1").distinct()
+
+
+def track_runs(tracks: DataFrame) -> DataFrame:
+    """``LP_ID, Face, first, last``: stretches of consecutive track numbers of every side.
+
+    Sides are reduced to their different numbers before anything is ordered. Tracks without a number are left out.
+    """
+    within = W.partitionBy("LP_ID", "Face")
+    placed = _numbers(tracks).withColumn("run", F.col("n") - F.row_number().over(within.orderBy("n")))
+    return placed.groupBy("LP_ID", "Face", "run").agg(F.min("n").alias("first"), F.max("n").alias("last")).drop("run")
+
+
+def track_gaps(tracks: DataFrame) -> DataFrame:
+    """``LP_ID, Face, first_missing, last_missing``: the numbers that a side lacks below its highest."""
+    before = F.lag("n", 1, 0).over(W.partitionBy("LP_ID", "Face").orderBy("n"))
+    return _numbers(tracks).withColumn("before", before).where("n > before + 1").select(
+        "LP_ID", "Face", (F.col("before") + 1).alias("first_missing"), (F.col("n") - 1).alias("last_missing"))

@@ -1,9 +1,7 @@
 """Running an injected function (recognition, language model, audio header) over rows.
 
-This is the only place where rows enter Python. The caller supplies the function; the library
-supplies partitioning, one client per partition, error isolation and a rate cap. Calls cost money
-and may be repeated when a task is, so write the result to a table at once and use ``not_done``
-on the next run.
+The caller supplies the function; the library supplies partitioning, clients, error isolation, a window of calls
+in flight, a quota that all callers share, and a ledger that keeps every answer as soon as it is there.
 """
 
 import time
@@ -11,15 +9,13 @@ from collections.abc import Callable, Iterator
 from typing import Any
 
 import pyarrow as pa
-from pyarrow import fs
+from pyspark import BarrierTaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
-
-def call_interval(workers: int, calls_per_minute: float) -> float:
-    """Seconds each of ``workers`` callers must leave between calls to keep a shared quota."""
-    return workers * 60.0 / calls_per_minute
+from sleeveworks.operators.calls import Ledger, Slots, Window
+from sleeveworks.sources.places import located, qualified
 
 
 def on_contents(make_function: Callable[[], Callable[[bytes], Any]]) -> Callable[[], Callable[[str], Any]]:
@@ -32,8 +28,7 @@ def on_contents(make_function: Callable[[], Callable[[bytes], Any]]) -> Callable
         function = make_function()
 
         def call(path: str) -> Any:
-            uri = path if "://" in path else "file://" + path.removeprefix("file:")
-            store, place = fs.FileSystem.from_uri(uri)
+            store, place = located(path)
             with store.open_input_stream(place) as source:
                 return function(source.readall())
 
@@ -42,19 +37,37 @@ def on_contents(make_function: Callable[[], Callable[[bytes], Any]]) -> Callable
     return make
 
 
+def _pace(workers: int, calls_per_minute: float) -> Callable[[], Any]:
+    """For a barrier task: waits for the task's next turn. All tasks begin to count at one time."""
+    context = BarrierTaskContext.get()
+    begin = max(float(t) for t in context.allGather(repr(time.time())))
+    return Slots(calls_per_minute, context.partitionId(), workers, begin).wait
+
+
 def enrich(df: DataFrame, make_function: Callable[[], Callable[[Any], Any]], calls: dict[str, str],
            result_type: T.DataType = T.StringType(), workers: int | None = None,
-           calls_per_minute: float | None = None) -> DataFrame:
+           calls_per_minute: float | None = None, in_flight: int = 1, timeout: float | None = None,
+           ledger: str | None = None) -> DataFrame:
     """Add, for each ``calls`` entry {new column: input column}, the result and ``<new>_error``.
 
-    ``make_function`` runs once per partition and returns the function to call with one value.
-    A null input is not called. A call that raises gives a null result and the error text; the
-    task goes on. ``workers`` limits how many partitions, hence callers, there are; together with
-    ``calls_per_minute`` it spaces the calls.
+    ``make_function`` runs in the task and returns the function to call with one value; with ``in_flight`` calls
+    at a time it runs for each of them. A null input is not called. A call that raises, or takes longer
+    than ``timeout`` seconds, gives a null result and the error text; the task goes on. Rows stay in order.
+
+    ``workers`` is the number of partitions, hence callers. With ``calls_per_minute`` they run as one barrier stage
+    and take turns, so that no minute has more calls, those in flight and those of repeated tasks included;
+    that needs a core for each, and fails at once where the cluster has fewer.
+
+    ``ledger`` names a folder that all executors reach: answers are kept there one by one, and what has an answer is not
+    asked again, by this run or a later one, until the folder is removed. Results must be JSON values then.
     """
-    if calls_per_minute is not None and workers is None:
-        raise ValueError("calls_per_minute needs workers")
-    interval = call_interval(workers, calls_per_minute) if calls_per_minute else 0.0
+    spark = df.sparkSession
+    if calls_per_minute is not None:
+        if workers is None:
+            raise ValueError("calls_per_minute needs workers")
+        if workers > spark.sparkContext.defaultParallelism:
+            raise ValueError(f"{workers} callers need as many cores; there are {spark.sparkContext.defaultParallelism}")
+    folder = qualified(spark, ledger) if ledger else None
     value_type = to_arrow_type(result_type)
     schema = T.StructType(list(df.schema.fields))
     for name in calls:
@@ -62,27 +75,15 @@ def enrich(df: DataFrame, make_function: Callable[[], Callable[[Any], Any]], cal
     names = schema.names
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        function, due = None, 0.0
+        before = _pace(workers, calls_per_minute) if calls_per_minute else None
+        window = Window(make_function, in_flight, timeout, before, Ledger(folder) if folder else None,
+                        lambda x: pa.scalar(x, value_type).as_py())
         for batch in batches:
-            function = function or make_function()
             columns = list(batch.columns)
             for source in calls.values():
-                results, errors = [], []
-                for value in batch.column(source).to_pylist():
-                    result = error = None
-                    if value is not None:
-                        if interval:
-                            time.sleep(max(0.0, due - time.monotonic()))
-                            due = time.monotonic() + interval
-                        try:
-                            # Converted here, so that a value of the wrong type is this row's error.
-                            result = pa.scalar(function(value), value_type).as_py()
-                        except Exception as e:  # one bad row must not fail the others
-                            error = f"{type(e).__name__}: {e}"
-                    results.append(result)
-                    errors.append(error)
-                columns += [pa.array(results, value_type), pa.array(errors, pa.string())]
+                answers = list(window.answers(batch.column(source).to_pylist()))
+                columns += [pa.array([r for r, _ in answers], value_type), pa.array([e for _, e in answers], pa.string())]
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
     spread = df if workers is None else df.repartition(workers)
-    return spread.mapInArrow(run, schema)
+    return spread.mapInArrow(run, schema, barrier=calls_per_minute is not None)

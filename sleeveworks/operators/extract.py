@@ -157,6 +157,48 @@ def track_rows(parsed: DataFrame, key: str = "lp_id", coerce_numbers: bool = Tru
     )
 
 
+#: Members that a schema may have; what has more is no set of columns.
+MOST_MEMBERS = 2_000
+
+
+def member_schema(parsed: DataFrame, section: str = GENERAL_SECTION) -> DataFrame:
+    """``member, type``: all members that any document has in a section, with a type that fits all their values.
+
+    Whole numbers are ``bigint``, with others among them ``double``; ``boolean`` and ``string`` stay; objects, arrays and
+    members whose types clash become ``string``. A member that is always null is a ``string``. Values are
+    reduced to one row per member and type before the shuffle.
+    """
+    values = parsed.select(F.explode(members(get("doc", section, kind="variant"))).alias("member", "value"))
+    # A variant can't be compared, its type can.
+    kind = F.regexp_extract(F.schema_of_variant("value"), "^[A-Z]+", 0)
+    kinds = values.select("member", kind.alias("kind")).where("kind <> 'VOID'").distinct()
+    only = kinds.groupBy("member").agg(F.sort_array(F.collect_set("kind")).alias("kinds"))
+    names = values.select("member").distinct()
+    numbers = F.size(F.array_except("kinds", F.array(F.lit("BIGINT"), F.lit("DECIMAL"), F.lit("DOUBLE"), F.lit("FLOAT")))) == 0
+    chosen = (
+        F.when(F.col("kinds") == F.array(F.lit("BIGINT")), "bigint")
+        .when(F.col("kinds") == F.array(F.lit("BOOLEAN")), "boolean")
+        .when(numbers, "double").otherwise("string")
+    )
+    return names.join(only, "member", "left").select("member", F.coalesce(F.when(F.col("kinds").isNotNull(), chosen), F.lit("string")).alias("type"))
+
+
+def wide_rows(parsed: DataFrame, schema: DataFrame, key: str = "lp_id", section: str = GENERAL_SECTION) -> DataFrame:
+    """One row per document that has the section: ``LP_ID`` and a column per member of ``schema``, by name.
+
+    ``schema`` is what ``member_schema`` found, in these documents or in earlier ones; it is small and comes to the
+    driver, as columns must. A member called LP_ID is left out, as the album key counts.
+    """
+    columns = schema.where("member <> 'LP_ID'").orderBy("member").limit(MOST_MEMBERS + 1).collect()
+    if len(columns) > MOST_MEMBERS:
+        raise ValueError(f"more than {MOST_MEMBERS} members are no columns")
+    value = get("doc", section, kind="variant")
+    filled = F.when(F.size(members(value)) > 0, F.array(value))
+    rows = parsed.select(F.col(key).alias("LP_ID"), F.explode(filled).alias("_section")).withColumn("_members", members("_section"))
+    # By way of the map, as a path can't name every member.
+    return rows.select("LP_ID", *[get(F.col("_members")[c["member"]], kind=c["type"]).alias(c["member"]) for c in columns])
+
+
 def other_members(section: Column, declared: list[str]) -> Column:
     """Members of an object that are not declared, as a map of texts; null for anything but an object."""
     others = F.map_filter(members(section), lambda name, _: ~name.isin(declared))

@@ -77,11 +77,22 @@ def with_position(albums: DataFrame, key: str = "lp_id", reverse: bool = False)
     return joined.withColumn("position", F.col("_before") + index + 1).drop("_slot", "_part", "_before")
 
 
+#: Up to this position albums are selected without ordering the others.
+TOP = 100_000
+
+
 def select_positions(albums: DataFrame, selection: str | Selection, key: str = "lp_id",
                      parity: bool = False) -> DataFrame:
-    """Albums at the selected positions of the natural order."""
+    """Albums at the selected positions of the natural order.
+
+    What is asked for decides how: for positions up to ``TOP`` every task keeps its own first ones and the
+    first of these are taken; beyond, all albums are placed (``with_position``).
+    """
     chosen = parse_selection(selection, parity) if isinstance(selection, str) else selection
     if chosen.last is None:
         return natural_sort(albums, key)
+    if chosen.last <= TOP:
+        first = albums.orderBy(*natural_order(key, chosen.reverse)).limit(chosen.last).offset(chosen.first - 1)
+        return natural_sort(first, key) if chosen.reverse else first
     placed = with_position(albums, key, chosen.reverse)
     return natural_sort(placed.where(F.col("position").between(chosen.first, chosen.last)).drop("position"), key)

@@ -9,6 +9,9 @@ from pyspark.sql import types as T
 HOT_PER_PARTITION = 4
 # Counters of a frequency sketch per hot key that can exist; its error is then a fraction of the share.
 COUNTERS_PER_KEY = 8
+# Spark's own limit on the counters of a sketch. With more partitions than it allows for, a key's count is known
+# less exactly, by a share of the rows that is still below a partition's.
+MOST_COUNTERS = 1_000_000
 # Sketches of the tasks are merged in this many groups first, so that no task merges all of them.
 SKETCH_GROUPS = 256
 
@@ -25,8 +28,8 @@ def hot_keys(rows: DataFrame, on: list[str], partitions: int | None = None) -> D
     spread, never which rows a result has.
     """
     partitions = partitions or _partitions(rows)
-    bound = HOT_PER_PARTITION * partitions
-    counters = COUNTERS_PER_KEY * bound
+    bound = min(HOT_PER_PARTITION * partitions, MOST_COUNTERS)
+    counters = min(COUNTERS_PER_KEY * bound, MOST_COUNTERS)
     group = F.pmod(F.spark_partition_id(), F.lit(SKETCH_GROUPS)).alias("_group")
     keys = rows.select(group, F.xxhash64(*on).alias("_key"))
     sketches = keys.groupBy("_group").agg(

@@ -137,9 +137,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def frame(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+def frame(spark: SparkSession, sf_dir: str, name: str, spread: int | None = None) -> DataFrame:
+    """An input. ``spread`` deals the rows out anew before they are worked on: for a small file, which is read by
+    one task, with rows that are dear to decode."""
     source, columns = INPUTS[name]
-    return table(spark, sf_dir, source).selectExpr(*[f"{e} AS {c}" for c, e in columns.items()])
+    rows = table(spark, sf_dir, source)
+    rows = rows if spread is None else rows.repartition(spread)
+    return rows.selectExpr(*[f"{e} AS {c}" for c, e in columns.items()])
 
 
 def sql(name: str) -> str:
@@ -167,3 +171,22 @@ def text_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.xxhash64(line, i).alias("scramble"), (i % 7).alias("x"), F.floor(i / 2).cast("int").alias("y"),
         i.alias("seq"), line.alias("text")))
     return table(spark, sf_dir, "documents").select("doc_id", F.array_sort(blocks).alias("blocks"))
+
+
+# Blocks of images as loose rows: every third document is a part of one image.
+LOOSE_IMAGE = "CASE WHEN doc_id % 3 = 0 THEN 'hot' ELSE 'image ' || doc_id END"
+
+
+def loose_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A row per line of every document, in scrambled order; two neighbouring lines share a height."""
+    lines = table(spark, sf_dir, "documents").select("doc_id", F.posexplode(F.split("text", "\n")).alias("pos", "text"))
+    rows = lines.selectExpr(f"{LOOSE_IMAGE} AS image_path", "doc_id * 1000000 + pos div 2 AS y", "pos AS seq", "text")
+    return rows.repartition(F.xxhash64("text", "seq"))
+
+
+# A document with members that nobody declared: a whole number, a fraction, a truth value, and one whose types clash.
+MEMBERS_DOCUMENT = (
+    "'{\"General Information\":{\"Title\":\"' || s_name || '\",\"Sleeves\":' || (s_suppkey % 5) || ',\"Weight (g)\":' || "
+    "CASE WHEN s_suppkey % 2 = 0 THEN '120' ELSE '99.5' END || CASE WHEN s_suppkey % 3 = 0 THEN ',\"Stereo\":true' ELSE '' END || "
+    "',\"Speed\":' || CASE WHEN s_suppkey % 7 = 0 THEN '\"78 rpm\"' ELSE '33' END || ',\"Empty\":null}}'"
+)

@@ -23,6 +23,7 @@ from sleeveworks.schema import RAW_GENERAL, RAW_TRACK
 from sleeveworks.session import new_shared_path, tune
 from sleeveworks.sources import files
 from sleeveworks.sources import manifest as M
+from sleeveworks.sources.places import remove
 from sleeveworks.sources.sinks import append_table, export_files, write_csv, write_table
 
 
@@ -52,8 +53,13 @@ def tracks_with_audio(responses: DataFrame, audio: DataFrame, how: str = "greedy
 
 
 def albums_with_support(responses: DataFrame, tracks: DataFrame, how: str = "greedy") -> DataFrame:
-    """Raw album rows with their support count."""
-    return match.with_support_count(raw_albums(responses, how), tracks)
+    """Raw album rows with their support count.
+
+    The rows are written down first, as the lookup reads them twice: the responses are decoded once.
+    """
+    path = new_shared_path(responses.sparkSession, "albums")
+    write_table(raw_albums(responses, how), path)
+    return match.with_support_count(responses.sparkSession.read.parquet(path), tracks)
 
 
 def in_order(rows: DataFrame) -> DataFrame:
@@ -62,20 +68,17 @@ def in_order(rows: DataFrame) -> DataFrame:
     return rows.orderBy(*select.natural_order("LP_ID"), *place)
 
 
-def recognise(pairs: DataFrame, make_reader: Callable[[], Callable[[Any], str]], workers: int | None = None,
-              calls_per_minute: float | None = None) -> DataFrame:
-    """Text of both covers of each album. An unreadable cover counts as empty; the error is kept."""
-    read = enrich(pairs, make_reader, {"front_text": "front_path", "back_text": "back_path"},
-                  workers=workers, calls_per_minute=calls_per_minute)
+def recognise(pairs: DataFrame, make_reader: Callable[[], Callable[[Any], str]], **calling: Any) -> DataFrame:
+    """Text of both covers of each album. An unreadable cover counts as empty; the error is kept.
+    ``calling``: how calls are made, see ``enrich``."""
+    read = enrich(pairs, make_reader, {"front_text": "front_path", "back_text": "back_path"}, **calling)
     return read.withColumn("combined_text", cover_text(F.col("front_text"), F.col("back_text")))
 
 
-def infer(texts: DataFrame, template: str, make_model: Callable[[], Callable[[Any], str]],
-          workers: int | None = None, calls_per_minute: float | None = None) -> DataFrame:
-    """Model response to each text."""
+def infer(texts: DataFrame, template: str, make_model: Callable[[], Callable[[Any], str]], **calling: Any) -> DataFrame:
+    """Model response to each text. ``calling``: how calls are made, see ``enrich``."""
     asked = texts.withColumn("prompt", S.render_prompt(template, F.col("combined_text")))
-    return enrich(asked, make_model, {"response": "prompt"}, workers=workers,
-                  calls_per_minute=calls_per_minute).drop("prompt")
+    return enrich(asked, make_model, {"response": "prompt"}, **calling).drop("prompt")
 
 
 @dataclass
@@ -91,6 +94,9 @@ class Run:
     workers: int | None = None
     calls_per_minute: float | None = None
     parity: bool = False
+    # Calls at a time of each worker, and seconds after which one is given up.
+    in_flight: int = 1
+    timeout: float | None = None
     # Rows asked for between two commits, about.
     portion: int = 10_000
 
@@ -104,11 +110,11 @@ class Run:
         return self.spark.read.parquet(self.path(name))
 
     def _stored(self, name: str, *keys: str) -> DataFrame:
-        """Keys in a table, none if it does not exist yet."""
+        """Keys in a table, none if it does not exist yet, or only as what a write that failed left."""
         try:
             return self.table(name).select(*keys)
         except Exception as e:
-            if "PATH_NOT_FOUND" not in str(e):
+            if "PATH_NOT_FOUND" not in str(e) and "UNABLE_TO_INFER_SCHEMA" not in str(e):
                 raise
             return self.spark.createDataFrame([], ", ".join(f"{k} string" for k in keys))
 
@@ -120,7 +126,8 @@ class Run:
         """Answers to the open work, each portion of it committed before the next is asked for.
 
         The open work is written down first, so that every portion is a fixed share of it. Attempts
-        are never read by a portion that is still running: each has a folder of its own.
+        are never read by a portion that is still running: each has a folder of its own. Answers of a
+        portion that breaks off are in the ledger, where the next run finds them.
         """
         path = new_shared_path(self.spark, "todo")
         write_table(todo, path)
@@ -130,6 +137,15 @@ class Run:
             share = work.where(F.pmod(F.xxhash64("lp_id"), F.lit(portions)) == i)
             stamp = f"{dt.datetime.now(dt.timezone.utc):%Y%m%dT%H%M%S%f}"
             write_table(ask(share), self.path(f"{name}/attempt={stamp}-{i}"))
+        # All answers are in the table now; one that turns out unusable may be asked for again.
+        remove(self.spark, self._ledger(name))
+
+    def _ledger(self, name: str) -> str:
+        return self.path(f"ledger/{name}")
+
+    def _calling(self, name: str) -> dict[str, Any]:
+        return {"workers": self.workers, "calls_per_minute": self.calls_per_minute, "in_flight": self.in_flight,
+                "timeout": self.timeout, "ledger": self._ledger(name)}
 
     def recognise_covers(self, make_reader: Callable[[], Callable[[Any], str]], selection: str = "all",
                          inventory: DataFrame | None = None, contents: bool = False) -> None:
@@ -142,7 +158,7 @@ class Run:
         chosen = select.select_positions(select.album_names(found), selection, parity=self.parity)
         pairs = covers.complete_pairs(covers.cover_pairs(found)).join(chosen, "lp_id", "left_semi")
         todo = match.not_done(pairs, self._stored("ocr_text", "lp_id"), ["lp_id"], unique=True)
-        self._in_portions(todo, lambda rows: recognise(rows, make_reader, self.workers, self.calls_per_minute)
+        self._in_portions(todo, lambda rows: recognise(rows, make_reader, **self._calling("ocr_attempts"))
                           .drop("front_path", "back_path"), "ocr_attempts")
         self._keep_texts()
 
@@ -150,29 +166,28 @@ class Run:
         """Complete readings among the attempts become texts, one per album."""
         tried = self._stored("ocr_attempts", "lp_id", "combined_text", "front_text_error", "back_text_error")
         read = tried.where("front_text_error IS NULL AND back_text_error IS NULL").groupBy("lp_id").agg(
-            F.min("combined_text").alias("combined_text"))
+            F.min("combined_text").alias("combined_text")).withColumn("file_name", F.concat("lp_id", F.lit("_combined.txt")))
         append_table(match.not_done(read, self._stored("ocr_text", "lp_id"), ["lp_id"], unique=True), self.path("ocr_text"))
 
     def ask_model(self, template: str, make_model: Callable[[], Callable[[Any], str]]) -> None:
-        """Stage 2: responses for texts that have none. Failed or empty answers are asked again."""
+        """Stage 2: responses for texts whose document is not there yet. Failed or empty answers are asked again."""
         self._parse_responses()
-        texts = self.table("ocr_text").select("lp_id", "combined_text")
-        todo = match.not_done(texts, self._stored("extractions", "lp_id"), ["lp_id"], unique=True)
-        self._in_portions(todo, lambda rows: infer(rows, template, make_model, self.workers, self.calls_per_minute)
+        texts = self.table("ocr_text").select("lp_id", S.output_name(F.col("file_name")).alias("file_name"), "combined_text")
+        todo = match.not_done(texts, self._stored("extractions", "file_name"), ["file_name"], unique=True)
+        self._in_portions(todo, lambda rows: infer(rows, template, make_model, **self._calling("responses"))
                           .drop("combined_text"), "responses")
         self._parse_responses()
 
     def _parse_responses(self) -> None:
         """Documents out of all responses that have not been parsed yet, also those of a run that broke off."""
-        paid = self._stored("responses", "lp_id", "response", "response_error", "attempt")
-        paid = paid.withColumn("file_name", S.output_name(F.concat("lp_id", F.lit("_combined.txt"))))
+        paid = self._stored("responses", "lp_id", "file_name", "response", "response_error", "attempt")
         paid = paid.withColumn("attempt", F.col("attempt").cast("string"))
-        done = self._stored("parsed", "lp_id", "attempt")
+        done = self._stored("parsed", "file_name", "attempt")
         path = new_shared_path(self.spark, "unparsed")
-        write_table(match.not_done(paid, done, ["lp_id", "attempt"], unique=True), path)
+        write_table(match.not_done(paid, done, ["file_name", "attempt"], unique=True), path)
         fresh = self.spark.read.schema(paid.schema).parquet(path)
         self._store_documents(extract.parse_documents(fresh))
-        append_table(fresh.select("lp_id", "attempt"), self.path("parsed"))
+        append_table(fresh.select("file_name", "attempt"), self.path("parsed"))
 
     def _store_documents(self, parsed: DataFrame) -> None:
         """Documents by the name of their file, sub-folders included, each once; unusable ones by name and reason."""
@@ -183,9 +198,10 @@ class Run:
                      self.path("unreadable"))
 
     def load_texts(self, directory: str) -> None:
-        """Instead of stage 1: ``<album>_combined.txt`` files that exist already."""
-        texts = files.read_texts(self.spark, directory).select("lp_id", "combined_text")
-        append_table(match.not_done(texts, self._stored("ocr_text", "lp_id"), ["lp_id"]), self.path("ocr_text"))
+        """Instead of stage 1: ``<album>_combined.txt`` files that exist already. A file is known by its path
+        below ``directory``, so two texts of an album are two texts, each with a document of its own."""
+        texts = files.read_texts(self.spark, directory).select("lp_id", "combined_text", "file_name")
+        append_table(match.not_done(texts, self._stored("ocr_text", "file_name"), ["file_name"], unique=True), self.path("ocr_text"))
 
     def load_documents(self, directory: str) -> None:
         """Instead of stage 2: extraction documents that exist already, one JSON file each. A file is
@@ -195,8 +211,7 @@ class Run:
 
     def export(self, directory: str) -> None:
         """The intermediate results as files: a text and a JSON file per album, raw tables as CSV."""
-        texts = self.table("ocr_text").withColumn("file", F.concat("lp_id", F.lit("_combined.txt")))
-        export_files(texts, f"{directory}/texts", "file", "combined_text")
+        export_files(self.table("ocr_text"), f"{directory}/texts", "file_name", "combined_text")
         export_files(self.table("extractions"), f"{directory}/documents", "file_name", "doc_json")
         albums, tracks = self.table("raw_general"), self.table("tracks_with_audio")
         write_csv(in_order(albums).select(*RAW_GENERAL.names), f"{directory}/general_info")
@@ -205,7 +220,8 @@ class Run:
     def measure_audio(self, make_header: Callable[[], Callable[[bytes], float]], inventory: DataFrame | None = None) -> None:
         """Seconds of every audio file, from its bytes; a file that can't be read has none."""
         found = M.audio_files(self.manifest(inventory)).select("lp_id", "file_name", "path")
-        measured = enrich(found, on_contents(make_header), {"seconds": "path"}, DoubleType(), self.workers)
+        measured = enrich(found, on_contents(make_header), {"seconds": "path"}, DoubleType(), self.workers,
+                          in_flight=self.in_flight, timeout=self.timeout)
         write_table(measured.drop("path"), self.path("audio"))
 
     def flatten(self, audio: DataFrame | None = None) -> None:

@@ -35,6 +35,8 @@ def _place(country: str, i: int) -> str:
 _AUDIO = f"(SELECT lp_id, file_name, min(seconds) AS seconds FROM {A.sql('audio_files')} GROUP BY lp_id, file_name)"
 _TRACKS = f"(SELECT lp_id, face, track_name, {_padded('raw_number')} AS track_no FROM {A.sql('tracks')})"
 
+_SIDE_NUMBERS = f"(SELECT DISTINCT lp_id, face, CAST(track_no AS INTEGER) AS n FROM {_TRACKS} WHERE CAST(track_no AS INTEGER) >= 1)"
+
 # Track entries of the responses that hold exactly one object, straight from the table.
 _ENTRIES = f"""(
   SELECT lp_id, 0 AS seq, face, CASE WHEN flag = 'A' THEN line ELSE raw_number END AS number, flag = 'A' AS bare,
@@ -234,8 +236,8 @@ ORACLES: dict[str, str] = {
     "csv_reordered": f"SELECT lp_id, title, CAST(NULL AS VARCHAR) AS notes FROM {A.sql('albums')}",
     "catalogue_in_order": """SELECT 'LP' || l_partkey AS "LP_ID", l_orderkey || '-' || l_linenumber AS name,
         row_number() OVER (PARTITION BY l_partkey ORDER BY l_orderkey, l_linenumber) AS place FROM lineitem""",
-    "text_files": """SELECT 'LP' || doc_id AS lp_id, 'LP' || doc_id || '_combined.txt' AS file_name,
-        CASE WHEN doc_id % 10 = 0 THEN '' ELSE text END AS combined_text FROM documents""",
+    "text_files": """SELECT 'LP' || doc_id AS lp_id, 'LP' || doc_id || '_combined.txt' AS file_name, text AS combined_text FROM documents
+        UNION ALL SELECT 'LP0', 'LP0_' || s_suppkey || '_combined.txt', '' FROM supplier""",
     "document_files": f"""SELECT * FROM (SELECT 'LP' || s_suppkey AS lp_id, 'LP' || s_suppkey || '_ai_output.json' AS file_name,
         {A.SUPPLIER_REASON} AS reason FROM supplier) WHERE reason IS NOT NULL""",
     "audio_scan": """SELECT 'LP1' AS lp_id, 'LP1_1z1_A' || s_suppkey || '.mp3' AS file_name, strlen(s_name) AS bytes
@@ -270,4 +272,29 @@ ORACLES: dict[str, str] = {
         FROM lineitem""",
     "incremental_arrival": f"""{_WITH_ROWS} SELECT lp_id AS "LP_ID", face AS "Face", count(*) AS n,
         count({_padded('number')}) AS numbered FROM {_ENTRIES} GROUP BY lp_id, face""",
+    "member_columns": """SELECT 'LP' || s_suppkey AS "LP_ID", s_name AS "Title", s_suppkey % 5 AS "Sleeves",
+        CASE WHEN s_suppkey % 2 = 0 THEN 120.0 ELSE 99.5 END::DOUBLE AS "Weight (g)", CASE WHEN s_suppkey % 3 = 0 THEN TRUE END AS "Stereo",
+        CASE WHEN s_suppkey % 7 = 0 THEN '78 rpm' ELSE '33' END AS "Speed", CAST(NULL AS VARCHAR) AS "Empty" FROM supplier""",
+    "cover_folders": """SELECT 'LP' || s_suppkey AS lp_id, 'LP' || s_suppkey || '_cover01.jpg' AS front_path,
+        CASE WHEN s_suppkey % 5 <> 0 THEN 'LP' || s_suppkey || '_cover02.jpg' END AS back_path FROM supplier""",
+    "loose_blocks": f"""SELECT image_path, string_agg(line, chr(10) ORDER BY doc_id * 1000000 + pos // 2, pos) AS text
+        FROM (SELECT *, {A.LOOSE_IMAGE} AS image_path FROM {_LINES}) GROUP BY image_path""",
+    "contract_violations": f"""{_WITH_ROWS}, entries AS (SELECT * FROM {_ENTRIES})
+        SELECT lp_id AS "LP_ID", CAST(NULL AS INTEGER) AS seq, 'lp_id_format' AS rule, lp_id AS value FROM {_GENERAL}
+               WHERE NOT regexp_full_match(lp_id, 'LP[0-9]{{4}}')
+        UNION ALL SELECT lp_id, NULL, 'label_number_format', label_number FROM {_GENERAL}
+               WHERE NOT regexp_full_match(label_number, '[A-Za-z]{{2,3}}[^A-Za-z0-9]*[0-9]+')
+        UNION ALL SELECT lp_id, seq, 'face_known', face FROM entries WHERE face NOT IN ('A', 'B')
+        UNION ALL SELECT lp_id, seq, 'track_number_whole', number FROM entries WHERE NOT regexp_full_match(number, '[0-9]+')
+        UNION ALL SELECT lp_id, seq, 'slot_in_grid', number FROM entries WHERE face NOT IN ('A', 'B') OR
+               coalesce(TRY_CAST(regexp_extract(number, '[0-9]+') AS INTEGER), 0) NOT BETWEEN 1 AND 6""",
+    "track_gaps": f"""SELECT lp_id AS "LP_ID", face AS "Face", before + 1 AS first_missing, n - 1 AS last_missing FROM (
+        SELECT *, lag(n, 1, 0) OVER (PARTITION BY lp_id, face ORDER BY n) AS before FROM {_SIDE_NUMBERS}) WHERE n > before + 1""",
+    "track_runs": f"""SELECT lp_id AS "LP_ID", face AS "Face", min(n) AS first, max(n) AS last FROM (
+        SELECT *, n - row_number() OVER (PARTITION BY lp_id, face ORDER BY n) AS run FROM {_SIDE_NUMBERS}) GROUP BY lp_id, face, run""",
+    "calls_in_flight": f"""SELECT doc_id, response, response AS kept, CASE WHEN response IS NULL THEN 'ValueError: asked again' END AS error
+        FROM (SELECT doc_id, CASE WHEN length(p) % 2 = 0 THEN md5(p) END AS response
+              FROM (SELECT doc_id, {_text(TEMPLATE)} || text AS p FROM documents))""",
+    "arrival_split": f"""{_WITH_ROWS} SELECT 'ok' AS status, count(*) AS n FROM {_ENTRIES}
+        UNION ALL SELECT 'invalid_json', count(*) FROM lineitem WHERE l_suppkey % 8 >= 6 HAVING count(*) > 0""",
 }

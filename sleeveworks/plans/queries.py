@@ -18,6 +18,7 @@ from sleeveworks.plans import catalogue as C
 from sleeveworks.schema import strings
 from sleeveworks.session import new_shared_path, tune
 from sleeveworks.sources import files, manifest, sinks
+from sleeveworks.sources.places import matching, remove
 from sleeveworks.streaming import arrival
 
 CURATOR, NOTE, AS_OF = "J. Doe", "Digitised in July.", dt.date(2024, 9, 5)
@@ -36,11 +37,16 @@ def query(f: Query) -> Query:
 
 
 def _track_responses(spark, sf_dir):
-    return C.keyed(A.frame(spark, sf_dir, "track_responses"))
+    return C.keyed(_spread(spark, sf_dir, "track_responses"))
 
 
 def _general_responses(spark, sf_dir):
-    return C.keyed(A.frame(spark, sf_dir, "general_responses"))
+    return C.keyed(_spread(spark, sf_dir, "general_responses"))
+
+
+def _spread(spark, sf_dir, name):
+    """Responses of a benchmark table, which is one small file, over all cores: each is dear to decode."""
+    return A.frame(spark, sf_dir, name, spread=2 * spark.sparkContext.defaultParallelism)
 
 
 def _audio(spark, sf_dir):
@@ -111,8 +117,8 @@ def extract_strip(spark, sf_dir):
 def quarantine_counts(spark, sf_dir):
     """Unusable responses by reason; chat turns stand for answers without any JSON."""
     chat = A.frame(spark, sf_dir, "chat_answers").select(F.col("text").alias("response"))
-    texts = extract.union_sparse([A.frame(spark, sf_dir, "track_responses").select("response"),
-                                  A.frame(spark, sf_dir, "general_responses").select("response"), chat])
+    texts = extract.union_sparse([_spread(spark, sf_dir, "track_responses").select("response"),
+                                  _spread(spark, sf_dir, "general_responses").select("response"), chat])
     bad = extract.quarantine(extract.parse_documents(texts))
     return bad.groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
 
@@ -133,11 +139,21 @@ def raw_general(spark, sf_dir):
 def extraction_store(spark, sf_dir):
     """Non-empty documents to a table, back, and to track rows."""
     path = new_shared_path(spark, "extractions")
-    parsed = extract.parse_documents(A.frame(spark, sf_dir, "track_responses"))
+    parsed = extract.parse_documents(_spread(spark, sf_dir, "track_responses"))
     sinks.append_table(extract.found_documents(parsed).select("file_name", F.col("doc_json").alias("response")), path)
     return extract.track_rows(files.read_document_lines(spark, path)).select("LP_ID", "seq", "Face", "track_no")
 
 
+@query
+def member_columns(spark, sf_dir):
+    """Columns that nobody declared, found in all documents of a store and typed by their values."""
+    path = new_shared_path(spark, "member-schema")
+    docs = A.table(spark, sf_dir, "supplier").selectExpr("'LP' || s_suppkey AS lp_id", f"{A.MEMBERS_DOCUMENT} AS response")
+    parsed = extract.parse_documents(docs, how="whole")
+    sinks.write_table(extract.member_schema(parsed), path)
+    return extract.wide_rows(parsed, spark.read.parquet(path))
+
+
 @query
 def chat_content(spark, sf_dir):
     """Message text out of a chat envelope."""
@@ -191,6 +207,18 @@ def complete_albums(spark, sf_dir):
     return covers.complete_pairs(covers.cover_pairs(_covers(spark, sf_dir)))
 
 
+@query
+def cover_folders(spark, sf_dir):
+    """Covers in real folders, listed: a cover without a byte is a cover, one that lies too deep is not."""
+    path = new_shared_path(spark, "albums")
+    named = A.table(spark, sf_dir, "supplier").selectExpr("'LP' || s_suppkey AS lp", "s_suppkey", "s_name").selectExpr(
+        "inline(array(struct(lp || '/' || lp || '_cover01.jpg' AS name, CASE WHEN s_suppkey % 3 = 0 THEN '' ELSE s_name END AS body), "
+        "struct(lp || CASE WHEN s_suppkey % 5 = 0 THEN '/in ner/' ELSE '/' END || lp || '_cover02.jpg' AS name, s_name AS body)))")
+    sinks.export_files(named, path, "name", "body")
+    pairs = covers.cover_pairs(manifest.manifest(manifest.scan_files(spark, path, "*.jpg"), path))
+    return pairs.select("lp_id", *[F.element_at(F.split(c, "/"), -1).alias(c) for c in ("front_path", "back_path")])
+
+
 @query
 def natural_sort_first(spark, sf_dir):
     return select.select_positions(_albums(spark, sf_dir), "first-100")
@@ -303,6 +331,12 @@ def block_text(spark, sf_dir):
         "doc_id", S.strip(X.blocks_in_reading_order(F.col("blocks"))).alias("text"))
 
 
+@query
+def loose_blocks(spark, sf_dir):
+    """Blocks as loose rows, a third of them of one image, in reading order."""
+    return covers.texts_of_blocks(A.loose_blocks(spark, sf_dir))
+
+
 @query
 def cover_text(spark, sf_dir):
     """Two sections, of which the second may be unread."""
@@ -372,10 +406,11 @@ def catalogue_in_order(spark, sf_dir):
 
 @query
 def text_files(spark, sf_dir):
-    """One text file per document, also for empty texts, and back."""
+    """One text file per document, and some without a byte, and back."""
     path = new_shared_path(spark, "texts")
     named = A.table(spark, sf_dir, "documents").selectExpr(
-        "'LP' || doc_id || '_combined.txt' AS file", "CASE WHEN doc_id % 10 = 0 THEN '' ELSE text END AS text")
+        "'LP' || doc_id || '_combined.txt' AS file", "text").unionByName(
+        A.table(spark, sf_dir, "supplier").selectExpr("'LP0_' || s_suppkey || '_combined.txt' AS file", "'' AS text"))
     sinks.export_files(named, path, "file", "text")
     return files.read_texts(spark, path)
 
@@ -429,6 +464,24 @@ def contract_report(spark, sf_dir):
                                   C.raw_tracks(_track_responses(spark, sf_dir)))
 
 
+@query
+def contract_violations(spark, sf_dir):
+    """The rows that break a rule, with what breaks it."""
+    return checks.violations(C.raw_albums(_general_responses(spark, sf_dir)), C.raw_tracks(_track_responses(spark, sf_dir)))
+
+
+@query
+def track_gaps(spark, sf_dir):
+    """Track numbers that an album side lacks below its highest."""
+    return checks.track_gaps(_tracks(spark, sf_dir))
+
+
+@query
+def track_runs(spark, sf_dir):
+    """Consecutive track numbers of every album side."""
+    return checks.track_runs(_tracks(spark, sf_dir))
+
+
 # The functions that stand for a model, for recognition and for an audio header are local, so they
 # travel to the workers by value.
 
@@ -458,6 +511,31 @@ def enrich_capped(spark, sf_dir):
     return enrich(names, make_model, {"called": "s_name"}, workers=4, calls_per_minute=60_000)
 
 
+@query
+def calls_in_flight(spark, sf_dir):
+    """Several calls at a time over documents; then a second run, whose model fails, takes what is in the ledger."""
+    def make_model():
+        def answer(prompt: str) -> str:
+            if len(prompt) % 2:
+                raise ValueError("refused")
+            return hashlib.md5(prompt.encode()).hexdigest()
+
+        return answer
+
+    def make_other():
+        def answer(prompt: str) -> str:
+            raise ValueError("asked again")
+
+        return answer
+
+    ledger, path = new_shared_path(spark, "ledger"), new_shared_path(spark, "answers")
+    texts = A.table(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("combined_text"))
+    calling = {"workers": spark.sparkContext.defaultParallelism, "in_flight": 8, "timeout": 60, "ledger": ledger}
+    sinks.write_table(C.infer(texts, TEMPLATE, make_model, **calling), path)
+    again = C.infer(texts, TEMPLATE, make_other, **calling).select("doc_id", F.col("response").alias("kept"), F.col("response_error").alias("error"))
+    return again.join(spark.read.parquet(path).select("doc_id", "response"), "doc_id")
+
+
 @query
 def recognise_covers(spark, sf_dir):
     """Recognition that reads the name of the file, and fails on some."""
@@ -508,3 +586,26 @@ def incremental_arrival(spark, sf_dir):
     run()
     return spark.read.parquet(output).groupBy("LP_ID", "Face").agg(
         F.count(F.lit(1)).alias("n"), F.count("track_no").alias("numbered"))
+
+
+@query
+def arrival_split(spark, sf_dir):
+    """Responses arrive in two parts; usable ones go to one table, the others to a quarantine, and the last part's
+    batch, whose end is forgotten, is processed again."""
+    inbox, good, bad, checkpoint = (new_shared_path(spark, n) for n in ("inbox", "good", "bad", "split-state"))
+    columns = A.INPUTS["track_responses"][1]
+    first = F.col("l_returnflag") == "N"
+
+    def run() -> None:
+        arriving = arrival.arriving_table(spark, inbox, strings(["file_name", "response"]))
+        arrival.process_split(C.keyed(arriving), extract.track_rows, good, bad, checkpoint)
+
+    for part in (first, ~first):
+        rows = A.table(spark, sf_dir, "lineitem").where(part).selectExpr(*[f"{e} AS {c}" for c, e in columns.items()])
+        sinks.append_table(rows, inbox)
+        run()
+    for place in matching(spark, f"{checkpoint}/commits/1") + matching(spark, f"{checkpoint}/commits/.1.crc"):
+        remove(spark, place)
+    run()
+    kept = spark.read.parquet(good).groupBy(F.lit("ok").alias("status")).agg(F.count(F.lit(1)).alias("n"))
+    return kept.unionByName(spark.read.parquet(bad).groupBy(F.col("reason").alias("status")).agg(F.count(F.lit(1)).alias("n")))

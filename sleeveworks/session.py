@@ -1,5 +1,6 @@
 """Session settings the library needs, and the shared folder it may write to."""
 
+import re
 import uuid
 
 from pyspark.sql import SparkSession
@@ -40,9 +41,13 @@ def local_session(cores: str = "8", shuffle_partitions: int = 8, memory: str = "
 def shared_dir(spark: SparkSession) -> str:
     """The folder that every executor can reach, as the cluster names it in ``spark.checkpoint.dir``.
 
-    Where that is unset, a folder in the warehouse, which executors share as well.
+    Where that is unset, a folder in the warehouse, which must be on a file system that the executors share: a
+    warehouse on the driver's own disk is refused unless the session runs on one machine.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    local = spark.sparkContext.master.startswith("local[") or spark.sparkContext.master == "local"
+    if not folder and not local and re.match("(file:|/)", spark.conf.get("spark.sql.warehouse.dir")):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors can reach")
     folder = folder or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_shared"
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(folder)

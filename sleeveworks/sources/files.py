@@ -1,20 +1,21 @@
 """Reading recognised texts, extraction documents and CSV tables."""
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sleeveworks.functions.scalars import base_name, lp_id_of_file, null_spellings
 from sleeveworks.operators.extract import parse_documents
+from sleeveworks.sources.manifest import scan_files
+from sleeveworks.sources.places import qualified
 
 
 def path_below(spark: SparkSession, path: Column, directory: str) -> Column:
-    """A file's path, given as a URI, below the folder that was read. Where ``directory`` is the file, its name; where it is a
+    """A file's path below the folder that was read. Where ``directory`` is the file, its name; where it is a
     pattern, the whole path without file system and host."""
-    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(directory)
-    folder = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(folder)
-    root = folder.toUri().getPath().strip("/")
-    path = F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
+    root = re.sub("^[A-Za-z][A-Za-z0-9+.-]*:(?://[^/]*)?", "", qualified(spark, directory)).strip("/")
     bare = F.regexp_replace(path, "^(?:[A-Za-z][A-Za-z0-9+.-]*:(?://[^/]*)?)?/+", "")
     inside = F.substr(bare, F.lit(len(root) + 2 if root else 1))
     return F.when(bare == root, base_name(bare)).when(bare.startswith(f"{root}/" if root else ""), inside).otherwise(bare)
@@ -26,13 +27,12 @@ def read_whole_files(spark: SparkSession, directory: str, name_glob: str, column
     # wholetext must be an argument: .text() overrides the option of the same name.
     files = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", name_glob).text(
         directory, wholetext=True)
-    name = path_below(spark, F.col("_metadata.file_path"), directory)
-    texts = files.select(name.alias("file_name"), F.col("value").alias(column))
-    # The readers, also that of binary files, give no row for a file without a byte; the listing names it.
-    listed = spark.createDataFrame([(f,) for f in files.inputFiles()], "path string")
-    listed = listed.select(path_below(spark, F.col("path"), directory).alias("file_name"))
-    empty = listed.join(files.select(name.alias("file_name")), "file_name", "left_anti")
-    rows = texts.unionByName(empty.withColumn(column, F.lit("")))
+    texts = files.select(path_below(spark, F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B"))), directory).alias("file_name"),
+                         F.col("value").alias(column))
+    # The reader gives no row for a file without a byte; the listing has it.
+    empty = scan_files(spark, directory, name_glob).where("length = 0").select(
+        path_below(spark, F.col("path"), directory).alias("file_name"), F.lit("").alias(column))
+    rows = texts.unionByName(empty)
     return rows.select(lp_id_of_file(base_name(F.col("file_name"))).alias("lp_id"), "file_name", column)
 
 

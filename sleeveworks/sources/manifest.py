@@ -1,26 +1,26 @@
 """File manifests: which albums exist and which files they have."""
 
+import json
 import re
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sleeveworks.functions.scalars import base_name
+from sleeveworks.sources.datasources import register
+from sleeveworks.sources.places import matching
 
 
 def scan_files(spark: SparkSession, base_dir: str, name_glob: str = "*") -> DataFrame:
-    """``path, length, modified`` of all files below a folder. File contents are not read.
+    """``path, length, modified`` of all files below a folder, also of those without a byte. File contents are not read.
 
-    Spark lists the folder and keeps the listing on the driver. For archives of many millions
-    of files, pass the storage's own inventory table to ``manifest`` instead.
+    Folders are listed by the tasks. ``base_dir`` may be a pattern. Where the storage has an inventory table of its
+    own, it can be passed to ``manifest`` instead.
     """
-    files = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", name_glob)
-        .load(base_dir)
-    )
-    return files.select("path", "length", F.col("modificationTime").alias("modified"))
+    register(spark)
+    tasks = 4 * spark.sparkContext.defaultParallelism
+    return spark.read.format("folder_listing").options(
+        roots=json.dumps(matching(spark, base_dir)), glob=name_glob, partitions=tasks).load()
 
 
 def manifest(files: DataFrame, base_dir: str, prefix: str = "LP") -> DataFrame:

@@ -1,11 +1,10 @@
 """Writing tables, CSV and one-file-per-album exports."""
 
-import uuid
-from collections.abc import Iterator
-
-import pyarrow as pa
-from pyarrow import fs
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from sleeveworks.sources.datasources import register
+from sleeveworks.sources.places import qualified
 
 # Rows per CSV file. A CSV file with line breaks in values is read by one task.
 CSV_ROWS_PER_FILE = 1_000_000
@@ -34,32 +33,8 @@ def export_files(df: DataFrame, directory: str, name: str, body: str) -> None:
     """One file per row, named by column ``name``, sub-folders included, holding the text in ``body``.
 
     For hand-over to tools that expect one file per album. ``directory`` must be reachable by
-    all executors. Every file is written under a task's own name and then put in place, so a
-    repeated task leaves the same result.
+    all executors. Either all files are put in place, or, if the write fails, none.
     """
-    spark = df.sparkSession
-    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(directory)
-    # A path without a scheme is one of the cluster's file system, as for every other sink.
-    uri = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(place).toString()
-    uri = uri.replace("file:/", "file:///", 1) if uri.startswith("file:/") and not uri.startswith("file://") else uri
-
-    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        target, root = fs.FileSystem.from_uri(uri)
-        target.create_dir(root, recursive=True)
-        for batch in batches:
-            names = batch.column(0).to_pylist()
-            for file_name, text in zip(names, batch.column(1).to_pylist()):
-                draft = f"{root}/.{uuid.uuid4().hex}"
-                try:
-                    with target.open_output_stream(draft) as out:
-                        out.write((text or "").encode())
-                    if "/" in file_name:
-                        target.create_dir(f"{root}/{file_name}".rpartition("/")[0], recursive=True)
-                    target.move(draft, f"{root}/{file_name}")
-                except Exception:
-                    if target.get_file_info(draft).type != fs.FileType.NotFound:
-                        target.delete_file(draft)
-                    raise
-            yield pa.RecordBatch.from_arrays([pa.array(names, pa.string())], names=["file_name"])
-
-    df.select(name, body).mapInArrow(write, "file_name string").write.format("noop").mode("overwrite").save()
+    spark = register(df.sparkSession)
+    df.select(F.col(name).cast("string").alias("name"), F.col(body).cast("string").alias("body")).write.format("file_per_row").option(
+        "path", qualified(spark, directory)).mode("append").save()

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sleeveworks.functions.scalars import lp_id_of_file
+from sleeveworks.operators import extract
 
 
 def arriving_files(spark: SparkSession, directory: str, name_glob: str, column: str,
@@ -44,3 +45,25 @@ def process_new(arriving: DataFrame, transform: Callable[[DataFrame], DataFrame]
         .start(output)
         .awaitTermination()
     )
+
+
+def process_split(arriving: DataFrame, rows: Callable[[DataFrame], DataFrame], output: str, quarantine: str,
+                  checkpoint: str, how: str = "greedy") -> None:
+    """Documents of everything not seen under ``checkpoint`` yet: ``rows`` of the usable ones to ``output``, the unusable
+    ones with their reason to ``quarantine``.
+
+    Every batch is decoded once and written to a folder named by its number in either table, which replaces
+    what an earlier try of that batch left. So a batch that is repeated neither loses nor doubles rows.
+    """
+    def write(batch: DataFrame, number: int) -> None:
+        parsed = extract.parse_documents(batch, how=how).persist()
+        try:
+            rows(parsed).write.mode("overwrite").parquet(f"{output}/batch={number}")
+            extract.quarantine(parsed).write.mode("overwrite").parquet(f"{quarantine}/batch={number}")
+        finally:
+            parsed.unpersist()
+
+    (
+        arriving.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True).start().awaitTermination()
+    )

@@ -36,7 +36,7 @@ def test_query(spark, other, name):
     assert have == want and have
 
 
-IN_PYTHON = {"enrich_text", "recognise_covers", "enrich_audio", "enrich_capped"}
+IN_PYTHON = {"enrich_text", "recognise_covers", "enrich_audio", "enrich_capped", "calls_in_flight", "loose_blocks"}
 
 
 @pytest.mark.parametrize("name", sorted(set(QUERIES) - {"incremental_arrival", "extraction_store", "csv_tracks"}))

@@ -2,6 +2,8 @@
 
 import datetime as dt
 import json
+import os
+import shutil
 
 import pytest
 
@@ -149,11 +151,11 @@ def test_paid_answers_survive_a_failing_run(spark, rows, archive):
     log, answer, asked = archive / "model.log", make_model(str(archive / "model.log")), []
     real = catalogue.infer
 
-    def dying(rows_, *args):
+    def dying(rows_, *args, **calling):
         asked.append(1)
         if len(asked) == 5:
             raise RuntimeError("the driver dies")
-        return real(rows_, *args)
+        return real(rows_, *args, **calling)
 
     catalogue.infer = dying
     try:
@@ -167,6 +169,70 @@ def test_paid_answers_survive_a_failing_run(spark, rows, archive):
     assert rows(run.table("extractions"), "lp_id") == [(lp,) for lp in names]
 
 
+def test_answers_of_a_lost_task_are_not_paid_again(spark, rows, archive):
+    """A worker dies in the middle of a portion; the next run asks for what has no answer yet, and an answer that turns
+    out unusable may be asked for again."""
+    run = Run(spark, str(archive / "albums"), str(archive / "work"), "A. B", "", dt.date(2024, 9, 5))
+    names = [f"LP{i}" for i in range(1, 9)]
+    (archive / "texts").mkdir()
+    for lp in names:
+        (archive / "texts" / f"{lp}_combined.txt").write_text(f"Front Cover:\n{lp} x")
+    run.load_texts(str(archive / "texts"))
+    log = archive / "model.log"
+
+    def fragile():
+        answer = make_model(str(log), broken=["LP3"])()
+
+        def one(prompt):
+            if len(lines(log)) >= 4:
+                os._exit(1)
+            return answer(prompt)
+        return one
+
+    with pytest.raises(Exception):
+        run.ask_model("Extract.\n", fragile)
+    paid = lines(log)
+    run.ask_model("Extract.\n", make_model(str(log), broken=["LP3"]))
+    assert len(paid) >= 4 and sorted(lines(log)) == names
+    run.ask_model("Extract.\n", make_model(str(log)))
+    assert sorted(lines(log)) == sorted([*names, "LP3"])
+    assert rows(run.table("extractions"), "lp_id") == [(lp,) for lp in names]
+
+
+def test_two_texts_of_an_album(spark, rows, archive):
+    """Each has a document of its own, and each is paid for once."""
+    run = Run(spark, str(archive / "albums"), str(archive / "work"), "A. B", "", dt.date(2024, 9, 5))
+    for folder in ("a b#1", "b%20"):
+        (archive / "texts" / folder).mkdir(parents=True)
+        (archive / "texts" / folder / "LP1_combined.txt").write_text(f"Front Cover:\nLP1 {folder}")
+    log = archive / "model.log"
+    for _ in range(2):
+        run.load_texts(str(archive / "texts"))
+        run.ask_model("Extract.\n", make_model(str(log)))
+    assert lines(log) == ["LP1", "LP1"]
+    assert rows(run.table("extractions"), "lp_id", "file_name") == [("LP1", "a b#1/LP1_ai_output.json"), ("LP1", "b%20/LP1_ai_output.json")]
+    run.flatten(spark.createDataFrame([], "lp_id string, file_name string, seconds double"))
+    run.export(str(archive / "out dir#"))
+    assert (archive / "out dir#" / "texts" / "b%20" / "LP1_combined.txt").read_text() == "Front Cover:\nLP1 b%20"
+
+
+@pytest.mark.parametrize("name", ["al bums", "al#bums", "al%20bums", "al+é"])
+def test_odd_folder_names(spark, rows, tmp_path, name):
+    """Blanks, ``#`` and ``%`` in any folder; a cover without a byte is a cover."""
+    base = tmp_path / name
+    for lp in ("LP1", "LP2 x"):
+        (base / lp).mkdir(parents=True)
+        (base / lp / f"{lp}_cover01.jpg").write_text("" if lp == "LP1" else "front")
+        (base / lp / f"{lp}_cover02.jpg").write_text("back")
+        (base / lp / f"{lp}_1z1_A01.mp3").write_text("")
+    run = Run(spark, str(base), str(tmp_path / "work"), "A. B", "", dt.date(2024, 9, 5), workers=2, in_flight=3, timeout=20)
+    run.recognise_covers(lambda: bytes.decode, contents=True)
+    assert rows(run.table("ocr_text"), "lp_id", "combined_text") == [
+        ("LP1", "Front Cover:\n\nBack Cover:\nback"), ("LP2 x", "Front Cover:\nfront\nBack Cover:\nback")]
+    run.measure_audio(lambda: lambda content: float(len(content)))
+    assert rows(run.table("audio"), "lp_id", "seconds") == [("LP1", 0.0), ("LP2 x", 0.0)]
+
+
 def test_documents_are_known_by_file(spark, rows, archive):
     run = Run(spark, str(archive / "albums"), str(archive / "work"), "A. B", "", dt.date(2024, 9, 5))
     inbox = archive / "in"
@@ -222,3 +288,30 @@ def test_arriving_files_are_processed_once(spark, rows, tmp_path):
     assert run() == [("LP1", "A")]
     put("LP2", "B")
     assert run() == [("LP1", "A"), ("LP2", "B")]
+
+
+def test_a_repeated_batch_changes_nothing(spark, rows, tmp_path):
+    """Good and bad rows of a stream in two tables; a batch whose commit was lost is processed again."""
+    inbox, good, bad, state = tmp_path / "in", str(tmp_path / "good"), str(tmp_path / "bad"), tmp_path / "state"
+    inbox.mkdir()
+
+    def put(lp, text):
+        (inbox / f"{lp}_ai_output.json").write_text(text)
+
+    def run():
+        arriving = arrival.arriving_files(spark, str(inbox), "*.json", "response")
+        arrival.process_split(arriving, extract.track_rows, good, bad, str(state), how="whole")
+        return rows(spark.read.parquet(good), "LP_ID", "Face"), rows(spark.read.parquet(bad), "lp_id", "reason")
+
+    put("LP1", json.dumps({"Track Info": [{"Face": "A"}, {"Face": "B"}]}))
+    put("LP2", "{")
+    first = [("LP1", "A"), ("LP1", "B")], [("LP2", "invalid_json")]
+    assert run() == first and run() == first
+    put("LP3", json.dumps({"Track Info": [{"Face": "C"}]}))
+    put("LP4", "[1]")
+    second = first[0] + [("LP3", "C")], first[1] + [("LP4", "not_object")]
+    assert run() == second
+    commits = sorted((p for p in (state / "commits").iterdir() if p.name.isdigit()), key=lambda p: int(p.name))
+    shutil.copytree(state, tmp_path / "state2", ignore=lambda _, names: {commits[-1].name, f".{commits[-1].name}.crc"} & set(names))
+    state = tmp_path / "state2"
+    assert run() == second
