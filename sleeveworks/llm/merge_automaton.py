@@ -21,7 +21,7 @@ the arcs that lead to the end are the encoding. Decoding emits the labels of the
 """
 
 import json
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from itertools import chain
 
 import numpy as np
@@ -31,10 +31,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from sleeveworks.llm.flatbytes import pieces
+from sleeveworks.llm.flatbytes import pieces, ranges
 
 #: Bytes of text worked on at a time, and words and arcs remembered per worker.
-BLOCK, REMEMBERED = 1 << 20, 1 << 18
+BLOCK, REMEMBERED = 1 << 21, 1 << 18
+#: Bytes of a word that is spelled together with others.
+SHORT = 64
 
 # How byte-level tokenizers split texts into words.
 WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -59,6 +61,94 @@ def _byte_letters() -> dict[str, int]:
     return {chr(b): b for b in printable} | {chr(256 + i): b for i, b in enumerate(hidden)}
 
 
+class _Table:
+    """Numbers by key, looked up very many at a time: open addressing, one slot further where a slot is taken."""
+
+    def __init__(self, values: dict[int, int]):
+        self._shift = np.uint64(64 - max(2 * len(values), 8).bit_length() - 1)
+        self._mask = (1 << (64 - int(self._shift))) - 1
+        self._keys, self._values = np.full(self._mask + 1, -1, np.int64), np.full(self._mask + 1, -1, np.int32)
+        keys, found = np.array([*values], np.int64), np.array([*values.values()], np.int32)
+        slot = self._slot(keys)
+        while len(keys):
+            free = self._keys[slot] < 0
+            self._keys[slot[free]] = keys[free]
+            mine = self._keys[slot] == keys
+            self._values[slot[mine]] = found[mine]
+            keys, found, slot = keys[~mine], found[~mine], slot[~mine] + 1 & self._mask
+
+    def _slot(self, keys: np.ndarray) -> np.ndarray:
+        return (keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> self._shift).astype(np.int64)
+
+    def get(self, keys: np.ndarray) -> np.ndarray:
+        """The keys' numbers, -1 where there is none."""
+        slot = self._slot(keys)
+        there = self._keys[slot]
+        out = np.where(there == keys, self._values[slot], -1)
+        open_ = np.flatnonzero((there != keys) & (there >= 0))
+        while len(open_):
+            slot[open_] = slot[open_] + 1 & self._mask
+            there = self._keys[slot[open_]]
+            hit = there == keys[open_]
+            out[open_[hit]] = self._values[slot[open_[hit]]]
+            open_ = open_[~hit & (there >= 0)]
+        return out
+
+
+class _Memory:
+    """Ids of words, two generations of them: what is not met any more goes when the younger one is full."""
+
+    def __init__(self, fixed: dict[str, int]):
+        self._fixed = fixed
+        self._older = None
+        self._begin()
+
+    def _begin(self) -> None:
+        self._index = {word: k for k, word in enumerate(self._fixed)}
+        self._ids = np.array([*self._fixed.values()], np.int32)
+        self._sizes = np.ones(len(self._fixed), np.int64)
+        self._starts = np.arange(len(self._fixed))
+
+    def _of(self, k: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        sizes = self._sizes[k]
+        return self._ids[ranges(self._starts[k], sizes)[0]], sizes
+
+    def __len__(self) -> int:
+        return len(self._index)
+
+    def unknown(self, words: Iterable[str]) -> list[str]:
+        """The different words that are not remembered; those of the older generation become young again."""
+        if len(self._index) >= REMEMBERED:
+            self._older = _Memory.__new__(_Memory)
+            self._older.__dict__.update(self.__dict__, _older=None)
+            self._begin()
+        new = [word for word in set(words) if word not in self._index]
+        if self._older is not None:
+            old = self._older._index
+            again = [word for word in new if word in old]
+            self.add(again, *self._older._of(np.array([old[word] for word in again], np.int64)))
+            new = [word for word in new if word not in old]
+        return new
+
+    def add(self, words: list[str], ids: np.ndarray, sizes: np.ndarray) -> None:
+        first = len(self._sizes)
+        self._index.update(zip(words, range(first, first + len(words))))
+        self._starts = np.concatenate([self._starts, len(self._ids) + np.cumsum(sizes) - sizes])
+        self._sizes = np.concatenate([self._sizes, sizes])
+        self._ids = np.concatenate([self._ids, ids])
+
+    def forget(self, words: list[str]) -> None:
+        for word in words:
+            self._index.pop(word, None)
+
+    def look_up(self, split: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of lists of words in a row, and where each list's begin."""
+        ends = np.cumsum([0, *map(len, split)])
+        k = np.fromiter(map(self._index.__getitem__, chain.from_iterable(split)), np.int64, int(ends[-1]))
+        ids, sizes = self._of(k)
+        return ids, np.concatenate([[0], np.cumsum(sizes)])[ends]
+
+
 class Automaton:
     """A compiled tokenizer file."""
 
@@ -92,11 +182,12 @@ class Automaton:
         self.special = {t["content"]: t["id"] for t in added}
         self._moves, self._back, self._longest, self._shorter = self._spelling()
         self._sizes = [len(label) for label in self.labels]
-        self.emitted = {i: label for i, label in zip(self.ids, self.labels)}
-        self.emitted |= {t: b"".join(bytes([letters[c]]) if c in letters else c.encode() for c in text) for text, t in self.special.items()}
+        # The same tables for very many words at a time, and a memory of arcs: key and answer by slot.
+        self._table, self._taken = _Table(self._moves), _Table({u << 32 | v: k for (u, v), k in self.taken.items()})
+        self._arrays = [np.array(a, np.int32) for a in (self._back, self._longest, self._shorter, self._sizes, self.copies, self.follows, self.ids)]
+        self._seen, self._answer = np.full(REMEMBERED, -1, np.int64), np.zeros(REMEMBERED, bool)
         self._arcs: dict[int, bool] = {}
-        self._known: dict[str, tuple[int, ...]] = {}
-        self._older: dict[str, tuple[int, ...]] = {}
+        self._memory = _Memory(self.special)
         self._words, self._late = regex.compile(WORDS), regex.compile(f"[{_later()}]")
         late = _later()
         self._exact = regex.compile(WORDS.replace(r"\p{L}+", rf"[\p{{L}}--[{late}]]+").replace(r"\p{N}+", rf"[\p{{N}}--[{late}]]+").replace(
@@ -174,71 +265,163 @@ class Automaton:
 
     def path(self, word: bytes) -> list[int]:
         """States on the way through a word."""
-        moves, back, longest, shorter, sizes, arcs = self._moves, self._back, self._longest, self._shorter, self._sizes, self._arcs
-        reached, at, end = [-1], 0, 0
+        moves, back, longest, shorter, sizes, arcs = self._moves.get, self._back, self._longest, self._shorter, self._sizes, self._arcs.get
+        labels, at = [-1], 0
         for byte in word:
-            end += 1
-            there = moves.get(at << 8 | byte)
+            there = moves(at << 8 | byte)
             while there is None:
                 at = back[at]
-                there = moves.get(at << 8 | byte)
+                there = moves(at << 8 | byte)
             at = there
-            label = longest[at]
-            while sizes[label] < end:
-                before = reached[end - sizes[label]]
-                found = arcs.get(before << 32 | label)
-                if found or found is None and self.has_arc(before, label):
-                    break
-                label = shorter[label]
-            reached.append(label)
+            labels.append(longest[at])
+        # Only the places that labels begin at are looked at, from the end on, each once.
+        size = len(word)
+        reached, wanted = [-1] * (size + 1), [size] if size else []
+        while wanted:
+            end = wanted[-1]
+            label = labels[end]
+            start = end - sizes[label]
+            if start:
+                before = reached[start]
+                if before < 0:
+                    wanted.append(start)
+                    continue
+                found = arcs(before << 32 | label)
+                if not (self.has_arc(before, label) if found is None else found):
+                    labels[end] = shorter[label]
+                    continue
+            reached[end] = label
+            wanted.pop()
         way = []
-        while end:
-            way.append(reached[end])
-            end -= sizes[reached[end]]
+        while size:
+            way.append(reached[size])
+            size -= sizes[reached[size]]
         return way[::-1]
 
-    def _encode_plain(self, text: str) -> list[int]:
-        if self.prefix and text and not text[0].isspace():
-            text = " " + text
-        out, known = [], self._known
-        for word in self._words.findall(text):
-            found = known.get(word)
-            if found is None:
-                if self._late.search(word):
-                    return [i for w in self._exact.findall(text) for i in self._spell(w)]
-                found = self._spell(word)
-            out += found
+    def _have_arcs(self, state: np.ndarray, label: np.ndarray) -> np.ndarray:
+        """``has_arc`` of very many pairs."""
+        key = state.astype(np.int64) << 32 | label
+        slot = (key.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93) >> np.uint64(40)).astype(np.int64) % REMEMBERED
+        out = self._answer[slot]
+        unknown = np.flatnonzero(self._seen[slot] != key)
+        if not len(unknown):
+            return out
+        copies, follows = self._arrays[4], self._arrays[5]
+        todo, a, b = unknown, state[unknown].astype(np.int64), label[unknown].astype(np.int64)
+        made = np.full(len(todo), len(self.labels))
+        while len(todo):
+            when = self._taken.get(a << 32 | b)
+            gone = (when >= 0) & (when < made)
+            over = gone | ((a < 256) & (b < 256))
+            out[todo[over]] = ~gone[over]
+            todo, a, b = todo[~over], a[~over], b[~over]
+            made = np.where(a >= b, a - 256, b - 256 + 1)
+            a, b = np.where(a >= b, copies[a], a), np.where(b >= a, follows[b], b)
+        self._seen[slot[unknown]], self._answer[slot[unknown]] = key[unknown], out[unknown]
         return out
 
-    def _spell(self, word: str) -> tuple[int, ...]:
-        found = self._older.get(word) or tuple(map(self.ids.__getitem__, self.path(word.encode())))
-        if len(word) <= 64 and not self._late.search(word):
-            if len(self._known) >= REMEMBERED:
-                # The dictionary stays the same, as a text in work refers to it.
-                self._older = dict(self._known)
-                self._known.clear()
-            self._known[word] = found
-        return found
+    def paths(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of very many words in a row, and how many each has: byte by byte, the state at every place of every word."""
+        back, longest, shorter, sizes, _, _, ids = self._arrays
+        order = sorted(range(len(words)), key=lambda i: -len(words[i]))
+        length = np.array([len(words[i]) for i in order], np.int64)
+        width = int(length.max(initial=0))
+        # Every word in a row of its own, filled up with zeros.
+        body = np.frombuffer(b"".join(words[i].ljust(width, b"\0") for i in order), np.uint8).reshape(len(words), width)
+        reached = np.full((len(words), width + 1), -1, np.int32)
+        at = np.zeros(len(words), np.int64)
+        for end in range(1, width + 1):
+            many = int(np.searchsorted(-length, -end, "right"))
+            byte = body[:many, end - 1].astype(np.int64)
+            there = self._table.get(at[:many] << 8 | byte)
+            lost = np.flatnonzero(there < 0)
+            while len(lost):
+                at[lost] = back[at[lost]]
+                there[lost] = self._table.get(at[lost] << 8 | byte[lost])
+                lost = lost[there[lost] < 0]
+            at[:many] = there
+            label = longest[there]
+            todo = np.flatnonzero(sizes[label] < end)
+            while len(todo):
+                wrong = ~self._have_arcs(reached[todo, end - sizes[label[todo]]], label[todo])
+                todo = todo[wrong]
+                label[todo] = shorter[label[todo]]
+                todo = todo[sizes[label[todo]] < end]
+            reached[:many, end] = label
+        on_way = np.zeros(reached.shape, bool)
+        row, end = np.arange(len(words)), length.copy()
+        while len(row := row[end > 0]):
+            end = end[end > 0]
+            on_way[row, end] = True
+            end = end - sizes[reached[row, end]]
+        # Back into the order of the words.
+        counts, place = on_way.sum(axis=1), np.argsort(np.array(order, np.int64), kind="stable")
+        spots, _ = ranges((np.cumsum(counts) - counts)[place], counts[place])
+        return ids[reached[on_way]][spots], counts[place]
+
+    def _split(self, text: str, exact: bool) -> list[str]:
+        """The words of a text, added tokens among them."""
+        words = self._exact if exact else self._words
+        if not self.prefix and not any(name in text for name in self.special):
+            return words.findall(text)
+        out = []
+        for k, part in enumerate(self._special.split(text) if self._special else [text]):
+            if k % 2:
+                out.append(part)
+            else:
+                out += words.findall(" " + part if self.prefix and part and not part[0].isspace() else part)
+        return out
+
+    def encode_all(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the texts in a row, and where each text's begin; names of added tokens in a text are those tokens."""
+        split = [self._split(text, False) for text in texts]
+        fresh = self._memory.unknown(chain.from_iterable(split))
+        joined = "".join(fresh)
+        # Words that were told apart wrongly hold a late character, and such words are never remembered.
+        late = not joined.isascii() and self._late.search(joined) is not None
+        if late:
+            split = [self._split(text, not text.isascii() and self._late.search(text) is not None) for text in texts]
+            fresh = self._memory.unknown(chain.from_iterable(split))
+        spelled = [w.encode() for w in fresh]
+        short = [i for i, w in enumerate(spelled) if len(w) <= SHORT]
+        ids, sizes = self.paths([spelled[i] for i in short])
+        self._memory.add([fresh[i] for i in short], ids, sizes)
+        rare = [fresh[i] for i, w in enumerate(spelled) if len(w) > SHORT]
+        ways = [self._arrays[6][self.path(w.encode())] for w in rare]
+        self._memory.add(rare, np.concatenate([np.zeros(0, np.int32), *ways]), np.array([len(w) for w in ways], np.int64))
+        ids, ends = self._memory.look_up(split)
+        self._memory.forget(rare + [w for w in fresh if late and self._late.search(w)])
+        return ids, ends
 
     def encode(self, text: str) -> list[int]:
-        """Ids of a text; names of added tokens in it are those tokens."""
-        if self._special is None or not self._special.search(text):
-            return self._encode_plain(text)
-        parts = self._special.split(text)
-        return [i for k, part in enumerate(parts) for i in ([self.special[part]] if k % 2 else self._encode_plain(part))]
+        """Ids of one text."""
+        return self.encode_all([text])[0].tolist()
+
+
+class Labels:
+    """The labels that ids emit; all that decoding needs of a tokenizer file."""
+
+    def __init__(self, tokenizer: bytes):
+        spec, letters = json.loads(tokenizer), _byte_letters()
+
+        def label(text: str) -> bytes:
+            return b"".join(bytes([letters[c]]) if c in letters else c.encode() for c in text)
+
+        self._emitted = {i: label(token) for token, i in spec["model"]["vocab"].items()}
+        self._emitted |= {t["id"]: label(t["content"]) for t in spec.get("added_tokens") or []}
 
     def decode(self, ids: list[int]) -> str:
         """The text of ids; bytes that are no UTF-8 become U+FFFD, unknown ids nothing."""
-        return b"".join([self.emitted.get(i, b"") for i in ids]).decode("utf-8", "replace")
+        return b"".join([self._emitted.get(i, b"") for i in ids]).decode("utf-8", "replace")
 
 
-_compiled: dict[int, Automaton] = {}
+_compiled: dict[tuple[type, int], Automaton | Labels] = {}
 
 
-def _automaton(tokenizer: bytes) -> Automaton:
-    key = hash(tokenizer)
+def _machine(kind: type, tokenizer: bytes) -> Automaton | Labels:
+    key = kind, hash(tokenizer)
     if key not in _compiled:
-        _compiled[key] = Automaton(tokenizer)
+        _compiled[key] = kind(tokenizer)
     return _compiled[key]
 
 
@@ -248,11 +431,6 @@ def _file(spark: SparkSession, path: str):
         return spark.sparkContext.broadcast(file.read())
 
 
-def _lists(values: list[list[int]]) -> pa.ListArray:
-    ends = np.cumsum([0, *map(len, values)]).astype(np.int32)
-    return pa.ListArray.from_arrays(ends, pa.array(np.fromiter(chain.from_iterable(values), np.int32, int(ends[-1]))))
-
-
 def _with(df: DataFrame, name: str, kind: str) -> StructType:
     return StructType([*df.schema.fields, *StructType.fromDDL(f"`{name}` {kind}").fields])
 
@@ -264,9 +442,10 @@ def encode(docs: DataFrame, tokenizer_file: str, text: str = "text", ids: str =
     column, file = kept.columns.index(text), _file(docs.sparkSession, tokenizer_file)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        machine = _automaton(file.value)
+        machine = _machine(Automaton, file.value)
         for batch in pieces(batches, column, BLOCK):
-            yield batch.append_column(ids, _lists([machine.encode(t or "") for t in batch.column(column).to_pylist()]))
+            found, ends = machine.encode_all([t or "" for t in batch.column(column).to_pylist()])
+            yield batch.append_column(ids, pa.ListArray.from_arrays(ends.astype(np.int32), pa.array(found)))
 
     return kept.mapInArrow(run, _with(kept, ids, "array<int>"))
 
@@ -277,7 +456,7 @@ def decode(rows: DataFrame, tokenizer_file: str, ids: str = "ids", text: str = "
     column, file = kept.columns.index(ids), _file(rows.sparkSession, tokenizer_file)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        machine = _automaton(file.value)
+        machine = _machine(Labels, file.value)
         for whole in batches:
             for start in range(0, whole.num_rows, 256):
                 batch = whole.slice(start, 256)

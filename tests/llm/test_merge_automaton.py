@@ -25,6 +25,12 @@ def machine():
         return M.Automaton(file.read())
 
 
+@pytest.fixture(scope="module")
+def labels():
+    with open(FILE, "rb") as file:
+        return M.Labels(file.read())
+
+
 def tokenizer(merges, added=(), **changes):
     """A tokenizer file with all bytes and the given merges."""
     tokens = [*M._byte_letters(), *dict.fromkeys(a + b for a, b in merges)]
@@ -74,32 +80,40 @@ POOL = ["a", "b", "ab", "the", " ", "  ", "\n", "é", "日本", "1", "23", "'s",
         "\U0003d000", "\x85", "​", "é", "🙂", "aaaa", "\t", "\r\n", "'", "᛾"]
 
 
-def test_library(library, machine):
+def test_library(library, machine, labels):
     draw = random.Random(2)
     texts = ["".join(draw.choice(POOL) for _ in range(draw.randint(0, 25))) for _ in range(3000)]
     texts += ["".join(chr(draw.choice([draw.randint(0, 0x2FF), draw.randint(0, 0xD7FF), draw.randint(0xE000, 0x10FFFF)])) for _ in range(20))
               for _ in range(2000)]
     texts += ["".join(draw.choice("ab =-") for _ in range(draw.randint(0, 80))) for _ in range(1000)]
     texts += ["a" * 20_000, " " * 5000, "ab" * 9000 + "!", "<|endoftext|><|endoftext|>x<|endoftext", "".join(map(chr, range(0x500, 0x900)))]
-    for text in texts:
-        ids = machine.encode(text)
+    flat, ends = machine.encode_all(texts)
+    for text, a, b in zip(texts, ends, ends[1:]):
+        ids = flat[a:b].tolist()
         assert ids == library.encode(text, add_special_tokens=False).ids
-        assert machine.decode(ids) == library.decode(ids, skip_special_tokens=False) == text
+        assert labels.decode(ids) == library.decode(ids, skip_special_tokens=False) == text
     for _ in range(500):
         ids = [draw.randint(0, 50256) for _ in range(draw.randint(1, 12))]
-        assert machine.decode(ids) == library.decode(ids, skip_special_tokens=False)
+        assert labels.decode(ids) == library.decode(ids, skip_special_tokens=False)
 
 
-def test_memory_is_bounded(machine, library, monkeypatch):
-    monkeypatch.setattr(M, "REMEMBERED", 20)
+def test_memory_is_bounded(library, monkeypatch):
+    """Words that went are spelled again, those that come again stay; long ones and late ones are not kept."""
+    monkeypatch.setattr(M, "REMEMBERED", 60)
+    with open(FILE, "rb") as file:
+        machine = M.Automaton(file.read())
     texts = [" ".join(f"{chr(97 + i % 26)}{i * 7919 % 100_003}" for i in range(k, k + 50)) for k in range(0, 500, 25)]
     assert [machine.encode(t) for t in texts] == [library.encode(t, add_special_tokens=False).ids for t in texts]
-    assert len(machine._known) <= 20
+    assert len(machine._memory) < 60 + 110
+    for text in ["x" * 200, "\u0558a", "a\u0558 b", "\u0558"]:
+        assert machine.encode(text) == library.encode(text, add_special_tokens=False).ids
+    assert not any(len(w) > 64 or "\u0558" in w for w in machine._memory._index)
 
 
 def test_other_files(library):
-    added = M.Automaton(tokenizer([("a", "b")], added=["[x]", "[x][y]"]))
-    assert added.encode("ab[x][y]a[x]") == [256, 258, added.ids[97], 257] and added.decode([256, 258, 7777]) == "ab[x][y]"
+    file = tokenizer([("a", "b")], added=["[x]", "[x][y]"])
+    added = M.Automaton(file)
+    assert added.encode("ab[x][y]a[x]") == [256, 258, added.ids[97], 257] and M.Labels(file).decode([256, 258, 7777]) == "ab[x][y]"
     prefixed = M.Automaton(tokenizer([("Ġ", "a")], pre_tokenizer={"type": "ByteLevel", "add_prefix_space": True, "use_regex": True}))
     assert prefixed.encode("a") == [256] and prefixed.encode(" a") == [256] and prefixed.encode("") == []
     for changes in ({"normalizer": {"type": "NFC"}}, {"pre_tokenizer": {"type": "Whitespace"}}):
