@@ -29,8 +29,8 @@ TREES, LEAF, SAMPLE = 4, 2048, 4000
 OVERLAP = 0.03
 #: A split that leaves more than this share of its vectors on one side is not worth its copies.
 WORST = 0.8
-#: Vectors in a block of a dense leaf.
-BLOCK = 2048
+#: Vectors in a block of a dense leaf, and about how many of a node a task sends down its subtree.
+BLOCK, SHARE = 2048, 50_000
 
 
 def _unit(vectors: np.ndarray) -> np.ndarray:
@@ -86,49 +86,57 @@ def _fit(leaf: int) -> Callable[[pd.DataFrame], pd.DataFrame]:
         unit = _unit(np.stack(rows["vector"].to_numpy()).astype(np.float64))
         splits = _grow(unit, n / len(unit), leaf, np.random.default_rng(node & (2**63 - 1)))
         return pd.DataFrame({
-            "node": [node], "links": [[int(x) for s in splits for x in s[:3]]], "thresholds": [[s[3] for s in splits]],
+            "node": [node], "n": [n], "links": [[int(x) for s in splits for x in s[:3]]], "thresholds": [[s[3] for s in splits]],
             "directions": [[float(x) for s in splits for x in s[4]]],
         })
     return run
 
 
-_TREE = "node long, links array<long>, thresholds array<double>, directions array<double>"
+_TREE = "node long, n long, links array<long>, thresholds array<double>, directions array<double>"
+_CUTS = ["links", "thresholds", "directions"]
 
 
-def _route(rows: pa.Table) -> list[list[int]]:
-    """Leaves of each vector in its node's subtree, as numbers within the subtree."""
-    out = [[] for _ in range(len(rows))]
-    nodes = rows["node"].to_numpy()
-    for node in np.unique(nodes):
-        at = np.flatnonzero(nodes == node)
-        links = np.array(rows["links"][int(at[0])].as_py(), np.int64).reshape(-1, 3)
-        thresholds = rows["thresholds"][int(at[0])].as_py()
-        unit = _unit(np.stack(rows["vector"].take(pa.array(at)).to_numpy()).astype(np.float64))
-        directions = np.array(rows["directions"][int(at[0])].as_py()).reshape(len(links), -1)
-        place = {int(s[0]): i for i, s in enumerate(links)}
-        work = [(0, np.arange(len(at)))]
+class _Subtree:
+    """The splits of one node."""
+
+    def __init__(self, row: dict):
+        self.links = np.array(row["links"], np.int64).reshape(-1, 3)
+        self.thresholds = row["thresholds"]
+        self.directions = np.array(row["directions"]).reshape(len(self.links), -1)
+        self.place = {int(s[0]): i for i, s in enumerate(self.links)}
+
+    def route(self, vectors: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
+        """Which vectors go to a leaf, and to which; a vector near a split goes to several."""
+        unit = _unit(np.stack(vectors.to_numpy()).astype(np.float64))
+        work, taken, child = [(0, np.arange(len(unit)))], [], []
         while work:
             here, members = work.pop()
-            i = place[here]
-            along = unit[members] @ directions[i]
-            for child, side in ((links[i][1], along <= thresholds[i] + OVERLAP), (links[i][2], along >= thresholds[i] - OVERLAP)):
-                if child < 0:
-                    for m in members[side]:
-                        out[at[m]].append(int(child))
+            i = self.place[here]
+            along = unit[members] @ self.directions[i]
+            for down, side in ((self.links[i][1], along <= self.thresholds[i] + OVERLAP), (self.links[i][2], along >= self.thresholds[i] - OVERLAP)):
+                if down < 0:
+                    taken.append(members[side])
+                    child.append(np.full(int(side.sum()), down, np.int64))
                 elif side.any():
-                    work.append((int(child), members[side]))
-    return out
+                    work.append((int(down), members[side]))
+        return np.concatenate(taken), np.concatenate(child)
 
 
 def _descend(batches):
+    """From rows in order of node and share, each share's subtree ahead of its vectors: vectors with the leaf they go to."""
+    subtree = None
     for batch in batches:
         rows = pa.Table.from_batches([batch])
-        leaves = _route(rows)
-        counts = np.array([len(x) for x in leaves])
-        taken = np.repeat(np.arange(len(leaves)), counts)
-        child = np.array([c for x in leaves for c in x], np.int64)
-        kept = rows.select(["label", "id", "copies", "vector", "node", "tree"]).take(pa.array(taken))
-        yield from kept.append_column("child", pa.array(child)).to_batches()
+        heads = np.flatnonzero(rows["kind"].to_numpy() == 0)
+        for start, stop in zip([0, *heads], [*heads, len(rows)]):
+            if start < len(rows) and start in heads:
+                subtree = _Subtree(rows.select(_CUTS).slice(int(start), 1).to_pylist()[0])
+                start += 1
+            part = rows.slice(int(start), int(stop - start))
+            if len(part):
+                taken, child = subtree.route(part["vector"])
+                kept = part.select(["label", "id", "copies", "vector", "node", "tree"]).take(pa.array(taken))
+                yield from kept.append_column("child", pa.array(child)).to_batches()
 
 
 def _in_leaf(threshold: float) -> Callable[[pa.Table], pa.Table]:
@@ -211,7 +219,14 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.98, id: str = "vec_id"
         done = still if done is None else done.unionByName(still)
         if split.isEmpty():
             break
-        deeper = state.join(split, "node").mapInArrow(
+        # A subtree goes ahead of its node's vectors, once per share of them, and not with each.
+        shares = F.ceil(F.col("n") / F.lit(SHARE))
+        heads = split.select("*", F.explode(F.sequence(F.lit(0).cast("long"), shares - 1)).alias("share"), F.lit(0).alias("kind")).drop("n")
+        below = state.join(split.select("node", shares.alias("shares")), "node").withColumn(
+            "share", F.pmod(F.xxhash64("id"), F.col("shares"))).drop("shares").withColumn("kind", F.lit(1))
+        parts = int(vectors.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        rows_in = below.unionByName(heads, allowMissingColumns=True).repartition(parts, "node", "share").sortWithinPartitions("node", "share", "kind")
+        deeper = rows_in.mapInArrow(
             _descend, "label {0}, id long, copies long, vector array<double>, node long, tree int, child long".format(
                 state.schema["label"].dataType.simpleString()))
         deeper = deeper.withColumn("node", F.xxhash64("node", "child")).drop("child")

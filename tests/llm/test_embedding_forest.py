@@ -1,6 +1,7 @@
 import numpy as np
 import pytest
 
+from sleeveworks.llm import embedding_forest
 from sleeveworks.llm.embedding_forest import _grow, _unit, near_vectors
 
 
@@ -35,7 +36,8 @@ def vectors():
 
 # Small leaves and blocks force splits, rounds, and dense leaves in several blocks.
 @pytest.mark.parametrize("leaf, sample, block", [(2048, 4000, 2048), (20, 40, 7)])
-def test_against_plain(spark, vectors, leaf, sample, block):
+def test_against_plain(spark, vectors, leaf, sample, block, monkeypatch):
+    monkeypatch.setattr(embedding_forest, "SHARE", leaf // 2)
     table = spark.createDataFrame([(*r, "x") for r in vectors], "vec_id long, embedding array<float>, label int, leaf string").repartition(3)
     rows = [(r.vec_id, r.embedding, r.label) for r in table.collect()]
     got = near_vectors(table, leaf=leaf, sample=sample, block=block, trees=6).collect()
@@ -63,3 +65,18 @@ def test_a_dense_cluster_keeps_the_splits_around_it():
         assert sum(x < 0 for x in links) > 20
         # Every child is a leaf of its own number or a split, and every split but the root is some node's child.
         assert nodes == {0, *(x for x in links if x > 0)} and len(set(links)) == len(links)
+
+
+def test_recall_with_the_registered_constants(spark):
+    """Planted pairs on both sides of the threshold, in a label of several leaves."""
+    draw = np.random.default_rng(11)
+    base = draw.standard_normal((4000, 64))
+    unit = _unit(base)
+    near = unit[:1500] + draw.uniform(0.005, 0.03, (1500, 1)) * draw.standard_normal((1500, 64))
+    whole = np.concatenate([unit, near]).astype(np.float32)
+    exact = _unit(whole.astype(np.float64))
+    links = (exact @ exact.T >= 0.98).sum(axis=1) - 1
+    rows = spark.createDataFrame([(i, [float(x) for x in v], 1) for i, v in enumerate(whole)], "vec_id long, embedding array<float>, label int")
+    got = {r.vec_id: r.n_links for r in near_vectors(rows.repartition(4)).collect()}
+    found = np.array([got[i] for i in range(len(whole))])
+    assert links.sum() > 1000 and (found <= links).all() and found.sum() >= 0.999 * links.sum()
