@@ -297,4 +297,9 @@ ORACLES: dict[str, str] = {
               FROM (SELECT doc_id, {_text(TEMPLATE)} || text AS p FROM documents))""",
     "arrival_split": f"""{_WITH_ROWS} SELECT 'ok' AS status, count(*) AS n FROM {_ENTRIES}
         UNION ALL SELECT 'invalid_json', count(*) FROM lineitem WHERE l_suppkey % 8 >= 6 HAVING count(*) > 0""",
+    "csv_in_parts": f"SELECT lp_id, title, notes FROM {_NOTES}",
+    "resume_laid_out": "SELECT doc_id, lang FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels WHERE doc_id IS NOT NULL)",
+    "audio_laid_out": f"""SELECT t.lp_id, t.file_name, tracks, {_duration('a.seconds')} AS duration FROM (
+        SELECT lp_id, lp_id || '_1z1_' || face || track_no || '.mp3' AS file_name, count(*) AS tracks FROM {_TRACKS} GROUP BY ALL) t
+        LEFT JOIN {_AUDIO} a ON a.lp_id = t.lp_id AND a.file_name = t.file_name""",
 }

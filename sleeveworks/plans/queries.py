@@ -17,7 +17,7 @@ from sleeveworks.plans import adapters as A
 from sleeveworks.plans import catalogue as C
 from sleeveworks.schema import strings
 from sleeveworks.session import new_shared_path, tune
-from sleeveworks.sources import files, manifest, sinks
+from sleeveworks.sources import csv_parts, files, layout, manifest, sinks
 from sleeveworks.sources.places import matching, remove
 from sleeveworks.streaming import arrival
 
@@ -369,6 +369,14 @@ def csv_null_spellings(spark, sf_dir):
                        S.name_and_composer(F.col("lp_id"), F.col("notes"), parity=True).alias("combined_parity"))
 
 
+@query
+def csv_in_parts(spark, sf_dir):
+    """The same from one file, read by many tasks."""
+    path = new_shared_path(spark, "one-file")
+    sinks.write_csv(A.frame(spark, sf_dir, "sparse_notes").coalesce(1), path)
+    return csv_parts.read_csv_in_parts(spark, path, strings(["lp_id", "title", "notes"]), part=1 << 14)
+
+
 @query
 def csv_tracks(spark, sf_dir):
     """Raw track rows through CSV."""
@@ -455,6 +463,28 @@ def resume_by_file(spark, sf_dir):
     return match.not_done(responses, done, ["file_name"])
 
 
+@query
+def resume_laid_out(spark, sf_dir):
+    """Documents without a label, where finished work is laid out by its key and grows by a second write."""
+    path = new_shared_path(spark, "finished")
+    done = A.table(spark, sf_dir, "labels").select("doc_id", "quality")
+    layout.write_laid_out(done.where("doc_id % 2 = 0"), path, ["doc_id"], 8)
+    layout.write_laid_out(done.where("doc_id % 2 <> 0"), path, ["doc_id"], 8, append=True)
+    inputs = A.table(spark, sf_dir, "documents").select("doc_id", "lang")
+    return match.not_done(inputs, layout.read_laid_out(spark, path), ["doc_id"], unique=True)
+
+
+@query
+def audio_laid_out(spark, sf_dir):
+    """Seconds of the files that tracks should have, from an inventory that is laid out by album and file."""
+    path = new_shared_path(spark, "inventory")
+    layout.write_laid_out(_audio(spark, sf_dir), path, ["lp_id", "file_name"], 8)
+    wanted = match.with_audio_name(_tracks(spark, sf_dir)).groupBy(
+        F.col("LP_ID").alias("lp_id"), F.col("Track Filename").alias("file_name")).agg(F.count(F.lit(1)).alias("tracks"))
+    found = match.lookup(wanted, layout.read_laid_out(spark, path), ["lp_id", "file_name"], unique=True)
+    return found.select("lp_id", "file_name", "tracks", S.duration_text(F.col("seconds")).alias("duration"))
+
+
 # --- Checks, calls, arrival -------------------------------------------------------------------
 
 

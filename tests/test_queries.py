@@ -36,7 +36,7 @@ def test_query(spark, other, name):
     assert have == want and have
 
 
-IN_PYTHON = {"enrich_text", "recognise_covers", "enrich_audio", "enrich_capped", "calls_in_flight", "loose_blocks"}
+IN_PYTHON = {"enrich_text", "recognise_covers", "enrich_audio", "enrich_capped", "calls_in_flight", "loose_blocks", "csv_in_parts"}
 
 
 @pytest.mark.parametrize("name", sorted(set(QUERIES) - {"incremental_arrival", "extraction_store", "csv_tracks"}))
@@ -52,3 +52,33 @@ def test_plan(spark, name):
 def test_scans_read_only_what_they_need(spark):
     plan = QUERIES["support_count"](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
     assert set(re.findall(r"ReadSchema: struct<([^>]*)>", plan)) == {"p_partkey:bigint", "l_partkey:bigint"}
+
+
+@pytest.mark.parametrize("name", ["resume_laid_out", "audio_laid_out"])
+def test_what_is_laid_out_is_not_shuffled(spark, name):
+    """Neither its distinct keys nor the join exchange the stored side."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = QUERIES[name](spark, SF_DIR)
+        got.collect()
+        plan = got._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    final = plan.split("== Initial Plan ==")[0]
+    stored = next(line for line in final.split("\n") if "laid_out_" in line and "Scan" in line)
+    above = final.split("\n")[:final.split("\n").index(stored)]
+    depth = len(stored) - len(stored.lstrip(" :+-"))
+    # Operators between the scan and the join: each line above that is less deep than what came below it.
+    chain = []
+    for line in reversed(above):
+        here = len(line) - len(line.lstrip(" :+-"))
+        if here < depth:
+            chain.append(line)
+            depth = here
+    below_join = []
+    for line in chain:
+        if "Join" in line:
+            break
+        below_join.append(line)
+    assert any("Join" in line for line in chain) and not any("Exchange" in line or "ShuffleQueryStage" in line for line in below_join), final
+    assert "Bucketed: true" in stored
