@@ -142,8 +142,9 @@ def manifest(rows: DataFrame, leaf: str = "leaf", group: str = "lang", order: st
     row = F.struct(*[F.col(f"`{c}`") for c in rows.columns if c not in new])
     # A null group sorts before all others, whose keys start with "=".
     grp = F.coalesce(F.concat(F.lit("="), F.col(f"`{group}`").cast("string")), F.lit("-"))
-    leaves, largest = _placed(rows.select(grp.alias("grp"), F.col(f"`{order}`").alias("place"),
-                                          F.coalesce(F.col(f"`{leaf}`"), F.lit("")).alias("hash"), row.alias("row")))
+    # Written down before it is sorted: the sort reads its rows twice, and the table's texts should be hashed once.
+    leaves, largest = _placed(stored(rows.select(grp.alias("grp"), F.col(f"`{order}`").alias("place"),
+                                          F.coalesce(F.col(f"`{leaf}`"), F.lit("")).alias("hash"), row.alias("row")), "rows"))
     rounds, roots = _grow(leaves, largest, shape)
     tops, groups = _placed(roots.selectExpr("'' AS grp", "grp AS place", "hash", "struct(grp, hash) AS row"))
     upper, top = _grow(tops, groups, shape)
