@@ -2,7 +2,7 @@
 
 Labelled pages are counted per host (partial counts before the shuffle, so one huge host costs one
 row a task). Hosts borrow from their registered domain, domains from their suffix, suffixes from the
-whole table: at each level a child's rate of bad pages has a beta prior with the parent's mean, and
+whole table (user info and ports left out; an address is a domain and a suffix of its own): at each level a child's rate of bad pages has a beta prior with the parent's mean, and
 the prior's strength is estimated from how much the children differ (moments of the beta-binomial).
 A host is blocked if even the lower bound of its posterior rate of bad pages is too high.
 """
@@ -14,6 +14,17 @@ from pyspark.sql import Window as W
 # Verdict by host and path.
 RULES = {"net/": "block", "example.net/en/": "allow", "example.com/de/": "block", "org/fr/": "allow"}
 
+# Suffixes of two labels under which names are registered. Others have one label.
+TWO_LABELS = (
+    "ac.jp ac.nz ac.uk ac.za asn.au co.id co.il co.in co.jp co.ke co.kr co.nz co.th co.uk co.za com.ar com.au com.br com.cn com.co com.eg "
+    "com.es com.hk com.mx com.my com.ng com.pe com.ph com.pk com.pl com.sa com.sg com.tr com.tw com.ua com.uy com.ve com.vn edu.au edu.br "
+    "edu.cn edu.in edu.mx edu.tr go.jp go.kr gob.ar gob.mx gov.au gov.br gov.cn gov.in gov.uk gov.za ltd.uk me.uk ne.jp net.au net.br net.cn "
+    "net.in net.nz net.uk nhs.uk or.jp or.kr org.ar org.au org.br org.cn org.in org.mx org.nz org.pl org.tr org.tw org.uk org.za plc.uk police.uk "
+    "sch.uk"
+).split()
+# Addresses, which have no domain above them.
+ADDRESS = "^([0-9]+[.][0-9]+[.][0-9]+[.][0-9]+|\\[.*)$"
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Prior strengths (pages that the parent's rate counts for) stay within these.
 WEAKEST, STRONGEST = 1.0, 1000.0
@@ -38,18 +49,24 @@ def rule_of(host: Column, path: Column, rules: dict[str, str]) -> Column:
     return found
 
 
+def name_parts(host: Column) -> tuple[Column, Column]:
+    """Suffix and registered domain of a host."""
+    bare = F.regexp_replace(F.regexp_replace(host, "^.*@", ""), ":[0-9]*$", "")
+    two = F.regexp_extract(bare, "([^.]*[.])?[^.]*$", 0)
+    three = F.regexp_extract(bare, "([^.]*[.])?[^.]*[.][^.]*$", 0)
+    address, long = bare.rlike(ADDRESS), two.isin(TWO_LABELS)
+    suffix = F.when(address, bare).when(long, two).otherwise(F.regexp_extract(bare, "[^.]*$", 0))
+    return suffix, F.when(address, bare).when(long, three).otherwise(two)
+
+
 def reputation(hosts: DataFrame) -> DataFrame:
     """``host, rate, bound`` from ``host, n, bad`` (labelled pages and bad ones, one row a host).
 
     ``rate`` is the posterior mean of the rate of bad pages, ``bound`` lies two standard deviations
     below it. A host without labelled pages gets its parents' rate and a wide bound.
     """
-    labels = F.split("host", "\\.")
-    rows = hosts.select(
-        "host", "n", "bad",
-        F.element_at(labels, -1).alias("suffix"),
-        F.array_join(F.slice(labels, F.greatest(F.size(labels) - 1, F.lit(1)), 2), ".").alias("domain"),
-    )
+    suffix, domain = name_parts(F.col("host"))
+    rows = hosts.select("host", "n", "bad", suffix.alias("suffix"), domain.alias("domain"))
     domains = rows.groupBy("domain", "suffix").agg(*_sums())
     suffixes = domains.groupBy("suffix").agg(*_sums())
     # One row per suffix: the only window over a whole table.

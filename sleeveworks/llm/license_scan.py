@@ -10,7 +10,9 @@ contained * q / (2 Q + (1 - contained) * q) with q > Q / 2. With bands of one ro
 (1 - J)^bands: with 48 bands and 0.8 below 5e-5 at worst, and 1e-9 for whole templates that fill half
 their window. Blocks shorter than Q at a text's end are windows too.
 
-A window whose band agrees is compared with the template shingle by shingle.
+The least hashes of all templates of a class are looked up in one sorted table per band, so the work does not grow with the
+templates. A window whose band agrees is compared with its template shingle by shingle. Texts of one family differ in
+a few words only (version 2 or 3 of the GPL): of templates found in overlapping stretches, those with the most stay.
 """
 
 from collections.abc import Callable, Iterator
@@ -57,6 +59,63 @@ TEMPLATES = {
         "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public "
         "License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."
     ),
+    "GPL-2.0-header": (
+        "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public "
+        "License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version."
+    ),
+    "LGPL-2.1-header": (
+        "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public "
+        "License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version."
+    ),
+    "AGPL-3.0-header": (
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public "
+        "License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."
+    ),
+    "ISC": (
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, "
+        "provided that the above copyright notice and this permission notice appear in all copies."
+    ),
+    "BSD-no-endorsement": (
+        "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products "
+        "derived from this software without specific prior written permission."
+    ),
+    "BSD-disclaimer": (
+        "THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES, "
+        "INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED."
+    ),
+    "MPL-2.0-header": (
+        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not "
+        "distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/."
+    ),
+    "EPL-2.0-notice": (
+        "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0 "
+        "which is available at https://www.eclipse.org/legal/epl-2.0/"
+    ),
+    "Unlicense": (
+        "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, "
+        "compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, "
+        "commercial or non-commercial, and by any means."
+    ),
+    "Zlib": (
+        "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable "
+        "for any damages arising from the use of this software. Permission is granted to anyone to use this software for any "
+        "purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions"
+    ),
+    "BSL-1.0": (
+        "Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and "
+        "accompanying documentation covered by this license (the \"Software\") to use, reproduce, display, distribute, execute, and "
+        "transmit the Software, and to prepare derivative works of the Software, and to permit third-parties to whom the Software "
+        "is furnished to do so"
+    ),
+    "CC0-1.0-notice": "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work.",
+    "CC-BY-4.0-notice": "This work is licensed under a Creative Commons Attribution 4.0 International License.",
+    "CC-BY-SA-4.0-notice": "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
+    "CC-BY-NC-4.0-long": "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.",
+    "CC-BY-NC-SA-4.0-notice": "Licensed under CC BY-NC-SA 4.0.",
+    "CC-BY-SA-4.0-short": "Licensed under CC BY-SA 4.0.",
+    "MIT-short": "Licensed under the MIT License.",
+    "Apache-2.0-short": "Licensed under the Apache License 2.0.",
+    "LGPL-notice": "Licensed under the GNU Lesser General Public License.",
 }
 
 _SOLID = np.zeros(256, bool)
@@ -106,6 +165,17 @@ class Scanner:
         for i, members in enumerate(self.sets):
             if len(members):
                 self.by_class.setdefault(1 << (len(members) - 1).bit_length(), []).append(i)
+        # Per class and band: the templates' least hashes in order, and the templates they belong to.
+        self.keys: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {}
+        for size, templates in self.by_class.items():
+            for band in range(bands):
+                least = np.array([self._permuted(self.sets[t], band).min() for t in templates])
+                order = np.argsort(least, kind="stable")
+                self.keys.setdefault(size, []).append((least[order], np.array(templates)[order]))
+
+    @staticmethod
+    def _permuted(hashes: np.ndarray, band: int) -> np.ndarray:
+        return (hashes ^ _SEEDS[2 * band]) * _SEEDS[2 * band + 1]
 
     def scan(self, data: np.ndarray, at: np.ndarray) -> Iterator[tuple[int, int, float, int, int]]:
         """Text, template, contained share, first and end byte of the best window of every match."""
@@ -119,16 +189,19 @@ class Scanner:
             nth = np.arange(int(blocks.sum())) - (np.cumsum(blocks) - blocks)[owners[size]]
             starts[size] = rows.first[:-1][owners[size]] + nth * size
         for band in range(self.bands):
-            permuted = (rows.hashes ^ _SEEDS[2 * band]) * _SEEDS[2 * band + 1]
-            for size, templates in self.by_class.items():
+            permuted = self._permuted(rows.hashes, band)
+            for size in self.by_class:
                 least = np.minimum.reduceat(permuted, starts[size]) if size > 1 else permuted
                 same = np.append(owners[size][1:] == owners[size][:-1], False)
                 window = np.where(same, np.minimum(least, np.append(least[1:], least[-1:])), least)
-                for t in templates:
-                    key = ((self.sets[t] ^ _SEEDS[2 * band]) * _SEEDS[2 * band + 1]).min()
-                    found = np.flatnonzero(window == key)
-                    if len(found):
-                        hits.setdefault((size, t), set()).update(found.tolist())
+                keys, templates = self.keys[size][band]
+                spot = np.minimum(np.searchsorted(keys, window), len(keys) - 1)
+                found = np.flatnonzero(keys[spot] == window)
+                for w, k in zip(found.tolist(), spot[found].tolist()):
+                    # Templates of one family may have their least hash in common.
+                    while k < len(keys) and keys[k] == window[w]:
+                        hits.setdefault((size, int(templates[k])), set()).add(w)
+                        k += 1
         best: dict[tuple[int, int], tuple[float, int, int]] = {}
         for (size, t), windows in hits.items():
             for w in sorted(windows):
@@ -139,8 +212,18 @@ class Scanner:
                 if share >= self.contained and share > best.get((text, t), (0.0,))[0]:
                     where = np.flatnonzero(inside)
                     best[text, t] = share, int(rows.begin[low + where[0]] - at[text]), int(rows.end[low + where[-1]] - at[text])
-        for (text, t), (share, begin, end) in sorted(best.items()):
-            yield text, t, share, begin, end
+        yield from self._strongest(best)
+
+    @staticmethod
+    def _strongest(best: dict[tuple[int, int], tuple[float, int, int]]) -> Iterator[tuple[int, int, float, int, int]]:
+        """Matches without those that overlap one with a larger share in the same text."""
+        by_text: dict[int, list[tuple[int, float, int, int]]] = {}
+        for (text, t), found in sorted(best.items()):
+            by_text.setdefault(text, []).append((t, *found))
+        for text, found in by_text.items():
+            for t, share, begin, end in found:
+                if not any(more > share and first < end and begin < last for _, more, first, last in found):
+                    yield text, t, share, begin, end
 
 
 _MATCH = pa.schema([("doc_id", pa.int64()), ("license", pa.string()), ("containment", pa.float64()),
@@ -165,7 +248,8 @@ def licenses(docs: DataFrame, id: str = "doc_id", text: str = "text", templates:
     """``doc_id, license, containment, start_byte, end_byte``: a row for each document and template in it.
 
     ``containment`` is the share of the template's distinct shingles in the best window of the document,
-    ``contained`` or more; the bytes run from the first to the last of them there. Null, empty and other
+    ``contained`` or more; the bytes run from the first to the last of them there. A template that overlaps one with a
+    larger share gives no row. Null, empty and other
     texts without a license give no row; a repeated row gives its rows again, a null id keeps its null.
     Other columns are ignored. ``templates`` (name: text) are sent to every task, so they are to be few.
     """

@@ -1,6 +1,6 @@
 """Expected rows of the queries, in DuckDB's SQL over the same tables."""
 
-from sleeveworks.llm.host_reputation import RULES, STRONGEST, WEAKEST
+from sleeveworks.llm.host_reputation import ADDRESS, RULES, STRONGEST, TWO_LABELS, WEAKEST
 from sleeveworks.llm.line_cleaning import BOILERPLATE, JUNK, SEPARATORS, WINDOW
 from sleeveworks.llm.raking import ROUNDS, TEMPER, TOPICS
 
@@ -64,14 +64,18 @@ _FITS = " ".join(
     f"WHEN (host = '{r.split('/')[0]}' OR ends_with(host, '.{r.split('/')[0]}')) "
     f"AND starts_with(path, '/{r.split('/', 1)[1]}') THEN '{r}'"
     for r in sorted(RULES, key=lambda r: (-len(r), r)))
+_TWO = ", ".join(f"'{suffix}'" for suffix in TWO_LABELS)
 OP7 = f"""
 WITH urls AS (SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
 parts AS (SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
           regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM urls),
 ruled AS (SELECT *, CASE {_FITS} END AS rule FROM parts),
 counts AS (SELECT doc_id AS page_id, count(*) AS n, count(*) FILTER (quality = 0) AS bad FROM labels WHERE quality IS NOT NULL GROUP BY doc_id),
-hosts AS (SELECT host, regexp_extract(host, '[^.]*$') AS suffix, regexp_extract(host, '([^.]*\\.)?[^.]*$') AS domain,
-          coalesce(sum(n), 0)::DOUBLE AS n, coalesce(sum(bad), 0)::DOUBLE AS bad FROM parts LEFT JOIN counts USING (page_id) GROUP BY host),
+names AS (SELECT *, regexp_extract(bare, '([^.]*[.])?[^.]*$') AS two, regexp_matches(bare, '{ADDRESS}') AS address FROM (
+          SELECT host, regexp_replace(regexp_replace(host, '^.*@', ''), ':[0-9]*$', '') AS bare,
+          coalesce(sum(n), 0)::DOUBLE AS n, coalesce(sum(bad), 0)::DOUBLE AS bad FROM parts LEFT JOIN counts USING (page_id) GROUP BY host)),
+hosts AS (SELECT host, n, bad, CASE WHEN address THEN bare WHEN two IN ({_TWO}) THEN two ELSE regexp_extract(bare, '[^.]*$') END AS suffix,
+          CASE WHEN address THEN bare WHEN two IN ({_TWO}) THEN regexp_extract(bare, '([^.]*[.])?[^.]*[.][^.]*$') ELSE two END AS domain FROM names),
 domains AS (SELECT domain, suffix, {_SUMS} FROM hosts GROUP BY domain, suffix),
 suffixes AS (SELECT suffix, {_SUMS} FROM domains GROUP BY suffix),
 root AS (SELECT (bad + 0.5) / (n + 1.0) AS rate, {_S} AS strength FROM (SELECT {_SPREAD} FROM suffixes)),
