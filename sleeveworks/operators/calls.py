@@ -13,7 +13,7 @@ from typing import Any
 
 from pyarrow import fs
 
-from sleeveworks.sources.places import located
+from sleeveworks.sources.places import located, put_in_place
 
 
 class Ledger:
@@ -49,7 +49,7 @@ class Ledger:
         self._store.create_dir(f"{self._root}/{key[:2]}", recursive=True)
         with self._store.open_output_stream(draft) as out:
             out.write(json.dumps(answer).encode())
-        self._store.move(draft, place)
+        put_in_place(self._store, draft, place)
 
     def count(self) -> int:
         found = self._store.get_file_info(fs.FileSelector(self._root, allow_not_found=True, recursive=True))

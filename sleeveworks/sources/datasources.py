@@ -13,7 +13,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, InputPartition, WriterCommitMessage
 from pyspark.sql.types import StructType
 
-from sleeveworks.sources.places import located
+from sleeveworks.sources.places import located, put_in_place
 
 #: Files that one batch of a listing, or of moves, holds.
 BATCH = 10_000
@@ -161,7 +161,7 @@ class _Drafter(DataSourceArrowWriter):
         store.create_dir(target, recursive=True)
 
         def move(pair: tuple[str, str]) -> None:
-            store.move(*pair)
+            put_in_place(store, *pair)
 
         with ThreadPoolExecutor(MOVES) as pool:
             for message in filter(None, messages):

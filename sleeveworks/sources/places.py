@@ -37,3 +37,14 @@ def remove(spark: SparkSession, path: str) -> None:
     """A folder and all in it, if it exists."""
     place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def put_in_place(store: fs.FileSystem, draft: str, place: str) -> None:
+    """Moves a file, over an older one if there is one, also where the store refuses that."""
+    try:
+        store.move(draft, place)
+    except OSError:
+        if store.get_file_info(place).type != fs.FileType.File or store.get_file_info(draft).type != fs.FileType.File:
+            raise
+        store.delete_file(place)
+        store.move(draft, place)

@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from sleeveworks.operators.calls import Ledger, Slots, Window
 from sleeveworks.operators.enrich import enrich
-from sleeveworks.sources.places import located
+from sleeveworks.sources.places import located, put_in_place
 
 
 def said(path):
@@ -195,3 +195,45 @@ def test_too_few_cores_fail_at_once(spark):
 def test_located():
     for path in ("/a b/c#d%20e", "file:/a b/c#d%20e", "file:///a b/c#d%20e"):
         assert located(path)[1] == "/a b/c#d%20e"
+
+
+def test_put_in_place_where_a_store_refuses(tmp_path):
+    class Strict:
+        """Refuses to move over a file, as some stores do."""
+
+        def __init__(self):
+            self.own, _ = located(str(tmp_path))
+
+        def __getattr__(self, name):
+            return getattr(self.own, name)
+
+        def move(self, draft, place):
+            if os.path.exists(place):
+                raise OSError("exists")
+            self.own.move(draft, place)
+
+    old, new = tmp_path / "old", tmp_path / "new"
+    old.write_text("old")
+    new.write_text("new")
+    put_in_place(Strict(), str(new), str(old))
+    assert old.read_text() == "new" and not new.exists()
+    with pytest.raises(OSError):
+        put_in_place(Strict(), str(new), str(old))
+    assert old.read_text() == "new"
+
+
+def test_a_run_under_a_quota(spark, rows, tmp_path):
+    """Stage 2 of a run whose callers share a quota, several calls at a time."""
+    import datetime as dt
+    import json
+
+    from sleeveworks.plans.catalogue import Run
+
+    (tmp_path / "texts").mkdir()
+    for i in range(6):
+        (tmp_path / "texts" / f"LP{i}_combined.txt").write_text(f"cover {i}")
+    run = Run(spark, str(tmp_path), str(tmp_path / "work"), "A. B", "", dt.date(2024, 9, 5), workers=2, calls_per_minute=1200, in_flight=2, timeout=30)
+    run.load_texts(str(tmp_path / "texts"))
+    run.ask_model("Extract.\n", lambda: lambda prompt: json.dumps({"Track Info": [{"Face": prompt[-1]}]}))
+    assert rows(run.table("extractions"), "lp_id") == [(f"LP{i}",) for i in range(6)]
+    assert not os.path.exists(tmp_path / "work" / "ledger" / "responses")
