@@ -225,6 +225,10 @@ class Transducer:
             out += found
         return out
 
+    def rest(self) -> None:
+        """A worker outlives its task; what was not met lately need not wait for the next one."""
+        self._older = {}
+
     def _bytes_of(self, i: int) -> bytes:
         if self.kinds[i] == BYTE:
             return bytes([int(self.pieces[i][3:5], 16)])
@@ -270,6 +274,7 @@ def _over_batches(column: int, fields: Callable[[Transducer, list], list[tuple[s
                 for name, values in fields(machine, batch.column(column).to_pylist()):
                     batch = batch.append_column(name, values)
                 yield batch
+        machine.rest()
     return run
 
 
