@@ -62,10 +62,11 @@ def albums_with_support(responses: DataFrame, tracks: DataFrame, how: str = "gre
     return match.with_support_count(responses.sparkSession.read.parquet(path), tracks)
 
 
-def in_order(rows: DataFrame) -> DataFrame:
-    """Rows by natural order of the album and, where they have one, their place in its document."""
-    place = [F.col("seq")] if "seq" in rows.columns else []
-    return rows.orderBy(*select.natural_order("LP_ID"), *place)
+def in_order(rows: DataFrame, parts: int | None = None) -> DataFrame:
+    """Rows by natural order of the album and, where they have one, their place in its document. ``parts``: as many
+    tasks share the sort, however well the rows compress; else Spark chooses by bytes."""
+    order = [*select.natural_order("LP_ID"), *([F.col("seq")] if "seq" in rows.columns else [])]
+    return rows.orderBy(*order) if parts is None else rows.repartitionByRange(parts, *order).sortWithinPartitions(*order)
 
 
 def recognise(pairs: DataFrame, make_reader: Callable[[], Callable[[Any], str]], **calling: Any) -> DataFrame:

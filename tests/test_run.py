@@ -8,7 +8,7 @@ import shutil
 import pytest
 
 from sleeveworks.operators import extract
-from sleeveworks.plans import catalogue
+from sleeveworks.plans import catalogue, queries
 from sleeveworks.plans.catalogue import Run
 from sleeveworks.schema import CLEAN_GENERAL, CLEAN_TRACK
 from sleeveworks.sources import files, manifest
@@ -315,3 +315,18 @@ def test_a_repeated_batch_changes_nothing(spark, rows, tmp_path):
     shutil.copytree(state, tmp_path / "state2", ignore=lambda _, names: {commits[-1].name, f".{commits[-1].name}.crc"} & set(names))
     state = tmp_path / "state2"
     assert run() == second
+
+
+def test_catalogue_order_is_shared_by_rows(spark, rows, tmp_path, monkeypatch):
+    """So many rows to a task, in order over all tasks; their places are found without the files' names in the rows."""
+    lines = [(i % 37, i, 1) for i in range(1000)]
+    spark.createDataFrame(lines, "l_partkey long, l_orderkey long, l_linenumber int").coalesce(1).write.parquet(str(tmp_path / "lineitem.parquet"))
+    frame = spark.createDataFrame([(f"LP{p}", o) for p, o, _ in lines], "LP_ID string, seq long")
+    parts = catalogue.in_order(frame, 9).rdd.glom().map(len).collect()
+    assert len(parts) == 9 and max(parts) < 500
+    got = [(r["LP_ID"], r["seq"]) for r in catalogue.in_order(frame, 9).collect()]
+    assert got == [(f"LP{p}", o) for p, o, _ in sorted(lines)]
+    monkeypatch.setattr(queries, "ROWS_PER_TASK", 100)
+    placed = queries.catalogue_in_order(spark, str(tmp_path))
+    assert placed.rdd.getNumPartitions() == 11
+    assert rows(placed) == sorted(((f"LP{p}", f"{o}-1", o // 37 + 1) for p, o, _ in lines), key=str)
