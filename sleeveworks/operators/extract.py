@@ -95,10 +95,14 @@ def _status(span: Column, doc: Column) -> Column:
     )
 
 
+def usable() -> Column:
+    """Whether a parsed document has nothing wrong."""
+    return F.col("status").isin("ok", "empty")
+
+
 def quarantine(parsed: DataFrame) -> DataFrame:
     """Documents that could not be used, whole or in part, with the ``reason``."""
-    good = F.col("status").isin("ok", "empty")
-    reasons = F.when(good, F.array().cast("array<string>")).otherwise(F.array("status"))
+    reasons = F.when(usable(), F.array().cast("array<string>")).otherwise(F.array("status"))
     return parsed.withColumn("reason", F.explode(reasons)).drop("doc", "status")
 
 

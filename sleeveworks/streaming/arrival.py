@@ -48,15 +48,25 @@ def process_new(arriving: DataFrame, transform: Callable[[DataFrame], DataFrame]
 
 
 def process_split(arriving: DataFrame, rows: Callable[[DataFrame], DataFrame], output: str, quarantine: str,
-                  checkpoint: str, how: str = "greedy") -> None:
+                  checkpoint: str, how: str = "greedy", per_task: int | None = None, keep_text: bool = True) -> None:
     """Documents of everything not seen under ``checkpoint`` yet: ``rows`` of the usable ones to ``output``, the unusable
     ones with their reason to ``quarantine``.
 
     Every batch is decoded once and written to a folder named by its number in either table, which replaces
     what an earlier try of that batch left. So a batch that is repeated neither loses nor doubles rows.
+
+    ``per_task``: documents are dealt out anew before they are decoded, so many to a task at most and over all cores;
+    files are split by bytes, which says little of the work in them. ``keep_text=False``: where ``rows`` needs no
+    text of usable documents, only the others' is held meanwhile.
     """
     def write(batch: DataFrame, number: int) -> None:
-        parsed = extract.parse_documents(batch, how=how).persist()
+        if per_task is not None:
+            cores = batch.sparkSession.sparkContext.defaultParallelism
+            batch = batch.repartition(max(cores, -(-batch.count() // per_task)))
+        parsed = extract.parse_documents(batch, how=how)
+        if not keep_text:
+            parsed = parsed.withColumn("response", F.when(~extract.usable(), F.col("response")))
+        parsed = parsed.persist()
         try:
             rows(parsed).write.mode("overwrite").parquet(f"{output}/batch={number}")
             extract.quarantine(parsed).write.mode("overwrite").parquet(f"{quarantine}/batch={number}")

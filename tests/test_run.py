@@ -6,6 +6,7 @@ import os
 import shutil
 
 import pytest
+from pyspark.sql import types as T
 
 from sleeveworks.operators import extract
 from sleeveworks.plans import catalogue, queries
@@ -317,6 +318,18 @@ def test_a_repeated_batch_changes_nothing(spark, rows, tmp_path):
     assert run() == second
 
 
+def test_a_batch_of_one_file_is_decoded_by_many_tasks(spark, rows, tmp_path):
+    """However few files a batch has; the text is kept of what goes to the quarantine."""
+    inbox, good, bad = (str(tmp_path / n) for n in ("in", "good", "bad"))
+    texts = [("LP%d" % i, json.dumps({"Track Info": [{"Face": "A"}]}) if i % 3 else "{cut}") for i in range(60)]
+    spark.createDataFrame(texts, "lp_id string, response string").coalesce(1).write.parquet(inbox)
+    arriving = arrival.arriving_table(spark, inbox, T.StructType.fromDDL("lp_id string, response string"))
+    arrival.process_split(arriving, extract.track_rows, good, bad, str(tmp_path / "state"), per_task=10, keep_text=False)
+    assert rows(spark.read.parquet(good), "LP_ID") == sorted(((lp,) for lp, t in texts if t != "{cut}"), key=str)
+    assert rows(spark.read.parquet(bad), "lp_id", "response", "reason") == sorted(((lp, t, "invalid_json") for lp, t in texts if t == "{cut}"), key=str)
+    assert len(list((tmp_path / "good" / "batch=0").glob("part-*"))) == 6
+
+
 def test_catalogue_order_is_shared_by_rows(spark, rows, tmp_path, monkeypatch):
     """So many rows to a task, in order over all tasks; their places are found without the files' names in the rows."""
     lines = [(i % 37, i, 1) for i in range(1000)]
