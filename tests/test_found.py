@@ -1,7 +1,12 @@
 """Loose blocks, track numbers, breaches, undeclared members, and limits of the session."""
 
+import os
 import random
+import subprocess
+import sys
+from pathlib import Path
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -30,6 +35,42 @@ def test_chunks_of_one_image(spark, rows, monkeypatch):
     assert rows(covers.texts_of_blocks(df), "text") == [("\n".join(f"line {n}" for n in range(50)),)]
 
 
+def _gather(*batches):
+    schema = pa.schema({"image": pa.string(), "text": pa.string()})
+    made = covers._gathered("path")(pa.RecordBatch.from_pylist([{"image": i, "text": t} for i, t in b], schema) for b in batches)
+    return [[(r["path"], r["text"]) for r in b.to_pylist()] for b in made if b.validate(full=True) is None]
+
+
+def test_chunks_are_gathered(monkeypatch):
+    monkeypatch.setattr(covers, "SENT", 8)
+    assert _gather([("a", ""), ("b", "é")], [("b", ""), ("c", "x")]) == [[("a", ""), ("b", "é\n"), ("c", "x")]]
+    assert _gather([("a", "1234"), ("b", "567890"), ("c", "x")]) == [[("a", "1234"), ("b", "567890")], [("c", "x")]]
+    # A long text goes alone, also if it grows over batches.
+    assert _gather([("a", "1234"), ("b", "56789012"), ("c", "x")]) == [[("a", "1234")], [("b", "56789012")], [("c", "x")]]
+    assert _gather([("a", "1"), ("b", "2345")], [("b", "6789")], [("b", ""), ("c", "x")]) == [[("a", "1")], [("b", "2345\n6789\n")], [("c", "x")]]
+    assert _gather([], []) == []
+    monkeypatch.setattr(covers, "LONGEST", 9)
+    assert _gather([("a", "1234"), ("a", "5678"), ("b", "")]) == [[("a", "1234\n5678")], [("b", "")]]
+    with pytest.raises(ValueError, match="'a' has more than 9 bytes"):
+        _gather([("a", "1234"), ("a", "56789")])
+
+
+#: An image of 102 MB among small ones, in a heap that has no room for several copies of it.
+LONG_IMAGE = """
+from sleeveworks.operators import covers
+from sleeveworks.session import local_session
+spark = local_session("2", 8, "800m")
+blocks = spark.range(104_000).selectExpr("if(id < 4000, 'image ' || id, 'hot') AS image_path", "id AS y", "0 AS seq", "repeat(md5(string(id)), 32) AS text")
+print(*covers.texts_of_blocks(blocks).selectExpr("count(*)", "sum(length(text))").first())
+"""
+
+
+def test_long_text_in_a_small_heap(tmp_path):
+    run = subprocess.run([sys.executable, "-c", LONG_IMAGE], cwd=tmp_path, env=os.environ | {"PYTHONPATH": str(Path(__file__).parent.parent)},
+                         capture_output=True, text=True, timeout=300)
+    assert run.stdout.split() == ["4001", str(104_000 * 1024 + 99_999)], run.stderr[-2000:]
+
+
 TRACKS = "LP_ID string, Face string, track_no string"
 
 
